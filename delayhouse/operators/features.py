@@ -23,11 +23,23 @@ LEGS_READY_COLUMNS = (
 )
 
 
+def leg_outcomes(delays_leg: DataFrame) -> DataFrame:
+    """Features that need only the leg itself: planned minutes, time parts and the label."""
+    return delays_leg.select(
+        "*",
+        iso_minutes(F.col("scheduled_flight_duration")).alias("scheduled_flight_duration_minutes"),
+        *time_parts(F.col("scheduled_departure"), "departure"),
+        is_delayed(
+            F.col("departure_delay_minutes"), F.col("arrival_delay_minutes"), F.col("delay_duration_minutes")
+        ).alias("is_delayed"),
+    )
+
+
 def legs_ready(delays_leg: DataFrame, days: DataFrame) -> DataFrame:
     """Attach the entity-day features to every leg; a leg without a match keeps zeros.
 
     ``days`` is the output of :func:`shares.entity_days`. Departure congestion and airport share have
-    the same key, so four lookups serve five features groups. Whether a lookup is broadcast is left to
+    the same key, so four lookups serve five groups of features. Whether a lookup is broadcast is left to
     the planner, which sees its real size; beyond the threshold it is a skew-handled shuffle join.
     """
 
@@ -51,15 +63,7 @@ def legs_ready(delays_leg: DataFrame, days: DataFrame) -> DataFrame:
     aircraft = lookup("aircraft", "aircraft_code", aircraft_delayed_share="delayed_share")
     airline = lookup("airline", "airline_code", airline_delayed_share="delayed_share")
 
-    scheduled = F.col("scheduled_departure")
-    base = delays_leg.select(
-        "*",
-        iso_minutes(F.col("scheduled_flight_duration")).alias("scheduled_flight_duration_minutes"),
-        *time_parts(scheduled, "departure"),
-        is_delayed(
-            F.col("departure_delay_minutes"), F.col("arrival_delay_minutes"), F.col("delay_duration_minutes")
-        ).alias("is_delayed"),
-    )
+    base = leg_outcomes(delays_leg)
     for side, key in (
         (departure, "departure_airport_code"),
         (arrival, "arrival_airport_code"),

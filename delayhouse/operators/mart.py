@@ -36,6 +36,11 @@ def fct_flight_legs(ready: DataFrame) -> DataFrame:
     return ready.select(*(F.col(c).alias(_KEY_NAMES.get(c, c)) for c in _FACT_SOURCE))
 
 
+def leg_facts(outcomes: DataFrame) -> DataFrame:
+    """The fact without its entity-day columns, for questions that do not use them."""
+    return outcomes.select(*(F.col(c).alias(_KEY_NAMES.get(c, c)) for c in _FACT_SOURCE if c in outcomes.columns))
+
+
 def incremental_filter(df: DataFrame, newest: datetime | None, column: str, days: int = 3) -> DataFrame:
     """Rows at or after ``newest`` minus ``days``; all rows when nothing is stored yet.
 

@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.features import legs_ready
+from ..operators.features import leg_outcomes, legs_ready
 from ..operators.legs import delays_per_leg
-from ..operators.mart import fct_flight_legs
+from ..operators.mart import fct_flight_legs, leg_facts
 from ..operators.shares import entity_days
 from ..session import staged
 
@@ -34,3 +34,8 @@ def build_features(raw: RawTables, stage_days: bool = True, include_current: boo
 def build_fact(raw: RawTables, **options) -> DataFrame:
     """The fact over all legs."""
     return fct_flight_legs(build_features(raw, **options))
+
+
+def build_leg_facts(raw: RawTables) -> DataFrame:
+    """The fact without entity-day columns: one join chain, no lookups."""
+    return leg_facts(leg_outcomes(delays_per_leg(raw.legs, raw.flights, raw.delays)))

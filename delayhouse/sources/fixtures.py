@@ -16,7 +16,17 @@ FETCHED_AT = "2002-01-01 06:00:00"
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, with its zone-less timestamps read as UTC."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _zoned(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a stream of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    # As a pattern, the source accepts a single file as well as a folder.
+    return _zoned(spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*"))
+
+
+def _zoned(df: DataFrame) -> DataFrame:
     casts = {
         f.name: F.col(f.name).cast("timestamp") for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"
     }
@@ -39,6 +49,10 @@ def _q() -> Column:
     return F.col("l_quantity").cast("int")
 
 
+def _cancelled() -> Column:
+    return (F.col("l_returnflag") == "R") & (_q() > 40)
+
+
 def _leg_key() -> Column:
     parts = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return F.concat_ws("_", *(F.col(c).cast("string") for c in parts))
@@ -81,7 +95,7 @@ def _place(side: str) -> list[Column]:
 
 def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One leg per line item."""
-    cancelled = (F.col("l_returnflag") == "R") & (_q() > 40)
+    cancelled = _cancelled()
     size = F.col("l_partkey") % 50
     hours = (1 + F.col("l_partkey") % 9).cast("int")
     departure = F.when(_q() != 49, F.col("l_shipdate") + _hours(2 * F.col("l_linenumber")))
@@ -107,8 +121,7 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One or two delay events per leg, with sentinel, null and several duration spellings."""
+def _delay_entries() -> Column:
     none = F.col("l_returnflag") == "N"
     duration = (
         F.when(none, "00")
@@ -122,10 +135,15 @@ def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
         duration.alias("delay_duration"),
     )
     second = F.struct(F.lit(1).alias("pos"), F.lit("C9").alias("delay_code"), _text("PT", _q(), "M").alias("delay_duration"))
-    events = F.when((F.col("l_returnflag") == "A") & (_q() % 5 == 0), F.array(first, second)).otherwise(F.array(first))
+    twice = (F.col("l_returnflag") == "A") & (_q() % 5 == 0)
+    return F.when(twice, F.array(first, second)).otherwise(F.array(first))
+
+
+def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One or two delay events per leg, with sentinel, null and several duration spellings."""
     return (
         given(spark, sf_dir, "lineitem")
-        .select(_leg_key().alias("flight_leg_id"), F.explode(events).alias("e"))
+        .select(_leg_key().alias("flight_leg_id"), F.explode(_delay_entries()).alias("e"))
         .select(
             F.concat_ws("_", "flight_leg_id", F.col("e.pos").cast("string")).alias("id"),
             "flight_leg_id",
@@ -136,12 +154,28 @@ def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def departure_events(items: DataFrame) -> DataFrame:
+    """Delay events with their departure airport, from a batch or a stream of line items."""
+    return items.select(
+        _leg_key().alias("leg_id"),
+        F.col("l_orderkey").cast("string").alias("flight_id"),
+        _place("departure")[0],
+        _cancelled().alias("cancelled"),
+        F.explode(_delay_entries()).alias("e"),
+    ).select(
+        F.concat_ws("_", "leg_id", F.col("e.pos").cast("string")).alias("id"),
+        "flight_id",
+        "departure_airport_code",
+        "cancelled",
+        F.col("e.delay_duration").alias("delay_duration"),
+    )
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prediction for two thirds of the uncancelled legs."""
-    cancelled = (F.col("l_returnflag") == "R") & (_q() > 40)
     return (
         given(spark, sf_dir, "lineitem")
-        .filter(~cancelled & ((F.col("l_partkey") + F.col("l_linenumber")) % 3 != 0))
+        .filter(~_cancelled() & ((F.col("l_partkey") + F.col("l_linenumber")) % 3 != 0))
         .select(
             _leg_key().alias("leg_id"),
             F.col("l_orderkey").cast("string").alias("flight_id"),
@@ -243,9 +277,14 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipeline log payloads, one per event row."""
+    return event_payloads(given(spark, sf_dir, "events"))
+
+
+def event_payloads(events: DataFrame) -> DataFrame:
+    """Log payloads from a batch or a stream of event rows."""
     kind = F.col("event_type")
     amount = F.col("value").cast("int")
-    return given(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("ts").alias("event_at"),
         F.lit("scheduler").alias("app"),

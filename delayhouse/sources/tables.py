@@ -104,7 +104,8 @@ def append_events(events: DataFrame, path: str) -> None:
     )
 
 
-_RESULTS = T.StructType.fromDDL("results array<struct<adapter_response: struct<rows_affected: double>>>")
+_RESULT = T.StructType().add("adapter_response", T.StructType().add("rows_affected", T.DoubleType()))
+_RESULTS = T.StructType().add("results", T.ArrayType(_RESULT))
 
 
 def rows_processed(documents: DataFrame, column: str = "body") -> DataFrame:
