@@ -55,7 +55,7 @@ def _cancelled() -> Column:
 
 def _leg_key() -> Column:
     parts = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return F.concat_ws("_", *(F.col(c).cast("string") for c in parts))
+    return F.concat_ws("_", *(F.col(c).cast("string") for c in parts), F.date_format("l_shipdate", "yyyyMMdd"))
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
