@@ -162,12 +162,12 @@ def _bucket(key: str) -> Column:
 
 @query
 def upsert_flights(g: Given) -> DataFrame:
-    """Load, then merge a batch in which open flights arrive and planned ones move to a later month."""
-    month = F.substring("flight_schedule_date", 1, 7)
+    """Load, then merge a batch in which open flights arrive and planned ones move by 200 days, often to another partition."""
+    year = F.substring("flight_schedule_date", 1, 4)
     path = scratch_path(g.spark, "flights")
-    common = {"keys": ["id"], "partition_by": "month", "order_by": ["fetched_at"]}
-    upsert_table(g.spark, path, g.flights.withColumn("month", month), **common)
-    later = F.date_format(F.date_add(F.to_date("flight_schedule_date"), 40), "yyyy-MM-dd")
+    common = {"keys": ["id"], "partition_by": "year", "order_by": ["fetched_at"]}
+    upsert_table(g.spark, path, g.flights.withColumn("year", year), **common)
+    later = F.date_format(F.date_add(F.to_date("flight_schedule_date"), 200), "yyyy-MM-dd")
     open_ = g.flights.filter(F.col("flight_status_public") == "O")
     newest = open_.withColumns(
         {"flight_status_public": F.lit("A"), "fetched_at": F.col("fetched_at") + F.expr("INTERVAL 1 DAY")}
@@ -176,7 +176,7 @@ def upsert_flights(g: Given) -> DataFrame:
         {"flight_status_public": F.lit("X"), "fetched_at": F.col("fetched_at") + F.expr("INTERVAL 1 HOUR")}
     )
     moved = g.flights.filter(F.col("flight_status_public") == "P").withColumn("flight_schedule_date", later)
-    batch = newest.unionByName(stale).unionByName(moved).withColumn("month", month)
+    batch = newest.unionByName(stale).unionByName(moved).withColumn("year", year)
     for _ in range(2):  # a replay must change nothing
         upsert_table(g.spark, path, batch, **common)
     return g.spark.read.schema(g.flights.schema).parquet(path).select(*g.flights.columns)
@@ -267,13 +267,13 @@ def stage_delays(g: Given) -> DataFrame:
 
 @query
 def materialize_modes(g: Given) -> DataFrame:
-    days = mart.dim_date(g.joined).withColumn("month_key", F.substring("date_key", 1, 7))
+    days = mart.dim_date(g.joined).withColumn("year_key", F.substring("date_key", 1, 4))
     view = tables.materialize(days, "flight_days_view", "view")
     table = tables.materialize(days, "flight_days", "table", path=scratch_path(g.spark, "days"))
     path = scratch_path(g.spark, "days-incremental")
     for _ in range(2):
         merged = tables.materialize(
-            days, "flight_days", "incremental", ["date_key"], path, partition_by="month_key"
+            days, "flight_days", "incremental", ["date_key"], path, partition_by="year_key"
         )
     counts = [df.agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("rows"))
               for mode, df in (("view", view), ("table", table), ("incremental", merged))]
@@ -551,20 +551,20 @@ def scale_features(g: Given) -> DataFrame:
 @query
 def score_legs(g: Given) -> DataFrame:
     fact = staged(g.fact, "fact")
-    model = scoring.fit_delay_model(fact)
+    model = scoring.fit_delay_model(fact, rounds=5, depth=3)
     return scoring.score(scoring.unscored_legs(fact, g.predictions), model, datetime(2002, 1, 2))
 
 
 @query
 def score_increment(g: Given) -> DataFrame:
     """Score what the given predictions leave open, merge it, and score again: nothing is left."""
-    house = jobs.Warehouse(scratch_path(g.spark, "warehouse"), by="month")
+    house = jobs.Warehouse(scratch_path(g.spark, "warehouse"), by="year")
     fact = house.with_period(g.fact, "date_key")
     fact.hint("rebalance", "period").write.partitionBy("period").parquet(house.path("fct_flight_legs"))
     stored = jobs.read_fact(g.spark, house)
     known = g.predictions.join(stored.select("leg_id", "period"), "leg_id")
     jobs.upsert_predictions(g.spark, house.path("predictions"), known, "period")
-    model = scoring.fit_delay_model(stored)
+    model = scoring.fit_delay_model(stored, rounds=5, depth=3)
     first = jobs.run_scoring(g.spark, house, model, datetime(2002, 1, 2))
     second = jobs.run_scoring(g.spark, house, model, datetime(2002, 1, 3))
     return jobs.read_predictions(g.spark, house).agg(
@@ -761,11 +761,11 @@ def _events_stream(g: Given) -> DataFrame:
 @query
 def stream_ingest_(g: Given) -> DataFrame:
     """Drain landed pages into raw tables and count what arrived per month."""
-    house = jobs.Warehouse(scratch_path(g.spark, "stream-house"), by="month")
+    house = jobs.Warehouse(scratch_path(g.spark, "stream-house"), by="year")
     state = scratch_path(g.spark, "stream-state")
     stream_ingest(g.spark, _landed(g), house, state, datetime(2002, 1, 1)).awaitTermination()
     raw = jobs.read_raw(g.spark, house)
-    month = F.col("period").alias("month")
+    month = F.substring("flight_schedule_date", 1, 7).alias("month")
     flights = raw.flights.select(month, F.lit(1).alias("f"), F.lit(0).alias("l"), F.lit(0).alias("d"))
     legs_ = raw.legs.select(month, F.lit(0).alias("f"), F.lit(1).alias("l"), F.lit(0).alias("d"))
     delays = raw.delays.select(month, F.lit(0).alias("f"), F.lit(0).alias("l"), F.lit(1).alias("d"))
@@ -798,7 +798,7 @@ def stream_daily_counts_(g: Given) -> DataFrame:
     dated = items.join(flights, "flight_id")
     stream_daily_counts(dated, "airport", target, scratch_path(g.spark, "stream-state")).awaitTermination()
     schema = "departure_airport_code string, flight_schedule_date date, delayed_count long, total_count long"
-    return g.spark.read.schema(schema).parquet(target).drop("month")
+    return g.spark.read.schema(schema).parquet(target).drop("year")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -23,12 +23,12 @@ from .build import RawTables
 
 _DATE = "flight_schedule_date"
 _PERIOD = "period"
-_PERIOD_CHARS = {"day": 10, "month": 7}
+_PERIOD_CHARS = {"day": 10, "month": 7, "year": 4}
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Stored tables below one root, partitioned by the day or month of the flight date."""
+    """Stored tables below one root, partitioned by the day, month or year of the flight date."""
 
     root: str
     by: str = "day"
@@ -46,6 +46,8 @@ class Warehouse:
         """The range widened to full partitions."""
         if self.by == "day":
             return lo, hi
+        if self.by == "year":
+            return lo.replace(month=1, day=1), hi.replace(month=12, day=31)
         after = (hi.replace(day=1) + timedelta(days=32)).replace(day=1)
         return lo.replace(day=1), after - timedelta(days=1)
 

@@ -466,7 +466,7 @@ _STATEMENTS = {
     "upsert_flights": """
         select id, flight_number,
             case when flight_status_public = 'P'
-                then strftime(cast(flight_schedule_date as date) + 40, '%Y-%m-%d')
+                then strftime(cast(flight_schedule_date as date) + 200, '%Y-%m-%d')
                 else flight_schedule_date end as flight_schedule_date,
             airline_code, airline_name, haul, route,
             case when flight_status_public = 'O' then 'A' else flight_status_public end as flight_status_public,

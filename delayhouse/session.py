@@ -16,6 +16,9 @@ _RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles a method above 8000 bytes of bytecode. Wide projections that would produce one
+    # fall back to generated code that is split into small methods, which is much faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

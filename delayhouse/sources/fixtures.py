@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .schemas import PAGE_DOCUMENT
 
 FETCHED_AT = "2002-01-01 06:00:00"
@@ -16,7 +17,16 @@ FETCHED_AT = "2002-01-01 06:00:00"
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, with its zone-less timestamps read as UTC."""
-    return _zoned(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return _zoned(_spread(spark.read.parquet(f"{sf_dir}/{name}.parquet")))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than there are cores.
+
+    Only a table of a few megabytes has so few; a large one keeps its splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -185,94 +195,87 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested flight document per line item, with zero to three legs and every irregularity shape."""
-    kinds = PAGE_DOCUMENT["operationalFlights"].dataType.elementType
-    end_type = kinds["flightLegs"].dataType.elementType["departureInformation"].dataType
-    irregularity_type = kinds["flightLegs"].dataType.elementType["irregularity"].dataType
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+def _json_place(number: Column, scheduled: Column, actual: Column | None) -> Column:
+    city = _text(
+        '{"code":"C', number % 20, '","name":"City ', number % 20,
+        '","country":{"code":"R', number % 5, '","name":"Country ', number % 5, '"}}',
+    )
+    return _text(
+        '{"airport":{"code":"N', number, '","name":"Airport ', number, '","city":',
+        F.when(number != 7, city).otherwise("null"),
+        '},"times":{"scheduled":"', scheduled, '","actual":',
+        "null" if actual is None else _text('"', actual, '"'), "}}",
+    )
 
-    def place(number: Column, scheduled: Column, actual: Column) -> Column:
-        country = F.struct(_text("R", number % 5).alias("code"), _text("Country ", number % 5).alias("name"))
-        city = F.struct(_text("C", number % 20).alias("code"), _text("City ", number % 20).alias("name"), country.alias("country"))
-        airport = F.struct(
-            _text("N", number).alias("code"),
-            _text("Airport ", number).alias("name"),
-            F.when(number != 7, city).alias("city"),
-        )
-        times = F.struct(scheduled.alias("scheduled"), actual.alias("actual"))
-        return F.struct(airport.alias("airport"), times.alias("times")).cast(end_type)
 
-    def stamp(when: Column) -> Column:
-        return F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def _json_leg(i: int) -> Column:
+    """Leg ``i`` of a document; its irregularity takes every shape a source may send."""
 
-    def entry(code, duration) -> Column:
-        return F.struct(
-            code.cast("string").alias("delayCode"),
-            F.lit(None).cast("string").alias("delayReasonPublicLangTransl"),
-            duration.cast("string").alias("delayDuration"),
-        )
+    def stamp(hours: int, minutes: Column | None = None) -> Column:
+        when = F.col("l_shipdate") + _hours(F.lit(hours))
+        return F.date_format(when if minutes is None else when + _minutes(minutes), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
-    def irregularity(kind: Column) -> Column:
-        pt = _text("PT", _q(), "M")
-        null = F.lit(None)
-        no_info, no_list = null.cast(irregularity_type["delayInformation"].dataType), null.cast("array<string>")
-
-        def shape(cancelled, info, codes, durations) -> Column:
-            return F.struct(
-                F.lit(cancelled).cast("string").alias("cancelled"),
-                info.alias("delayInformation"),
-                codes.alias("delayCode"),
-                durations.alias("delayDuration"),
-            ).cast(irregularity_type)
-
-        empty = F.array().cast(irregularity_type["delayInformation"].dataType)
-        return (
-            F.when(kind == 0, null.cast(irregularity_type))
-            .when(kind == 1, shape("N", F.array(entry(F.lit("81"), pt)), F.array(F.lit("81")), F.array(pt)))
-            .when(kind == 2, shape("N", empty, F.array(F.lit("A"), F.lit("B")), F.array(pt)))
-            .when(kind == 3, shape("Y", F.array(entry(F.lit("X"), pt), entry(F.lit("Y"), null)), no_list, no_list))
-            .otherwise(shape(None, no_info, no_list, no_list))
+    kind, pt = (_q() + i) % 5, _text('"PT', _q(), 'M"')
+    irregularity = (
+        F.when(kind == 0, "null")
+        .when(
+            kind == 1,
+            _text('{"cancelled":"N","delayInformation":[{"delayCode":"81","delayDuration":', pt,
+                  '}],"delayCode":["81"],"delayDuration":[', pt, "]}"),
+        )
+        .when(
+            kind == 2,
+            _text('{"cancelled":"N","delayInformation":[],"delayCode":["A","B"],"delayDuration":[', pt, "]}"),
+        )
+        .when(
+            kind == 3,
+            _text('{"cancelled":"Y","delayInformation":[{"delayCode":"X","delayDuration":', pt,
+                  '},{"delayCode":"Y","delayDuration":null}]}'),
         )
+        .otherwise("{}")
+    )
+    return _text(
+        '{"publishedStatus":"', F.when(kind == 3, "CANCELLED").otherwise("ARRIVED"),
+        f'","scheduledFlightDuration":"PT{1 + i}H', _q(), 'M","departureInformation":',
+        _json_place((F.col("l_suppkey") + i) % 25, stamp(2 * i), stamp(2 * i, _q())),
+        ',"arrivalInformation":',
+        _json_place((F.col("l_suppkey") + i + 1) % 25, stamp(2 * i + 2), None),
+        ',"aircraft":{"typeCode":"A', F.col("l_partkey") % 40, '"},"irregularity":', irregularity, "}",
+    )
 
-    def leg(i: Column) -> Column:
-        departure = F.col("l_shipdate") + _hours((2 * i).cast("int"))
-        arrival = departure + _hours(F.lit(2))
-        return F.struct(
-            F.when((_q() + i) % 5 == 3, "CANCELLED").otherwise("ARRIVED").alias("publishedStatus"),
-            _text("PT", 1 + i, "H", _q(), "M").alias("scheduledFlightDuration"),
-            place((F.col("l_suppkey") + i) % 25, stamp(departure), stamp(departure + _minutes(_q()))).alias("departureInformation"),
-            place((F.col("l_suppkey") + i + 1) % 25, stamp(arrival), F.lit(None).cast("string")).alias("arrivalInformation"),
-            F.struct(_text("A", F.col("l_partkey") % 40).alias("typeCode"), F.lit(None).cast("string").alias("typeName")).alias("aircraft"),
-            irregularity((_q() + i) % 5).alias("irregularity"),
-        ).cast(kinds["flightLegs"].dataType.elementType)
 
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text of one nested flight document per line item, with zero to three legs."""
     count = 1 + F.col("l_linenumber") % 3
-    flight_legs = F.when(_q() != 1, F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), leg))
-    airline = F.struct(F.col("l_linestatus").alias("code"), F.concat(F.lit("Airline "), F.col("l_linestatus")).alias("name"))
-    return given(spark, sf_dir, "lineitem").select(
-        F.concat_ws("+", day, F.col("l_linestatus"), _leg_key()).alias("id"),
-        F.col("l_orderkey").cast("int").alias("flightNumber"),
-        day.alias("flightScheduleDate"),
-        F.when(_q() != 2, airline).alias("airline"),
-        F.lit("MEDIUM").alias("haul"),
-        F.lit(None).cast("string").alias("route"),
-        F.col("l_returnflag").alias("flightStatusPublic"),
-        flight_legs.alias("flightLegs"),
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    more = [F.when(count > i, _text(",", _json_leg(i))).otherwise("") for i in (1, 2)]
+    airline = _text('{"code":"', F.col("l_linestatus"), '","name":"Airline ', F.col("l_linestatus"), '"}')
+    text = _text(
+        '{"id":"', F.concat_ws("+", day, F.col("l_linestatus"), _leg_key()), '","flightNumber":',
+        F.col("l_orderkey"), ',"flightScheduleDate":"', day, '","airline":',
+        F.when(_q() != 2, airline).otherwise("null"),
+        ',"haul":"MEDIUM","flightStatusPublic":"', F.col("l_returnflag"), '","flightLegs":',
+        F.when(_q() != 1, _text("[", _json_leg(0), *more, "]")).otherwise("null"), "}",
     )
+    return given(spark, sf_dir, "lineitem").select(text.alias("value"), (F.col("l_orderkey") % 50 == 0).alias("broken"))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested flight documents, landed as JSON lines and read back.
+
+    Read from files rather than parsed in place: the optimizer may repeat an inline parse per column used.
+    """
+    path = scratch_path(spark, "documents")
+    document_lines(spark, sf_dir).select("value").write.text(path)
+    return spark.read.schema(PAGE_DOCUMENT["operationalFlights"].dataType.elementType).json(path)
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed page text, one page per flight document; some pages are cut short, as after a failed fetch."""
-    docs = documents(spark, sf_dir)
-    page = F.to_json(
-        F.struct(
-            F.struct(F.lit(1).alias("totalPages")).alias("page"),
-            F.array(F.struct(*docs.columns)).alias("operationalFlights"),
-        )
+    page = _text('{"page":{"totalPages":1},"operationalFlights":[', F.col("value"), "]}")
+    return document_lines(spark, sf_dir).select(
+        F.when(F.col("broken"), F.substring(page, 1, 40)).otherwise(page).alias("value")
     )
-    broken = F.col("flightNumber") % 50 == 0
-    return docs.select(F.when(broken, F.substring(page, 1, 40)).otherwise(page).alias("value"))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
