@@ -152,14 +152,15 @@ def run_transform(
     fact_rows = house.with_period(mart.fct_flight_legs(ready), "date_key")
     replace_range(spark, house.path("fct_flight_legs"), fact_rows, _PERIOD, touched)
 
-    joined = legs_with_flights(raw.legs, raw.flights)
+    # Airlines and dates are in the stored fact, so only the airports, with their cities, need a join.
+    fact = read_fact(spark, house)
+    carriers = fact.select(F.col("airline_key").alias("airline_code"), "airline_name")
     dims = {
-        "dim_airlines": mart.dim_airlines(joined),
-        "dim_airports": mart.dim_airports(joined),
-        "dim_date": mart.dim_date(joined),
+        "dim_airlines": mart.dim_airlines(carriers),
+        "dim_airports": mart.dim_airports(legs_with_flights(raw.legs, raw.flights)),
+        "dim_date": mart.dim_date(fact.select(F.col("date_key").alias(_DATE))),
     }
     written = {name: materialize(df, name, "table", path=house.path(name)) for name, df in dims.items()}
-    fact = read_fact(spark, house)
     checks = quality.star_schema_checks(fact, written["dim_date"], written["dim_airlines"], written["dim_airports"])
     return quality.run_quality_gate(checks)
 
@@ -189,10 +190,8 @@ def run_scoring(
     """Score the legs that have no prediction and merge the results; returns how many."""
     fact = read_fact(spark, house)
     todo = scoring.unscored_legs(fact, read_predictions(spark, house), rescore)
-    dated = todo.select("leg_id", _PERIOD)
-    scored = scoring.score(todo, model, now or datetime.now(timezone.utc))
     # Written once: the merge reads it several times and must not score again.
-    fresh = staged(scored.join(dated, "leg_id"), "scored")
+    fresh = staged(scoring.score(todo, model, now or datetime.now(timezone.utc), (_PERIOD,)), "scored")
     count = fresh.count()
     if count:
         upsert_predictions(spark, house.path("predictions"), fresh, _PERIOD)
