@@ -10,6 +10,7 @@ from ..sources.tables import event_extra
 
 TERMINAL = ("SUCCESS", "FAILED")
 # Names used when an event does not say where it came from.
+DEFAULT_APP = "airflow"
 UNKNOWN_DAG, UNKNOWN_TASK = "unknown_dag", "unknown_task"
 
 _CONTEXT = (
@@ -40,7 +41,7 @@ def enrich_events(raw: DataFrame) -> DataFrame:
     return raw.select(
         "id",
         "event_at",
-        F.coalesce(maybe("app"), F.lit("airflow")).alias("app"),
+        F.coalesce(maybe("app"), F.lit(DEFAULT_APP)).alias("app"),
         F.upper("level").alias("level"),
         F.lower("layer").alias("layer"),
         "dag_id",
@@ -158,7 +159,7 @@ def task_outcome_events(outcomes: DataFrame, layer: str, success_type: str, fail
     error = F.map_from_arrays(F.array(F.lit("exception")), F.array("exception"))
     return outcomes.select(
         "event_at",
-        F.lit("airflow").alias("app"),
+        F.lit(DEFAULT_APP).alias("app"),
         F.when(failed, "ERROR").otherwise("INFO").alias("level"),
         F.lit(layer.lower()).alias("layer"),
         "dag_id",
