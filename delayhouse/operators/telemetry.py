@@ -51,12 +51,19 @@ def gauge_max(samples: DataFrame, metric: str) -> DataFrame:
 
 def gauge_diff(samples: DataFrame, minuend: str, subtrahend: str) -> DataFrame:
     """Newest value of one gauge minus that of another, per job and instance."""
-    newest = gauge_latest(samples.filter(F.col("metric").isin(minuend, subtrahend)), minuend).select(
-        "job", "instance", "label_key", F.col("value").alias("a")
+    newest = (
+        with_series(samples.filter(F.col("metric").isin(minuend, subtrahend)))
+        .groupBy(*_SERIES)
+        .agg(F.max(F.struct("ts", "value"))["value"].alias("value"))
     )
-    other = gauge_latest(samples, subtrahend).select("job", "instance", "label_key", F.col("value").alias("b"))
-    return newest.join(other, ["job", "instance", "label_key"]).select(
-        "job", "instance", "label_key", (F.col("a") - F.col("b")).alias("value")
+
+    def of(metric: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.col("value")))
+
+    return (
+        newest.groupBy("job", "instance", "label_key")
+        .agg((of(minuend) - of(subtrahend)).alias("value"))
+        .filter(F.col("value").isNotNull())
     )
 
 
