@@ -19,6 +19,7 @@ import heapq
 import re
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table, texts
@@ -118,7 +119,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = TOKEN_LIMIT) -> DataF
             found = [counts.tokens(t) for t in batch.column("text").to_pylist()]
             if len(counts) >= REMEMBERED:
                 counts.clear()
-            size = pa.compute.binary_length(batch.column("text")).cast(pa.int64())
+            size = pc.binary_length(batch.column("text")).cast(pa.int64())
             over = pa.array([n > limit for n in found], pa.bool_())
             columns = [batch.column("doc_id"), size, pa.array(found, pa.int64()), over]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "over_limit"])
