@@ -1,12 +1,13 @@
 """The registered queries of this package, and their SQL where SQL can express them."""
 
-from . import chat, mixing, near_dedup, packing, token_counts
+from . import chat, mixing, near_dedup, packing, secrets, token_counts
 
 
 def queries():
     return {
         "op1_token_counts": token_counts.query,
         "op2_best_fit_packing": packing.query,
+        "op4_secret_scans": secrets.query,
         "op5_minhash_near_dedup": near_dedup.query,
         "op9_chat_formatting": chat.query,
         "op10_mixing": mixing.query,
@@ -14,4 +15,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op9_chat_formatting": chat.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op4_secret_scans": secrets.ORACLE, "op9_chat_formatting": chat.ORACLE, "op10_mixing": mixing.ORACLE}
