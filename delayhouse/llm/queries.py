@@ -1,6 +1,6 @@
 """The registered queries of this package, and their SQL where SQL can express them."""
 
-from . import chat, mixing, near_dedup, packing, secrets, token_counts
+from . import chat, mixing, near_dedup, packing, secrets, token_counts, topk
 
 
 def queries():
@@ -9,10 +9,16 @@ def queries():
         "op2_best_fit_packing": packing.query,
         "op4_secret_scans": secrets.query,
         "op5_minhash_near_dedup": near_dedup.query,
+        "op6_exact_topk": topk.query,
         "op9_chat_formatting": chat.query,
         "op10_mixing": mixing.query,
     }
 
 
 def oracle_sql():
-    return {"op4_secret_scans": secrets.ORACLE, "op9_chat_formatting": chat.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {
+        "op4_secret_scans": secrets.ORACLE,
+        "op6_exact_topk": topk.ORACLE,
+        "op9_chat_formatting": chat.ORACLE,
+        "op10_mixing": mixing.ORACLE,
+    }
