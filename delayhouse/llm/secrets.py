@@ -55,12 +55,13 @@ RULES = (
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
-    """array<struct<start, end>> of a rule's findings in order; empty where there is none.
+    r"""array<struct<start, end>> of a rule's findings in order; empty where there is none.
 
     One pass takes every match together with what stands before it since the last one, a second pass that part alone;
-    their lengths give the places.
+    their lengths give the places. \G lets a search start at the end of the last match only, so the rest of a text
+    behind its last match is gone through once.
     """
-    led = F.lit(f"([\\s\\S]*?)({rule.pattern})")
+    led = F.lit(f"\\G([\\s\\S]*?)({rule.pattern})")
     before = F.transform(F.regexp_extract_all(text, led, F.lit(1)), F.length)
     whole = F.transform(F.regexp_extract_all(text, led, F.lit(2)), F.length)
     measured = whole
