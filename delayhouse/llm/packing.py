@@ -16,7 +16,6 @@ null; other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
-import re
 import zlib
 from itertools import repeat
 
@@ -30,11 +29,8 @@ from .common import staged, table, texts
 
 CAPACITY = 1024
 END_ID = 2
-#: Units of text remembered by a task, and hash buckets of a length.
-REMEMBERED = 400_000
+#: Hash buckets of a length.
 BUCKETS = 256
-#: White space of the vocabulary's own split pattern. No token spans a step from anything else to white space.
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028-\u2029\u202f\u205f\u3000"
 PIECE = "doc_id {0}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -42,45 +38,47 @@ PIECE = "doc_id {0}, piece int, start long, length long, ids_crc32 long"
 
 
 class Identifiers:
-    """Token ids of texts as little-endian 32-bit numbers; units that recur in a task are encoded once."""
+    """Token ids of texts as little-endian 32-bit numbers, as ``tokenizers`` gives them for a byte-level BPE file.
 
-    def __init__(self, tokenizer: str):
-        import os
+    The vocabulary is read from that file, and merged by ``tiktoken``, which is several times faster. It joins any
+    pair that spells an entry where the file lists one pair for each entry; the ids are the same, since at the rank of an entry all lower
+    merges within its spelling are done, which leaves the listed pair. A text with the string of a special token goes to
+    ``tokenizers`` itself.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, tokenizer: str, pattern: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cut = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+").findall
-        self.known: dict[str, bytes] = {}
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def of(self, text: str) -> bytes:
+        # Byte-level files write a byte as a printable character: itself, or the next free one from 256 on.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        entries = self.tokenizer.get_vocab(with_added_tokens=False)
+        ranks = {bytes(map(byte_of.__getitem__, entry)): rank for entry, rank in entries.items()}
+        self.encoding = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def of(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
-            return self.encoded([text])[0]
-        units, known = self.cut(text), self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        missing = [u for u in set(units) if u not in known]
-        if missing:
-            known.update(zip(missing, self.encoded(missing), strict=True))
-        return b"".join(map(known.__getitem__, units))
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, pattern: str, end_id: int = END_ID, capacity: int = CAPACITY
+) -> DataFrame:
     """The token pieces of every whole text; a text of over ``capacity`` tokens is cut, its first piece being the shorter."""
     identifier = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches):
-        identifiers, end = Identifiers(tokenizer), np.array([end_id], "<u4").tobytes()
+        identifiers, end = Identifiers(tokenizer, pattern), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             owners, numbers, starts, lengths, sums = [], [], [], [], []
             for owner, text in enumerate(batch.column("text").to_pylist()):
-                ids = memoryview(identifiers.of(text) + end)
+                ids = memoryview(identifiers.of(text).tobytes() + end)
                 total = len(ids) // 4
                 first = (total - 1) % capacity + 1
                 bounds = [0, *range(first, total + 1, capacity)]
@@ -205,31 +203,32 @@ def plan(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     return made + best_fit(left)
 
 
-class Places:
-    """Sequence and offset by length and rank, from a plan."""
-
-    def __init__(self, planned: list[tuple[tuple[int, ...], int]], capacity: int):
-        used = np.zeros(capacity + 1, np.int64)
-        runs, first = [], 0
-        for pattern, n in planned:
-            offset = 0
-            for length in pattern:
-                runs.append((length, used[length], first, offset))
-                used[length] += n
-                offset += length
-            first += n
-        table = np.array(sorted(runs), np.int64).reshape(-1, 4)
-        self.sequences, self.bounds = first, np.searchsorted(table[:, 0], np.arange(capacity + 2))
-        self.rank, self.first, self.offset = (np.ascontiguousarray(table[:, i]) for i in (1, 2, 3))
-
-    def of(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
-        for n in np.unique(length):
-            at, low = np.flatnonzero(length == n), self.bounds[n]
-            run = low + np.searchsorted(self.rank[low : self.bounds[n + 1]], rank[at], "right") - 1
-            sequence[at] = self.first[run] + rank[at] - self.rank[run]
-            offset[at] = self.offset[run]
-        return sequence, offset
+def places(planned: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[np.ndarray, ...]:
+    """Runs of a plan by length, then rank: bounds of each length, and first rank, first sequence and offset of each run."""
+    used = np.zeros(capacity + 1, np.int64)
+    runs, first = [], 0
+    for pattern, n in planned:
+        offset = 0
+        for length in pattern:
+            runs.append((length, used[length], first, offset))
+            used[length] += n
+            offset += length
+        first += n
+    ordered = np.array(sorted(runs), np.int64).reshape(-1, 4)
+    bounds = np.searchsorted(ordered[:, 0], np.arange(capacity + 2))
+    return bounds, *(np.ascontiguousarray(ordered[:, i]) for i in (1, 2, 3))
+
+
+def look_up(runs: tuple[np.ndarray, ...], length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset by length and rank."""
+    bounds, ranks, sequences, offsets = runs
+    sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+    for n in np.unique(length):
+        at, low = np.flatnonzero(length == n), bounds[n]
+        run = low + np.searchsorted(ranks[low : bounds[n + 1]], rank[at], "right") - 1
+        sequence[at] = sequences[run] + rank[at] - ranks[run]
+        offset[at] = offsets[run]
+    return sequence, offset
 
 
 # ---- the job ---------------------------------------------------------------------------------------------------------
@@ -242,7 +241,7 @@ def pack(spark: SparkSession, cut: DataFrame, capacity: int = CAPACITY, buckets:
     counts = np.zeros(capacity + 1, np.int64)
     for row in groups.groupBy("length").agg(F.sum("members").alias("members")).collect():  # at most one row per length
         counts[row["length"]] = row["members"]
-    places = spark.sparkContext.broadcast(Places(plan(counts), capacity))  # its size depends on the capacity alone
+    runs = spark.sparkContext.broadcast(places(plan(counts), capacity))  # its size depends on the capacity alone
     earlier = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = groups.select("length", "bucket", F.coalesce(F.sum("members").over(earlier), F.lit(0)).alias("bucket_start"))
     place = W.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
@@ -257,20 +256,24 @@ def pack(spark: SparkSession, cut: DataFrame, capacity: int = CAPACITY, buckets:
     def placed(batches):
         for batch in batches:
             length, rank = (np.asarray(batch.column(c)) for c in ("length", "rank"))
-            found = [pa.array(x) for x in places.value.of(length, rank)]
+            found = [pa.array(x) for x in look_up(runs.value, length, rank)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *found], names)
 
     schema = ", ".join(f"{name} {kind}" for name, kind in cut.dtypes) + ", sequence_id long, offset long"
     return ranked.mapInArrow(placed, schema)
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """All pieces of all documents with their places."""
-    return pack(spark, staged(pieces(docs, tokenizer, capacity=capacity), "pack-pieces"), capacity)
+def pack_documents(
+    spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, pattern: str | None = None, capacity: int = CAPACITY
+) -> DataFrame:
+    """All pieces of all documents with their places. Vocabulary file (a path that every executor has) and split pattern
+    are those of the public byte-level vocabulary unless given."""
+    import public_tokenizers
+
+    tokenizer, pattern = tokenizer or public_tokenizers.path("byte_bpe_50k.json"), pattern or public_tokenizers.PATTERN
+    return pack(spark, staged(pieces(docs, tokenizer, pattern, capacity=capacity), "pack-pieces"), capacity)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed."""
-    import public_tokenizers
-
-    return pack_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(spark, table(spark, sf_dir, "documents"))

@@ -14,6 +14,4 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences."""
-    import public_tokenizers
-
-    return packing.pack_documents(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(spark, docs)
