@@ -1,15 +1,22 @@
-"""The registered queries of this package, and their SQL where SQL can express them."""
+"""The registered queries of this package, and their SQL where SQL can express them.
 
-from . import chat, mixing, near_dedup, packing, secrets, token_counts, topk
+Without SQL, and tested against brute force or held-out labels instead: token counts and packing (tokenizers), language-model
+scoring, near-duplicates (components), quality (a fitted model) and fingerprints.
+"""
+
+from . import chat, fingerprints, lm_scoring, mixing, near_dedup, packing, quality, secrets, token_counts, topk
 
 
 def queries():
     return {
         "op1_token_counts": token_counts.query,
         "op2_best_fit_packing": packing.query,
+        "op3_lm_scoring": lm_scoring.query,
         "op4_secret_scans": secrets.query,
         "op5_minhash_near_dedup": near_dedup.query,
         "op6_exact_topk": topk.query,
+        "op7_quality_classifier": quality.query,
+        "op8_document_fingerprints": fingerprints.query,
         "op9_chat_formatting": chat.query,
         "op10_mixing": mixing.query,
     }
