@@ -12,7 +12,10 @@ from delayhouse.llm import stages
 from delayhouse.llm.common import staged, table
 
 STAGES = [
-    ("mixing", stages.mix_sources),
+    ("quality classifier", stages.reject_low_quality),
+    ("near-duplicates", stages.drop_near_duplicates),
+    ("secret scans", stages.mask_secrets),
+    ("source mixing", stages.mix_sources),
     ("packing", stages.pack),
 ]
 
