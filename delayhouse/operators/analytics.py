@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import percent_half_up, ratio_half_up
+from ..functions import instant, percent_half_up, ratio_half_up
 
 # Dimension -> (fact column, smallest volume a group must have to be reported).
 DIMENSIONS = {
@@ -46,7 +46,7 @@ def recent(df: DataFrame, as_of: date, days: int = TRAILING_DAYS, column: str =
 
 def time_filter(df: DataFrame, column: str, lo: datetime, hi: datetime) -> DataFrame:
     """Rows whose timestamp lies in the closed range."""
-    return df.filter(F.col(column).between(F.lit(lo), F.lit(hi)))
+    return df.filter(F.col(column).between(instant(lo), instant(hi)))
 
 
 def delay_metrics(
@@ -122,8 +122,8 @@ def scored_days(predictions: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def future_days(days: DataFrame, now: datetime) -> DataFrame:
-    """Scored days from today on, by the local date in Paris. ``now`` is UTC."""
-    today = F.to_date(F.from_utc_timestamp(F.lit(now.replace(tzinfo=None).isoformat(sep=" ")), "Europe/Paris"))
+    """Scored days from today on, by the local date in Paris."""
+    today = F.to_date(F.from_utc_timestamp(instant(now), "Europe/Paris"))
     return days.filter(F.to_date("day") >= today)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import is_delayed, iso_minutes, time_parts
 
-# Declared output columns of the feature table, in order.
+# Declared output columns of the feature table, in order.
 LEGS_READY_COLUMNS = (
     "leg_id", "flight_id", "flight_number", "flight_schedule_date", "airline_code", "airline_name",
     "departure_airport_code", "arrival_airport_code", "departure_airport_name", "arrival_airport_name",

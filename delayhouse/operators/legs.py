@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import delay_flag, delay_minutes, iso_minutes
 
-# Declared output columns of the per-leg delay table, in order.
+# Declared output columns of the per-leg delay table, in order.
 DELAYS_LEG_COLUMNS = (
     "leg_id", "flight_id", "flight_number", "flight_schedule_date", "airline_code", "airline_name", "leg_order",
     "departure_airport_code", "arrival_airport_code", "departure_airport_name", "arrival_airport_name",
@@ -67,9 +67,28 @@ def leg_delay_columns() -> list[Column]:
     ]
 
 
+def delay_stats(delays: DataFrame) -> DataFrame:
+    """Per leg, in one aggregation: what :func:`delay_agg` and :func:`event_counts` say."""
+    declared = F.col("delay_duration").isNotNull()
+    return delays.groupBy("flight_leg_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(delay_flag(F.col("delay_duration"))).alias("delayed"),
+        F.sum(F.when(declared, iso_minutes(F.col("delay_duration")))).cast("int").alias("delay_duration_minutes"),
+        F.min(F.when(declared, F.col("delay_code"))).alias("delay_code"),
+    )
+
+
+def legs_with_delays(legs: DataFrame, flights: DataFrame, delays: DataFrame) -> DataFrame:
+    """One row per leg with its flight, time differences, declared delay, and numbers of ``events`` and ``delayed`` ones.
+
+    All that the features need of the three tables, each read once; shares and features both follow from it.
+    """
+    stats = delay_stats(delays)
+    base = legs_with_flights(legs, flights).select("*", *leg_delay_columns())
+    joined = base.join(stats, base["leg_id"] == stats["flight_leg_id"], "left")
+    return joined.select(*DELAYS_LEG_COLUMNS, "events", "delayed")
+
+
 def delays_per_leg(legs: DataFrame, flights: DataFrame, delays: DataFrame) -> DataFrame:
     """One row per leg with its flight, time differences and declared delay."""
-    agg = delay_agg(delays)
-    base = legs_with_flights(legs, flights).select("*", *leg_delay_columns())
-    joined = base.join(agg, base["leg_id"] == agg["flight_leg_id"], "left")
-    return joined.select(*DELAYS_LEG_COLUMNS)
+    return legs_with_delays(legs, flights, delays).select(*DELAYS_LEG_COLUMNS)

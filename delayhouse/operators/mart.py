@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dow_sunday0
+from ..functions import dow_sunday0, instant
 
 _KEY_NAMES = {
     "airline_code": "airline_key",
@@ -16,7 +16,7 @@ _KEY_NAMES = {
     "flight_schedule_date": "date_key",
 }
 
-# Declared output columns of the fact, by their name in the feature table.
+# Declared output columns of the fact, by their name in the feature table.
 _FACT_SOURCE = (
     "leg_id", "flight_id", "flight_number", "airline_code", "airline_name",
     "departure_airport_code", "arrival_airport_code", "departure_airport_name", "arrival_airport_name",
@@ -48,7 +48,7 @@ def incremental_filter(df: DataFrame, newest: datetime | None, column: str, days
     """
     if newest is None:
         return df
-    return df.filter(F.col(column) >= F.lit(newest - timedelta(days=days)))
+    return df.filter(F.col(column) >= instant(newest - timedelta(days=days)))
 
 
 def dim_airlines(legs: DataFrame) -> DataFrame:
@@ -93,3 +93,39 @@ def dim_date(legs: DataFrame) -> DataFrame:
         F.month(day).alias("month"),
         F.year(day).alias("year"),
     )
+
+
+_PART_COLUMNS = ("name", "city_code", "city_name", "country_code", "country_name")
+
+
+def dimension_parts(legs: DataFrame, period: str) -> DataFrame:
+    """The distinct dimension rows of each period: kind, key and attributes. Dimensions are their union over the periods."""
+
+    def part(kind: str, key: str, *attributes: str) -> Column:
+        values = [F.col(a) for a in attributes] + [F.lit(None).cast("string")] * (len(_PART_COLUMNS) - len(attributes))
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col(key).alias("key"), *(v.alias(n) for v, n in zip(values, _PART_COLUMNS))
+        )
+
+    def airport(side: str) -> Column:
+        attributes = ("airport_name", *_PART_COLUMNS[1:])
+        return part("airport", f"{side}_airport_code", *(f"{side}_{a}" for a in attributes))
+
+    parts = F.array(
+        part("airline", "airline_code", "airline_name"), airport("departure"), airport("arrival"), part("date", "flight_schedule_date")
+    )
+    return legs.select(period, F.inline(parts)).filter(F.col("key").isNotNull()).distinct()
+
+
+def dimensions(parts: DataFrame) -> dict[str, DataFrame]:
+    """The three dimensions from their parts."""
+
+    def of(kind: str) -> DataFrame:
+        return parts.filter(F.col("kind") == kind)
+
+    airports = of("airport").select(F.col("key").alias("airport_key"), F.col("name").alias("airport_name"), *_PART_COLUMNS[1:])
+    return {
+        "dim_airlines": dim_airlines(of("airline").select(F.col("key").alias("airline_code"), F.col("name").alias("airline_name"))),
+        "dim_airports": airports.distinct(),
+        "dim_date": dim_date(of("date").select(F.col("key").alias("flight_schedule_date"))),
+    }

@@ -106,15 +106,20 @@ def entity_days(
     include_current: bool = True,
     flown_only: bool = False,
 ) -> DataFrame:
-    """Every per-day feature of every entity in one pass over the legs.
+    """Every per-day feature of every entity in one pass over the legs."""
+    counts = event_counts(delays)
+    base = legs_with_flights(legs, flights)
+    joined = base.join(counts, base["leg_id"] == counts["flight_leg_id"], "left")
+    return entity_days_of(joined, include_current, flown_only)
+
+
+def entity_days_of(leg_counts: DataFrame, include_current: bool = True, flown_only: bool = False) -> DataFrame:
+    """As :func:`entity_days`, from legs that carry their numbers of ``events`` and ``delayed`` ones.
 
     Columns ``kind, code, flight_schedule_date, departing, arriving, delayed_share``. One shuffle of
     pre-combined rows replaces the separate congestion and share aggregations, and the share is null
     on a day without an active event, where the separate share tables have no row.
     """
-    counts = event_counts(delays)
-    base = legs_with_flights(legs, flights)
-    joined = base.join(counts, base["leg_id"] == counts["flight_leg_id"], "left")
     counted = ~F.coalesce("cancelled", F.lit(True))
     if flown_only:
         counted = counted & F.col("actual_departure").isNotNull()
@@ -140,7 +145,7 @@ def entity_days(
         entry("airline", "airline_code", 0, 0, True),
     )
     daily = (
-        joined.select("flight_schedule_date", F.inline(entries))
+        leg_counts.select("flight_schedule_date", F.inline(entries))
         .filter(F.col("code").isNotNull())
         .groupBy("kind", "code", "flight_schedule_date")
         .agg(*(F.sum(c).alias(c) for c in ("departing", "arriving", "delayed", "events")))

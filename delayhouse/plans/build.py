@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.features import leg_outcomes, legs_ready
-from ..operators.legs import delays_per_leg
+from ..operators.legs import DELAYS_LEG_COLUMNS, delays_per_leg, legs_with_delays
 from ..operators.mart import fct_flight_legs, leg_facts
-from ..operators.shares import entity_days
+from ..operators.shares import entity_days_of
 from ..session import staged
 
 
@@ -20,15 +20,15 @@ class RawTables:
     delays: DataFrame
 
 
-def build_features(raw: RawTables, stage_days: bool = True, include_current: bool = True, flown_only: bool = False) -> DataFrame:
+def build_features(raw: RawTables, include_current: bool = True, flown_only: bool = False) -> DataFrame:
     """The feature table of every leg.
 
-    The entity-day table is small beside the legs and read by four joins, so it is written once.
+    Legs, flights and delays are read and joined once; the joined legs are written, and the entity days come from a narrow
+    projection of them. The entity-day table is small beside the legs and read by four joins, so it is written once too.
     """
-    days = entity_days(raw.legs, raw.flights, raw.delays, include_current, flown_only)
-    if stage_days:
-        days = staged(days, "entity-days")
-    return legs_ready(delays_per_leg(raw.legs, raw.flights, raw.delays), days)
+    base = staged(legs_with_delays(raw.legs, raw.flights, raw.delays), "leg-delays")
+    days = staged(entity_days_of(base, include_current, flown_only), "entity-days")
+    return legs_ready(base.select(*DELAYS_LEG_COLUMNS), days)
 
 
 def build_fact(raw: RawTables, **options) -> DataFrame:

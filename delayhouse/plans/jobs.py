@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
@@ -10,14 +11,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import newest_instant
 from ..operators import mart, quality, scoring
 from ..operators.features import legs_ready
-from ..operators.legs import delays_per_leg, legs_with_flights
-from ..operators.shares import SHARE_DAYS, entity_days
-from ..session import configure, staged
+from ..operators.legs import DELAYS_LEG_COLUMNS, legs_with_delays
+from ..operators.shares import SHARE_DAYS, entity_days_of
+from ..session import Stages, configure
 from ..sources import documents, schemas
 from ..sources.normalize import normalize_delays, normalize_flights, normalize_legs
-from ..sources.storage import latest, replace_range, upsert_table
+from ..sources.storage import finish_pending, latest, pruned, replace_partitions, stored_partitions, upsert_table
 from ..sources.tables import materialize, read_or_none
 from .build import RawTables
 
@@ -42,46 +44,51 @@ class Warehouse:
     def period(self, day: date) -> str:
         return day.isoformat()[: _PERIOD_CHARS[self.by]]
 
-    def whole_periods(self, lo: date, hi: date) -> tuple[date, date]:
-        """The range widened to full partitions."""
-        if self.by == "day":
-            return lo, hi
-        if self.by == "year":
-            return lo.replace(month=1, day=1), hi.replace(month=12, day=31)
-        after = (hi.replace(day=1) + timedelta(days=32)).replace(day=1)
-        return lo.replace(day=1), after - timedelta(days=1)
-
-    def between(self, df: DataFrame, lo: date, hi: date) -> DataFrame:
-        """Rows of a stored table dated in the range; the partition bound prunes the scan."""
-        return df.filter(
-            F.col(_PERIOD).between(self.period(lo), self.period(hi))
-            & F.col(_DATE).between(lo.isoformat(), hi.isoformat())
-        )
+    def first_day(self, period: str) -> date:
+        return date.fromisoformat(period + "-01-01"[len(period) - 4 :] if len(period) < 10 else period)
 
 
 def latest_documents(docs: DataFrame) -> DataFrame:
-    """One document per flight id; of several, the last landed when ``landed_at`` is known."""
-    order = ["landed_at"] if "landed_at" in docs.columns else None
-    return latest(docs, ["id"], order)
+    """One document per flight id; of several, the last landed when ``arrival`` is known."""
+    if "arrival" in docs.columns:
+        return latest(docs, ["id"], ["arrival"]).drop("arrival")
+    return latest(docs, ["id"])
 
 
 def store_documents(spark: SparkSession, docs: DataFrame, house: Warehouse, fetched_at: datetime) -> dict:
     """Normalise documents and merge them into the three raw tables; returns counts and touched dates.
 
-    A flight's legs and delays are replaced as a whole, so entries that vanished do not stay behind.
+    A flight's legs and delays are replaced as a whole, so entries that vanished do not stay behind. Only the flights'
+    keys are searched for flights that change their date; legs and delays lie where their flight lies. The touched dates
+    include those that such flights leave. Documents without id or date must have been taken out (``documents.usable``).
     """
     seen = Observation()
-    wanted = docs.filter(F.col("id").isNotNull() & F.col("flightScheduleDate").isNotNull())
-    batch = staged(documents.observed_ingest(latest_documents(wanted), seen), "documents")
-    parents = batch.select(F.col("id").alias("flight_id"))
-    flights = house.with_period(normalize_flights(batch, fetched_at))
-    legs = house.with_period(normalize_legs(batch, with_date=True))
-    delays = house.with_period(normalize_delays(batch, with_parent=True))
-    for name, rows, scope in (("flights", flights, None), ("legs", legs, parents), ("delays", delays, parents)):
-        upsert_table(spark, house.path(name), rows, keys=["id"], partition_by=_PERIOD, replace_scope=scope)
-    dates = batch.agg(F.min("flightScheduleDate"), F.max("flightScheduleDate")).first()
-    counts = {name: seen.get[name] or 0 for name in ("flights", "legs", "delays")}
-    return counts | {"first_date": dates[0], "last_date": dates[1]}
+    with Stages(spark) as stages:
+        batch = stages.add(documents.observed_ingest(latest_documents(docs.filter(documents.usable(docs))), seen), "documents")
+        parents = batch.select(F.col("id").alias("flight_id"))
+        dates = _texts(batch.select("flightScheduleDate"))
+        finish_pending(spark, house.path("flights"))
+        if stored_partitions(spark, house.path("flights"), _PERIOD):
+            stored = read_raw_table(spark, house, "flights").select("id", _DATE)
+            dates |= _texts(stored.join(batch.select("id"), "id", "left_semi").select(_DATE))
+        periods = {d[: _PERIOD_CHARS[house.by]] for d in dates}
+        tables = {
+            "flights": (normalize_flights(batch, fetched_at), None),
+            "legs": (normalize_legs(batch, with_date=True), parents),
+            "delays": (normalize_delays(batch, with_parent=True), parents),
+        }
+        for name, (rows, scope) in tables.items():
+            upsert_table(
+                spark, house.path(name), house.with_period(rows), keys=["id"], partition_by=_PERIOD, replace_scope=scope,
+                unique=True, keys_may_move=False, also=periods,
+            )
+        counts = {name: seen.get[name] or 0 for name in tables}
+    return counts | {"dates": sorted(dates)}
+
+
+def _texts(column: DataFrame) -> set[str]:
+    """Distinct dates; as many as there are days, so small enough for the driver."""
+    return {row[0] for row in column.distinct().collect() if row[0] is not None}
 
 
 def run_ingest(
@@ -93,76 +100,153 @@ def run_ingest(
     incremental: bool = True,
     now: datetime | None = None,
 ) -> dict:
-    """Ingest one window of landed pages. The window is recorded only after every table is written."""
+    """Ingest what was landed, and check that every day of the window arrived completely.
+
+    An incremental run reads the files landed since the newest arrival of the last complete window, and merges all their
+    flights, those of earlier dates too. Cut pages and unusable flights go to the table ``rejects``. A day without any page, or with
+    fewer pages than its pages announce, makes the run PARTIAL; then nothing is recorded, and the next run reads the same
+    files again and asks for the same days. A run that raises is reported as FAILED. Reports are kept in ``ingestions``.
+    """
     now = now or datetime.now(timezone.utc)
-    state = house.path("checkpoint")
-    done = documents.read_checkpoint(spark, state) if incremental else None
-    first, last = documents.resolve_window(done, start, now, end)
-    docs = documents.read_flight_documents(spark, source, first, last)
-    counts = store_documents(spark, docs, house, now)
-    documents.write_checkpoint(spark, state, last)
-    return counts | {"window_start": first, "window_end": last}
+    state, report = house.path("checkpoint"), {"status": "FAILED", "started_at": now}
+    try:
+        done = documents.read_checkpoint(spark, state) if incremental else None
+        since = documents.read_arrival(spark, state) if incremental else None
+        first, last = documents.resolve_window(done, start, now, end)
+        report |= {"window_start": first, "window_end": last}
+        with Stages(spark) as stages:
+            # Parsed once; everything below reads the parsed rows.
+            pages = stages.add(documents.read_pages(spark, source, since), "pages")
+            flights = documents.landed_flights(pages)
+            counts = store_documents(spark, flights, house, now)
+            refused = documents.rejects(pages, flights).withColumn("batch", F.lit(now.strftime("%Y%m%dT%H%M%S")))
+            replace_partitions(spark, house.path("rejects"), refused, "batch", set())
+            counted = {r["kind"]: r["n"] for r in refused.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+            arrived = house.with_period(documents.page_rows(pages).distinct(), "day")
+            upsert_table(spark, house.path("pages"), arrived, keys=["day", "page"], partition_by=_PERIOD, keys_may_move=False)
+            newest = newest_instant(pages, "landed_at")
+        missing = missing_days(spark, house, first, last)
+        partial = bool(missing) or counted.get("page", 0) > 0
+        report |= counts | {
+            "status": "PARTIAL" if partial else "SUCCESS",
+            "pages_skipped": counted.get("page", 0), "flights_rejected": counted.get("flight", 0), "days_missing": missing,
+        }
+        if not missing:
+            documents.write_checkpoint(spark, state, last, max(filter(None, (newest, since)), default=None))
+        return report
+    finally:
+        _write_report(spark, house, report)
+
+
+def missing_days(spark: SparkSession, house: Warehouse, first: datetime, last: datetime) -> list[str]:
+    """Days of the window that have no page yet, or fewer than announced."""
+    stored = read_or_none(spark, house.path("pages"), _PAGES)
+    wanted = spark.range(1).select(
+        F.explode(F.sequence(F.lit(first.date()), F.lit(last.date()))).alias("day")
+    ).select(F.col("day").cast("string").alias("day"))
+    if stored is None:
+        complete = wanted.limit(0)
+    else:
+        bounded = stored.filter(F.col(_PERIOD).between(house.period(first.date()), house.period(last.date())))
+        complete = documents.day_completeness(bounded).filter("pages_read >= pages_expected").select("day")
+    return sorted(_texts(wanted.join(complete, "day", "left_anti")))
 
 
-def read_raw(spark: SparkSession, house: Warehouse) -> RawTables:
-    """The raw tables with the columns they are partitioned and replaced by."""
+_PAGES = T.StructType().add("day", "string").add("page", "string").add("total_pages", "integer").add(_PERIOD, "string")
+_REPORT = (
+    "status string, started_at timestamp, window_start timestamp, window_end timestamp, flights long, legs long, delays long,"
+    " pages_skipped long, flights_rejected long, days_missing array<string>"
+)
 
-    def stored(name: str, schema: T.StructType, *extra: str) -> DataFrame:
-        fields = [*schema.fields, *(T.StructField(c, T.StringType()) for c in (*extra, _PERIOD))]
-        return spark.read.schema(T.StructType(fields)).parquet(house.path(name))
 
-    return RawTables(
-        stored("flights", schemas.FLIGHTS),
-        stored("legs", schemas.LEGS, _DATE),
-        stored("delays", schemas.DELAYS, "flight_id", _DATE),
-    )
+def _write_report(spark: SparkSession, house: Warehouse, report: dict) -> None:
+    names = [f.split()[0] for f in _REPORT.split(", ")]
+    row = spark.createDataFrame([tuple(report.get(n) for n in names)], _REPORT)
+    row.write.mode("append").parquet(house.path("ingestions"))
 
 
-def features_between(house: Warehouse, raw: RawTables, lo: date, hi: date) -> tuple[DataFrame, DataFrame]:
-    """(entity days, feature rows) of the flight dates in the range, equal to those of a full build.
+def read_raw_table(spark: SparkSession, house: Warehouse, name: str) -> DataFrame:
+    """A raw table with the columns it is partitioned and replaced by."""
+    schema, extra = {
+        "flights": (schemas.FLIGHTS, ()), "legs": (schemas.LEGS, (_DATE,)), "delays": (schemas.DELAYS, ("flight_id", _DATE)),
+    }[name]
+    fields = [*schema.fields, *(T.StructField(c, T.StringType()) for c in (*extra, _PERIOD))]
+    return spark.read.schema(T.StructType(fields)).parquet(house.path(name))
 
-    All three raw tables are partitioned by flight date, so only the range and the share days before it
-    are read.
-    """
 
-    def cut(first: date) -> RawTables:
-        return RawTables(*(house.between(t, first, hi) for t in (raw.flights, raw.legs, raw.delays)))
+def read_raw(spark: SparkSession, house: Warehouse) -> RawTables:
+    """The raw tables with the columns they are partitioned and replaced by."""
+    return RawTables(*(read_raw_table(spark, house, name) for name in ("flights", "legs", "delays")))
 
-    wide, exact = cut(lo - timedelta(days=SHARE_DAYS)), cut(lo)
-    days = entity_days(wide.legs, wide.flights, wide.delays).filter(F.col(_DATE) >= lo.isoformat())
-    days = staged(days, "entity-days")
-    return days, legs_ready(delays_per_leg(exact.legs, exact.flights, exact.delays), days)
 
+def _influenced(house: Warehouse, dates: Iterable[str]) -> tuple[set[str], set[str]]:
+    """(periods to rebuild, periods to read) of changed dates: a day reaches the shares of the seven after it."""
+    step = [timedelta(days=i) for i in range(SHARE_DAYS + 1)]
+    rebuilt = {house.period(date.fromisoformat(d) + s) for d in dates for s in step}
+    return rebuilt, rebuilt | {house.period(house.first_day(p) - s) for p in rebuilt for s in step}
 
-def run_transform(
-    spark: SparkSession, house: Warehouse, first: date | None = None, last: date | None = None
-) -> list[str]:
-    """Rebuild shares, fact and dimensions; with a range of touched dates, only what they influence.
 
-    A change on a day reaches the shares, and so the fact, of the following seven days. Ends with the
-    quality gate, which raises on an error and returns warnings.
+def run_transform(spark: SparkSession, house: Warehouse, dates: Iterable[str] | None = None) -> list[str]:
+    """Rebuild shares, fact and dimensions; with the touched dates, only what they influence.
+
+    Raw tables, fact and dimension parts are partitioned alike, so a refresh reads and writes the influenced periods only,
+    except for the keys of the stored fact, against which the new ones are held. The quality gate judges the new
+    rows before anything is published; it raises on an error and returns warnings.
     """
+    dates = None if dates is None else set(dates)
+    raw = read_raw(spark, house)
+    rebuilt, read = (None, None) if dates is None else _influenced(house, dates)
+    if rebuilt is not None:
+        if not rebuilt:
+            return []
+        raw = RawTables(*(pruned(t, _PERIOD, read) for t in (raw.flights, raw.legs, raw.delays)))
+
+    def wanted(df: DataFrame) -> DataFrame:
+        dated = house.with_period(df)
+        return dated if rebuilt is None else pruned(dated, _PERIOD, rebuilt)
+
+    with Stages(spark) as stages:
+        base = stages.add(legs_with_delays(raw.legs, raw.flights, raw.delays), "leg-delays")
+        days = stages.add(wanted(entity_days_of(base)), "entity-days")
+        ready = legs_ready(wanted(base).select(*DELAYS_LEG_COLUMNS), days)
+        ready = stages.add(house.with_period(ready), "ready")
+        fact = house.with_period(mart.fct_flight_legs(ready), "date_key")
+        parts = stages.add(mart.dimension_parts(ready, _PERIOD), "parts")
+
+        stored = {name: stored_partitions(spark, house.path(name), _PERIOD) for name in (*_MART, "entity_days")}
+        touched = {name: found if rebuilt is None else rebuilt for name, found in stored.items()}
+        keys, all_parts = fact.select("leg_id", "flight_id"), parts
+        if rebuilt is not None and stored["fct_flight_legs"] - rebuilt:
+            others = read_fact(spark, house).filter(~F.col(_PERIOD).isin(sorted(rebuilt))).select("leg_id", "flight_id")
+            keys = keys.unionByName(others.join(keys.select("leg_id"), "leg_id", "left_semi"))
+        if rebuilt is not None and stored["dim_parts"] - rebuilt:
+            old = spark.read.schema(parts.schema).parquet(house.path("dim_parts"))
+            all_parts = parts.unionByName(old.filter(~F.col(_PERIOD).isin(sorted(rebuilt))).select(*parts.columns))
+        all_parts = stages.add(all_parts, "all-parts")
+        dims = mart.dimensions(all_parts)
+        checks = quality.star_schema_checks(keys, dims["dim_date"], dims["dim_airlines"], dims["dim_airports"])
+        warnings = quality.run_quality_gate(checks)
+
+        for name, rows in (("entity_days", days), ("fct_flight_legs", fact), ("dim_parts", parts)):
+            replace_partitions(spark, house.path(name), rows, _PERIOD, touched[name])
+        for name, rows in dims.items():
+            materialize(rows, name, "table", path=house.path(name))
+    return warnings
+
+
+_MART = ("fct_flight_legs", "dim_parts")
+
+
+def source_checks(spark: SparkSession, house: Warehouse, as_of: datetime) -> list[DataFrame]:
+    """Age and row count of the three raw tables. Legs and delays are as old as the flights that brought them."""
     raw = read_raw(spark, house)
-    if first is None or last is None:
-        first, last = (date.fromisoformat(b) for b in raw.flights.agg(F.min(_DATE), F.max(_DATE)).first())
-    lo, hi = house.whole_periods(first, last + timedelta(days=SHARE_DAYS))
-    days, ready = features_between(house, raw, lo, hi)
-    touched = {house.period(lo + timedelta(days=i)) for i in range((hi - lo).days + 1)}
-    replace_range(spark, house.path("entity_days"), house.with_period(days), _PERIOD, touched)
-    fact_rows = house.with_period(mart.fct_flight_legs(ready), "date_key")
-    replace_range(spark, house.path("fct_flight_legs"), fact_rows, _PERIOD, touched)
-
-    # Airlines and dates are in the stored fact, so only the airports, with their cities, need a join.
-    fact = read_fact(spark, house)
-    carriers = fact.select(F.col("airline_key").alias("airline_code"), "airline_name")
-    dims = {
-        "dim_airlines": mart.dim_airlines(carriers),
-        "dim_airports": mart.dim_airports(legs_with_flights(raw.legs, raw.flights)),
-        "dim_date": mart.dim_date(fact.select(F.col("date_key").alias(_DATE))),
-    }
-    written = {name: materialize(df, name, "table", path=house.path(name)) for name, df in dims.items()}
-    checks = quality.star_schema_checks(fact, written["dim_date"], written["dim_airlines"], written["dim_airports"])
-    return quality.run_quality_gate(checks)
+    stamped = raw.flights.select(F.col("id").alias("flight_id"), _PERIOD, "fetched_at")
+    checks = [quality.check_freshness(raw.flights, "fetched_at", as_of, table="flights")]
+    for name, child in (("legs", raw.legs), ("delays", raw.delays)):
+        aged = child.select("flight_id", _PERIOD).join(stamped, ["flight_id", _PERIOD])
+        checks.append(quality.check_freshness(aged, "fetched_at", as_of, table=name))
+    counts = (("flights", raw.flights), ("legs", raw.legs), ("delays", raw.delays))
+    return checks + [quality.check_row_count(df, table=name) for name, df in counts]
 
 
 def fact_schema(spark: SparkSession):
@@ -170,8 +254,8 @@ def fact_schema(spark: SparkSession):
     flights, legs, delays = (
         spark.createDataFrame([], s) for s in (schemas.FLIGHTS, schemas.LEGS, schemas.DELAYS)
     )
-    days = entity_days(legs, flights, delays)
-    return mart.fct_flight_legs(legs_ready(delays_per_leg(legs, flights, delays), days)).schema
+    base = legs_with_delays(legs, flights, delays)
+    return mart.fct_flight_legs(legs_ready(base.select(*DELAYS_LEG_COLUMNS), entity_days_of(base))).schema
 
 
 def read_fact(spark: SparkSession, house: Warehouse) -> DataFrame:
@@ -185,16 +269,25 @@ def read_predictions(spark: SparkSession, house: Warehouse) -> DataFrame | None:
 
 
 def run_scoring(
-    spark: SparkSession, house: Warehouse, model: scoring.DelayModel, now: datetime | None = None, rescore: bool = False
+    spark: SparkSession, house: Warehouse, model: scoring.DelayModel, now: datetime | None = None, rescore: bool = False,
+    dates: Iterable[str] | None = None,
 ) -> int:
-    """Score the legs that have no prediction and merge the results; returns how many."""
-    fact = read_fact(spark, house)
-    todo = scoring.unscored_legs(fact, read_predictions(spark, house), rescore)
-    # Written once: the merge reads it several times and must not score again.
-    fresh = staged(scoring.score(todo, model, now or datetime.now(timezone.utc), (_PERIOD,)), "scored")
-    count = fresh.count()
-    if count:
-        upsert_predictions(spark, house.path("predictions"), fresh, _PERIOD)
+    """Score the legs that have no prediction and merge the results; returns how many.
+
+    With the touched dates, only the legs of their periods are compared; without, the whole fact.
+    """
+    fact, known = read_fact(spark, house), read_predictions(spark, house)
+    if dates is not None:
+        periods = {d[: _PERIOD_CHARS[house.by]] for d in dates}
+        fact = pruned(fact, _PERIOD, periods)
+        known = None if known is None else pruned(known, _PERIOD, periods)
+    todo = scoring.unscored_legs(fact, known, rescore)
+    with Stages(spark) as stages:
+        # Written once: the merge reads it several times and must not score again.
+        fresh = stages.add(scoring.score(todo, model, now or datetime.now(timezone.utc), (_PERIOD,)), "scored")
+        count = fresh.count()
+        if count:
+            upsert_predictions(spark, house.path("predictions"), fresh, _PERIOD)
     return count
 
 
@@ -203,6 +296,14 @@ def upsert_predictions(spark: SparkSession, path: str, predictions: DataFrame, p
     upsert_table(spark, path, predictions, keys=["leg_id"], partition_by=partition_by, order_by=["timestamp"])
 
 
+def _span(start: str | None, end: str | None) -> list[str] | None:
+    """All dates from start to end; None without a start."""
+    if not start:
+        return None
+    first, last = date.fromisoformat(start), date.fromisoformat(end or start)
+    return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Flight-delay jobs")
     parser.add_argument("job", choices=["ingest", "transform", "fit", "score"])
@@ -218,12 +319,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "ingest":
         print(run_ingest(spark, args.source, house, args.start, args.end, not args.full))
     elif args.job == "transform":
-        span = (date.fromisoformat(args.start), date.fromisoformat(args.end or args.start)) if args.start else ()
-        print(run_transform(spark, house, *span))
+        print(run_transform(spark, house, _span(args.start, args.end)))
     elif args.job == "fit":
         scoring.fit_delay_model(read_fact(spark, house)).save(spark, args.model)
     else:
-        print(run_scoring(spark, house, scoring.DelayModel.load(spark, args.model)))
+        model = scoring.DelayModel.load(spark, args.model)
+        print(run_scoring(spark, house, model, dates=_span(args.start, args.end)))
 
 
 if __name__ == "__main__":

@@ -7,23 +7,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings every job relies on. Sizes (shuffle partitions, broadcast threshold) stay with
-# the cluster's own configuration: AQE coalesces, splits and re-plans from measured sizes.
-_RUNTIME = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # The JVM never compiles a method above 8000 bytes of bytecode. Wide projections that would produce one
-    # fall back to generated code that is split into small methods, which is much faster.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+# What results depend on. Everything else (sizes, adaptive execution, code generation, write modes) stays with the caller.
+_RUNTIME = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+
+# The JVM never compiles a method above 8000 bytes of bytecode. Wide projections that would produce one fall back to
+# generated code that is split into small methods, which is much faster. Set for local sessions only.
+_LOCAL = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the settings that results depend on to an existing session."""
     for key, value in _RUNTIME.items():
         spark.conf.set(key, value)
     return spark
@@ -39,7 +32,7 @@ def local_session(cores: str = "*", app: str = "delayhouse", memory: str = "8g",
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in conf.items():
+    for key, value in (_LOCAL | conf).items():
         builder = builder.config(key, value)
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -63,13 +56,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/delayhouse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage so that several consumers share one computation, survives executor loss (unlike
     blocks kept on executors) and gives the planner the true size, on which broadcast is decided.
+    The folder stays, as the result is lazy; a job that is done with its stages uses :class:`Stages`.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Stages:
+    """Staged tables of one job; they are removed when the job ends, however it ends."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._paths = spark, []
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def add(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self._spark, name)
+        self._paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for path in self._paths:
+            remove(self._spark, path)

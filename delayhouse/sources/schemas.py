@@ -43,7 +43,7 @@ FLIGHT_DOCUMENT = _struct(
     flightLegs=T.ArrayType(_LEG),
 )
 PAGE_DOCUMENT = _struct(
-    page=_struct(totalPages=_I),
+    page=_struct(pageNumber=_I, totalPages=_I),
     operationalFlights=T.ArrayType(FLIGHT_DOCUMENT),
 )
 

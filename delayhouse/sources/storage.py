@@ -1,17 +1,26 @@
-"""Keyed replacement of rows in partitioned parquet tables."""
+"""Keyed replacement of rows in partitioned parquet tables.
+
+One writer per table. New partitions are written beside the table first and then swapped in folder by folder; a swap that
+was broken off is finished by the next call, so no stored row is ever only in a half-written place.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import Stages
+
+_PENDING, _READY = "_pending", "READY"
 
 
 def latest(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """One row per key: the last by ``order_by``, ties broken by the whole row.
 
-    A maximum of a struct, not a window: partial aggregation collapses a hot key before the shuffle.
+    A maximum of a struct, not a window: a hot key is combined before the shuffle. The struct is compared row by
+    row in sorted order, so callers whose rows are unique by key say so instead (``unique``).
     """
     order = order_by or []
     rest = [c for c in df.columns if c not in keys]
@@ -30,6 +39,9 @@ def upsert(
     return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
 
 
+# ---- folders
+
+
 def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
@@ -40,10 +52,61 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def _drop_partitions(spark: SparkSession, path: str, column: str, values: set[str]) -> None:
-    for value in values:
-        fs, location = _file_system(spark, f"{path}/{column}={value}")
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it is not there."""
+    fs, location = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(location)] if fs.exists(location) else []
+
+
+def stored_partitions(spark: SparkSession, path: str, column: str) -> set[str]:
+    """Partition values that the table at ``path`` has a folder for."""
+    return {f.split("=", 1)[1] for f in _folders(spark, path) if f.startswith(f"{column}=")}
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Finish swaps that were broken off, and drop what was never complete."""
+    for token in _folders(spark, f"{path}/{_PENDING}"):
+        root = f"{path}/{_PENDING}/{token}"
+        fs, ready = _file_system(spark, f"{root}/{_READY}")
+        if fs.exists(ready):
+            # Folders still in the new place go in; those already moved are not there any more.
+            for folder in _folders(spark, f"{root}/data"):
+                if "=" in folder:
+                    swap_in(spark, f"{root}/data/{folder}", f"{path}/{folder}")
+            for folder in _folders(spark, f"{root}/gone"):
+                _, old = _file_system(spark, f"{path}/{folder}")
+                fs.delete(old, True)
+        _, location = _file_system(spark, root)
         fs.delete(location, True)
+    spark.catalog.refreshByPath(path)
+
+
+def swap_in(spark: SparkSession, new: str, old: str) -> None:
+    """Put a complete folder in the place of an old one."""
+    fs, source = _file_system(spark, new)
+    _, target = _file_system(spark, old)
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {new}")
+
+
+def publish(spark: SparkSession, path: str, rows: DataFrame, partition_by: str, touched: set[str]) -> None:
+    """Make ``rows`` the whole content of the touched partitions; touched ones without rows go.
+
+    The rows are written completely before any stored folder is removed.
+    """
+    root = f"{path}/{_PENDING}/{uuid.uuid4().hex}"
+    rows.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(f"{root}/data")
+    written = stored_partitions(spark, f"{root}/data", partition_by)
+    fs, ready = _file_system(spark, f"{root}/{_READY}")
+    for value in touched - written:
+        _, gone = _file_system(spark, f"{root}/gone/{partition_by}={value}")
+        fs.mkdirs(gone)
+    fs.create(ready).close()
+    finish_pending(spark, path)
+
+
+# ---- merges
 
 
 def _partition_values(df: DataFrame, column: str) -> set[str]:
@@ -51,7 +114,8 @@ def _partition_values(df: DataFrame, column: str) -> set[str]:
     return {row[0] for row in df.select(F.col(column).cast("string")).distinct().collect()}
 
 
-def _pruned(table: DataFrame, column: str, values: set[str]) -> DataFrame:
+def pruned(table: DataFrame, column: str, values: set[str]) -> DataFrame:
+    """Rows of the given partitions."""
     kind = table.schema[column].dataType
     return table.filter(F.col(column).isin([F.lit(v).cast(kind) for v in sorted(values)]))
 
@@ -65,65 +129,43 @@ def upsert_table(
     order_by: list[str] | None = None,
     keys_may_move: bool = True,
     replace_scope: DataFrame | None = None,
-) -> None:
-    """Merge ``updates`` into the parquet table at ``path``, rewriting only the touched partitions.
+    unique: bool = False,
+    also: set[str] | None = None,
+) -> set[str]:
+    """Merge ``updates`` into the parquet table at ``path``, rewriting only the touched partitions; returns them.
 
     Rows with a key of ``updates`` are replaced. With ``replace_scope``, a frame of parent keys, every
     stored row of those parents is replaced instead, so children that vanished do not stay behind.
-    Touched partitions are those of the new rows and, unless ``keys_may_move`` is off, those that now
-    hold a replaced row; both sets are read as partition-pruned scans. The partition column must not
-    be null. A run that breaks off is repaired by running it again.
+    Touched partitions are those of the new rows, those named in ``also`` and, unless ``keys_may_move`` is off, those
+    that now hold a replaced row, found by a scan of the keys. ``unique`` says that no key occurs twice in ``updates``.
+    The partition column must not be null. A call that breaks off can be repeated.
     """
-    fresh = staged(latest(updates, keys, order_by), "fresh")
-    columns = fresh.columns
-    if not path_exists(spark, path):
-        fresh.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
-        return
-
-    replaced = replace_scope.distinct() if replace_scope is not None else fresh.select(*keys)
-    match = replaced.columns
-    table = spark.read.schema(fresh.schema).parquet(path)
-    touched = _partition_values(fresh, partition_by)
-    if keys_may_move:
-        touched |= _partition_values(
-            table.select(partition_by, *[m for m in match if m != partition_by]).join(
-                replaced, match, "left_semi"
-            ),
-            partition_by,
-        )
-    if not touched:
-        return
-
-    kept = _pruned(table, partition_by, touched).join(replaced, match, "left_anti").select(*columns)
-    seen = Observation()
-    merged = kept.unionByName(fresh).observe(
-        seen, F.collect_set(F.col(partition_by).cast("string")).alias("written")
-    )
-    # Dynamic overwrite swaps the touched folders when the job commits, after its reads are done.
-    (
-        merged.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    _drop_partitions(spark, path, partition_by, touched - set(seen.get["written"] or []))
-    spark.catalog.refreshByPath(path)
-
-
-def replace_range(
-    spark: SparkSession, path: str, rows: DataFrame, partition_by: str, touched: set[str] | None = None
-) -> None:
+    finish_pending(spark, path)
+    with Stages(spark) as stages:
+        fresh = stages.add(updates if unique else latest(updates, keys, order_by), "fresh")
+        touched = _partition_values(fresh, partition_by)
+        stored = stored_partitions(spark, path, partition_by)
+        if not stored:
+            if touched:
+                publish(spark, path, fresh, partition_by, set())
+            elif not path_exists(spark, path):
+                fresh.write.partitionBy(partition_by).parquet(path)
+            return touched
+
+        replaced = replace_scope.distinct() if replace_scope is not None else fresh.select(*keys)
+        match = replaced.columns
+        table = spark.read.schema(fresh.schema).parquet(path)
+        if keys_may_move:
+            wanted = table.select(partition_by, *[m for m in match if m != partition_by])
+            touched |= _partition_values(wanted.join(replaced, match, "left_semi"), partition_by)
+        touched |= (also or set()) & stored
+        if touched:
+            kept = pruned(table, partition_by, touched).join(replaced, match, "left_anti").select(*fresh.columns)
+            publish(spark, path, kept.unionByName(fresh), partition_by, touched)
+        return touched
+
+
+def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partition_by: str, touched: set[str]) -> None:
     """Overwrite whole partitions with recomputed ``rows``; ``touched`` ones left without rows go."""
-    seen = Observation()
-    watched = rows.observe(seen, F.collect_set(F.col(partition_by).cast("string")).alias("written"))
-    (
-        watched.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    if touched:
-        _drop_partitions(spark, path, partition_by, touched - set(seen.get["written"] or []))
-    spark.catalog.refreshByPath(path)
+    finish_pending(spark, path)
+    publish(spark, path, rows, partition_by, touched)

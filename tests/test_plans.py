@@ -72,17 +72,6 @@ def test_bounds_reach_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(scheduled_departure" in plan(analytics.time_filter(fact, "scheduled_departure", datetime(2024, 1, 1), datetime(2024, 2, 1)))
 
 
-def test_small_scans_are_dealt_out_and_large_ones_left_alone(spark, given, tmp_path):
-    assert "RoundRobinPartitioning" in plan(fixtures.given(spark, SF, "lineitem"))
-    spark.range(40).repartition(40).write.parquet(str(tmp_path / "many.parquet"))
-    before = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
-    try:
-        assert "RoundRobin" not in plan(fixtures.given(spark, str(tmp_path), "many"))
-    finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", before)
-
-
 def test_registry_and_sql_agree():
     registered, checked = set(catalog.queries()), set(oracles.statements())
     assert checked <= registered
