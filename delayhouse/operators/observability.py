@@ -28,6 +28,9 @@ def enrich_events(raw: DataFrame) -> DataFrame:
 
     core = ("id", "event_at", "app", "level", "layer", "dag_id", "task_id", "run_id", "event_type", "message")
     extras = [c for c in raw.columns if c not in core and c not in _CONTEXT]
+    # An explicit business date is kept in the extras under both names.
+    named = raw.withColumn("business_date", F.col("explicit_business_date")) if "explicit_business_date" in extras else raw
+    kept = [*extras, "business_date"] if named is not raw and "business_date" not in extras else extras
     date = business_date(
         maybe("explicit_business_date"),
         maybe("conf_start_date"),
@@ -38,7 +41,7 @@ def enrich_events(raw: DataFrame) -> DataFrame:
         F.col("event_at"),
     )
     run = F.coalesce(*(F.nullif(maybe(c), F.lit("")) for c in ("run_id", "payload_run_id", "context_run_id")))
-    return raw.select(
+    return named.select(
         "id",
         "event_at",
         F.coalesce(maybe("app"), F.lit(DEFAULT_APP)).alias("app"),
@@ -49,7 +52,7 @@ def enrich_events(raw: DataFrame) -> DataFrame:
         run.alias("run_id"),
         "event_type",
         "message",
-        event_extra(raw, extras).alias("extra"),
+        event_extra(named, kept).alias("extra"),
         date.alias("business_date"),
         *extras,
     )

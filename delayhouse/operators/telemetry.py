@@ -180,21 +180,33 @@ def counter_rate(
     by: list[str] | None = None,
     how: str = "sum",
     where: Column | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Per-second rate over the trailing window, summed or averaged per group and evaluation time.
 
-    ``by`` holds series columns or label names; ``where`` filters series, for example by a label.
+    ``by`` holds series columns or label names; ``where`` filters series, for example by a label. Without ``by`` there
+    is a row, 0 without any series, for every evaluation time. ``chunk_seconds`` bounds how much of a dense series
+    one task orders.
     """
-    return _grouped(samples, metric, window_seconds, step_seconds, by, how, where, "rate")
-
-
-def _grouped(samples, metric, window_seconds, step_seconds, by, how, where, measure) -> DataFrame:
-    rates = counter_windows(samples, metric, window_seconds, step_seconds)
+    rates = counter_windows(samples, metric, window_seconds, step_seconds, chunk_seconds)
     if where is not None:
         rates = rates.filter(where)
     keys = [F.col(k) if k in ("job", "instance") else label(k).alias(k) for k in by or []]
-    combine = {"sum": F.sum, "avg": F.avg}[how]
-    return rates.groupBy(*keys, "eval_ts").agg(combine(measure).alias(measure))
+    combined = rates.groupBy(*keys, "eval_ts").agg({"sum": F.sum, "avg": F.avg}[how]("rate").alias("rate"))
+    return combined if keys else _or_zero(combined, samples, "rate", window_seconds, step_seconds)
+
+
+def evaluation_times(samples: DataFrame, window_seconds: int, step_seconds: int) -> DataFrame:
+    """All evaluation times, from the first sample of any metric to the end of the last one's last window."""
+    first, last = (F.ceil(f(_seconds("ts")) / step_seconds) * step_seconds for f in (F.min, F.max))
+    ends = samples.agg(first.alias("first"), (last + (window_seconds - step_seconds)).alias("last"))
+    every = F.explode(F.sequence(F.col("first"), F.col("last"), F.lit(step_seconds).cast("long")))
+    return ends.filter("first is not null").select(every.alias("at")).select(F.timestamp_seconds("at").alias("eval_ts"))
+
+
+def _or_zero(df: DataFrame, samples: DataFrame, measure: str, window_seconds: int, step_seconds: int) -> DataFrame:
+    times = evaluation_times(samples, window_seconds, step_seconds)
+    return times.join(df, "eval_ts", "left").select("eval_ts", F.coalesce(measure, F.lit(0.0)).alias(measure))
 
 
 def counter_increase(
@@ -204,16 +216,14 @@ def counter_increase(
     step_seconds: int = 60,
     label_name: str | None = None,
     pattern: str | None = None,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Total increase per evaluation time over the series whose label matches a whole-text pattern.
-
-    An evaluation time at which other series of the metric have data, but no matching one, gives 0.
-    """
-    rates = counter_windows(samples, metric, window_seconds, step_seconds)
-    matches = F.lit(True)
+    """Total increase per evaluation time over the series whose label matches a whole-text pattern; 0 without a series."""
+    rates = counter_windows(samples, metric, window_seconds, step_seconds, chunk_seconds)
     if label_name is not None:
-        matches = F.coalesce(F.rlike(label(label_name), F.lit(f"^(?:{pattern})$")), F.lit(False))
-    return rates.groupBy("eval_ts").agg(F.sum(F.when(matches, F.col("increase")).otherwise(0.0)).alias("increase"))
+        rates = rates.filter(F.coalesce(F.rlike(label(label_name), F.lit(f"^(?:{pattern})$")), F.lit(False)))
+    total = rates.groupBy("eval_ts").agg(F.sum("increase").alias("increase"))
+    return _or_zero(total, samples, "increase", window_seconds, step_seconds)
 
 
 def busy_percent(samples: DataFrame, metric: str = "node_cpu_seconds_total", window_seconds: int = 300, step_seconds: int = 60) -> DataFrame:

@@ -6,8 +6,11 @@ from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import (
     business_date,
@@ -15,7 +18,9 @@ from ..functions import (
     delay_minutes,
     event_status,
     event_volumes,
+    instant,
     iso_minutes,
+    newest_instant,
     time_parts,
     uuid5,
 )
@@ -23,7 +28,7 @@ from ..functions import is_delayed as delayed_label
 from ..operators import analytics, legs, mart, observability, quality, scoring, shares, telemetry
 from ..session import configure, scratch_path, staged
 from ..sources import documents, fixtures, normalize, tables
-from ..sources.storage import upsert_table
+from ..sources.storage import stored_partitions, upsert_table
 from ..streaming.daily import stream_daily_counts
 from ..streaming.ingest import stream_ingest
 from ..streaming.logs import event_rates, stream_event_rates, stream_runs
@@ -35,6 +40,7 @@ METRIC_DAYS = 365
 LO, HI = datetime(1996, 1, 1), datetime(1999, 12, 31, 23, 59, 59)
 LOG_LO, LOG_HI = datetime(2024, 1, 3), datetime(2024, 1, 25, 12)
 BUCKETS = 8
+FRESH_AS_OF = datetime(2001, 8, 12)
 
 
 class Given:
@@ -98,6 +104,10 @@ class Given:
     def samples(self) -> DataFrame:
         return self._map(fixtures.samples)
 
+    @cached_property
+    def service_samples(self) -> DataFrame:
+        return self._map(fixtures.service_samples)
+
     def metrics(self, dimension: str) -> DataFrame:
         return analytics.delay_metrics(self.leg_facts, dimension, AS_OF, METRIC_DAYS)
 
@@ -275,9 +285,67 @@ def materialize_modes(g: Given) -> DataFrame:
         merged = tables.materialize(
             days, "flight_days", "incremental", ["date_key"], path, partition_by="year_key"
         )
-    counts = [df.agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("rows"))
-              for mode, df in (("view", view), ("table", table), ("incremental", merged))]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    found = [df.select(F.lit(mode).alias("mode"), "date_key", "day_of_week", "month", "year")
+             for mode, df in (("view", view), ("table", table), ("incremental", merged))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def ingest_job(g: Given) -> DataFrame:
+    """The ingest job over two waves of pages: every flight with its children, both reports, and what was rejected."""
+    house, source = jobs.Warehouse(scratch_path(g.spark, "ingest-house"), by="year"), scratch_path(g.spark, "ingest-pages")
+    days = g.spark.read.parquet(f"{g.dir}/lineitem.parquet").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    window = [d.date().isoformat() for d in days]
+    out = []
+    for n, wave in enumerate(fixtures.page_waves(g.spark, g.dir), 1):
+        wave.write.mode("append").text(source)
+        report = jobs.run_ingest(g.spark, source, house, *window, incremental=False, now=datetime(2002, 1, n, tzinfo=timezone.utc))
+        names = ("status", "flights", "legs", "delays", "pages_skipped", "flights_rejected")
+        out += [("report", f"{n}.{name}", str(report[name])) for name in names]
+        out.append(("report", f"{n}.days_missing", str(len(report["days_missing"]))))
+    raw = jobs.read_raw(g.spark, house)
+    legs_ = raw.legs.groupBy("flight_id").agg(F.count(F.lit(1)).alias("legs"))
+    delays = raw.delays.groupBy("flight_id").agg(F.count(F.lit(1)).alias("delays"))
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("string")
+    flights = (
+        raw.flights.withColumnRenamed("id", "flight_id").join(legs_, "flight_id", "left").join(delays, "flight_id", "left")
+        .select(
+            F.lit("flight").alias("kind"), F.col("flight_id").alias("name"),
+            F.concat_ws("|", "flight_status_public", "flight_schedule_date", number("legs"), number("delays")).alias("value"),
+        )
+    )
+    refused = g.spark.read.schema("kind string, batch string").parquet(house.path("rejects"))
+    refused = refused.groupBy(F.concat_ws(".", "batch", "kind").alias("name")).agg(F.count(F.lit(1)).cast("string").alias("value"))
+    reports = g.spark.createDataFrame(out, "kind string, name string, value string")
+    return flights.unionByName(reports).unionByName(refused.select(F.lit("reject").alias("kind"), "name", "value"))
+
+
+def _stored_raw(g: Given, house: jobs.Warehouse, flights: DataFrame, legs_: DataFrame, delays: DataFrame) -> None:
+    """Merge raw rows as the ingest job does; legs and delays are replaced by their flights."""
+    dated = legs_.join(flights.select(F.col("id").alias("flight_id"), "flight_schedule_date"), "flight_id")
+    of_leg = dated.select(F.col("id").alias("flight_leg_id"), "flight_id", "flight_schedule_date")
+    parents = flights.select(F.col("id").alias("flight_id"))
+    for name, rows, scope in (("flights", flights, None), ("legs", dated, parents), ("delays", delays.join(of_leg, "flight_leg_id"), parents)):
+        upsert_table(
+            g.spark, house.path(name), house.with_period(rows), keys=["id"], partition_by="period", replace_scope=scope, unique=True
+        )
+
+
+@query
+def refresh_job(g: Given) -> DataFrame:
+    """Build everything, move some flights to other dates and shorten them, refresh the touched dates: equals a full build."""
+    house = jobs.Warehouse(scratch_path(g.spark, "refresh-house"), by="month")
+    _stored_raw(g, house, g.flights, g.legs, g.delays)
+    jobs.run_transform(g.spark, house)
+    old = g.flights.filter(F.col("id").cast("long") % 200 == 3)
+    moved = old.withColumn("flight_schedule_date", F.date_add(F.to_date("flight_schedule_date"), 45).cast("string"))
+    kept = g.legs.join(moved.select(F.col("id").alias("flight_id")), "flight_id", "left_semi").filter("leg_order < 2")
+    left = g.delays.join(kept.select(F.col("id").alias("flight_leg_id")), "flight_leg_id", "left_semi")
+    dates = {r[0] for r in old.unionByName(moved).select("flight_schedule_date").distinct().collect()}
+    _stored_raw(g, house, moved, kept, left)
+    jobs.run_transform(g.spark, house, dates)
+    fact = jobs.read_fact(g.spark, house).drop("period")
+    return _round6(fact, *_SHARES)
 
 
 @query
@@ -432,8 +500,8 @@ def fct_flight_legs(g: Given) -> DataFrame:
 @query
 def fact_increment(g: Given) -> DataFrame:
     """Rows to refresh when the stored fact ends before 2001."""
-    stored = g.leg_facts.filter(F.col("scheduled_departure") < F.lit(datetime(2001, 1, 1)))
-    newest = stored.agg(F.max("scheduled_departure")).first()[0]
+    stored = g.leg_facts.filter(F.col("scheduled_departure") < instant(datetime(2001, 1, 1)))
+    newest = newest_instant(stored, "scheduled_departure")
     return mart.incremental_filter(g.leg_facts, newest, "scheduled_departure", 3).select(
         "leg_id", "scheduled_departure", "date_key"
     )
@@ -548,10 +616,38 @@ def scale_features(g: Given) -> DataFrame:
     return scaled.withColumns({c: F.round(c, 4) for c in scoring.FEATURES})
 
 
+@query
+def fit_params(g: Given) -> DataFrame:
+    """Fitted means and deviations of every feature."""
+    params = scoring.fit_params(scoring.feature_frame(g.fact))
+    rows = [(f, params.means[f], params.stds[f]) for f in scoring.FEATURES]
+    fitted = g.spark.createDataFrame(rows, "feature string, mean double, std double")
+    return fitted.select("feature", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+
+
+def _stored_model(spark: SparkSession) -> scoring.DelayModel:
+    """A model whose classifier is one line that SQL can say too; written and read back as any model is."""
+    rule = "scheduled_flight_duration_minutes + 0.5D * departure_hour - departure_monthday > 0"
+    line = SQLTransformer(statement=f"select *, cast({rule} as double) as prediction from __THIS__")
+    # In an older spelling, as stored parameters may be.
+    means = {"scheduledFlightDuration": 300.0, "departureHour": 12.0, "departureMonthDay": 15.0}
+    stds = {"scheduledFlightDuration": 120.0, "departureHour": 6.0, "departureMonthDay": 8.0}
+    path = scratch_path(spark, "model")
+    scoring.DelayModel(scoring.FeatureParams(means, stds), PipelineModel([line])).save(spark, path)
+    return scoring.DelayModel.load(spark, path)
+
+
 @query
 def score_legs(g: Given) -> DataFrame:
+    unscored = scoring.unscored_legs(g.fact, g.predictions)
+    return scoring.score(unscored, _stored_model(g.spark), datetime(2002, 1, 2))
+
+
+@query
+def fitted_scores(g: Given) -> DataFrame:
+    """Fit on all flown legs, and score those without a prediction."""
     fact = staged(g.fact, "fact")
-    model = scoring.fit_delay_model(fact, rounds=5, depth=3)
+    model = scoring.fit_delay_model(fact)
     return scoring.score(scoring.unscored_legs(fact, g.predictions), model, datetime(2002, 1, 2))
 
 
@@ -564,13 +660,13 @@ def score_increment(g: Given) -> DataFrame:
     stored = jobs.read_fact(g.spark, house)
     known = g.predictions.join(stored.select("leg_id", "period"), "leg_id")
     jobs.upsert_predictions(g.spark, house.path("predictions"), known, "period")
-    model = scoring.fit_delay_model(stored, rounds=5, depth=3)
-    first = jobs.run_scoring(g.spark, house, model, datetime(2002, 1, 2))
+    model = _stored_model(g.spark)
+    years = [f"{p}-01-01" for p in sorted(stored_partitions(g.spark, house.path("fct_flight_legs"), "period"))]
+    first = jobs.run_scoring(g.spark, house, model, datetime(2002, 1, 2), dates=years[::2])
+    first += jobs.run_scoring(g.spark, house, model, datetime(2002, 1, 2))
     second = jobs.run_scoring(g.spark, house, model, datetime(2002, 1, 3))
-    return jobs.read_predictions(g.spark, house).agg(
-        F.count(F.lit(1)).alias("predictions"),
-        F.lit(first).cast("long").alias("first_run"),
-        F.lit(second).cast("long").alias("second_run"),
+    return jobs.read_predictions(g.spark, house).select(
+        "leg_id", "delay_predicted", "timestamp", F.lit(first).cast("long").alias("first_run"), F.lit(second).cast("long").alias("second_run")
     )
 
 
@@ -673,7 +769,14 @@ def dq_not_null(g: Given) -> DataFrame:
 
 @query
 def dq_freshness(g: Given) -> DataFrame:
-    return quality.check_freshness(g.flights, "fetched_at", datetime(2002, 1, 10), table="flights")
+    """Ages of three sources: flights by date, legs by departure, log events."""
+    flights = g.flights.withColumn("day", F.to_timestamp("flight_schedule_date"))
+    checks = [
+        quality.check_freshness(flights, "day", FRESH_AS_OF, table="flights"),
+        quality.check_freshness(g.legs, "scheduled_departure", FRESH_AS_OF, table="legs"),
+        quality.check_freshness(g.events, "event_at", datetime(2024, 2, 12), table="events"),
+    ]
+    return quality.dq_report(checks)
 
 
 @query
@@ -736,19 +839,31 @@ def down_targets(g: Given) -> DataFrame:
     return out.select("job", "instance", telemetry.label("status").alias("status"), "ts")
 
 
-EXAMPLE_RULES = (
-    ("MemoryHigh", "warning", 5.0, ">=", 4 * 3600),
-    ("MemoryLow", "critical", 40.0, "<=", 2 * 3600),
-)
+@query
+def counter_rate_total(g: Given) -> DataFrame:
+    """The rate over all series of one status, at every evaluation time, also where there is none."""
+    chosen = telemetry.label("status") == "503"
+    return _round6(telemetry.counter_rate(g.samples, "http_requests_total", 600, 300, where=chosen), "rate")
+
+
+@query
+def busy_percent(g: Given) -> DataFrame:
+    return _round6(telemetry.busy_percent(g.service_samples), "value")
+
+
+@query
+def free_space(g: Given) -> DataFrame:
+    signal = telemetry.free_space_signal(
+        g.service_samples, "ServerDiskSpaceLow", "node_filesystem_free_bytes", "node_filesystem_size_bytes"
+    )
+    return _round6(signal, "value")
 
 
 @query
 def sustained_alerts(g: Given) -> DataFrame:
-    metric = "process_resident_memory_bytes"
-    high = telemetry.gauge_signal(g.samples, "MemoryHigh", metric, ["instance"])
-    low = telemetry.gauge_signal(g.samples, "MemoryLow", metric, ["job"])
-    rules = telemetry.rules_table(g.spark, EXAMPLE_RULES)
-    return telemetry.sustained_alerts(high.unionByName(low), rules, max_gap_seconds=86400)
+    """The seven rules over the signals they are about."""
+    signals = telemetry.service_signals(g.service_samples)
+    return telemetry.sustained_alerts(signals, telemetry.rules_table(g.spark))
 
 
 # ---- streaming
@@ -760,26 +875,39 @@ def _events_stream(g: Given) -> DataFrame:
 
 @query
 def stream_ingest_(g: Given) -> DataFrame:
-    """Drain landed pages into raw tables and count what arrived per month."""
+    """Drain landed pages into raw tables: every flight with the number of its legs and delays."""
     house = jobs.Warehouse(scratch_path(g.spark, "stream-house"), by="year")
     state = scratch_path(g.spark, "stream-state")
     stream_ingest(g.spark, _landed(g), house, state, datetime(2002, 1, 1)).awaitTermination()
     raw = jobs.read_raw(g.spark, house)
-    month = F.substring("flight_schedule_date", 1, 7).alias("month")
-    flights = raw.flights.select(month, F.lit(1).alias("f"), F.lit(0).alias("l"), F.lit(0).alias("d"))
-    legs_ = raw.legs.select(month, F.lit(0).alias("f"), F.lit(1).alias("l"), F.lit(0).alias("d"))
-    delays = raw.delays.select(month, F.lit(0).alias("f"), F.lit(0).alias("l"), F.lit(1).alias("d"))
-    return (
-        flights.unionAll(legs_).unionAll(delays).groupBy("month")
-        .agg(F.sum("f").alias("flights"), F.sum("l").alias("legs"), F.sum("d").alias("delays"))
-    )
+    legs_ = raw.legs.groupBy("flight_id").agg(F.count(F.lit(1)).alias("legs"))
+    delays = raw.delays.groupBy("flight_id").agg(F.count(F.lit(1)).alias("delays"))
+    joined = raw.flights.withColumnRenamed("id", "flight_id").join(legs_, "flight_id", "left").join(delays, "flight_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return joined.select("flight_id", "flight_schedule_date", zero("legs"), zero("delays"))
+
+
+def _in_waves(g: Given, rows: DataFrame, key: str, drain: Callable[[str], StreamingQuery], first: Column | None = None) -> None:
+    """Land thirds of the rows out of order, the first one twice, each drained as a batch of its own."""
+    path = scratch_path(g.spark, "waves")
+    third = F.pmod(F.xxhash64(key), F.lit(3))
+    third = third if first is None else F.when(first, 2).otherwise(third)
+    for n in (2, 0, 1, 2):
+        rows.filter(third == n).write.mode("append").parquet(path)
+        drain(path).awaitTermination()
 
 
 @query
 def stream_runs_(g: Given) -> DataFrame:
-    target = scratch_path(g.spark, "stream-runs")
-    stream_runs(_events_stream(g), target, scratch_path(g.spark, "stream-state")).awaitTermination()
-    return g.spark.read.schema(g.runs.schema).parquet(target)
+    target, state = scratch_path(g.spark, "stream-runs"), scratch_path(g.spark, "stream-state")
+    given = fixtures.given(g.spark, g.dir, "events")
+
+    def drain(path: str) -> StreamingQuery:
+        events = g.spark.readStream.schema(given.schema).parquet(path)
+        return stream_runs(observability.enrich_events(fixtures.event_payloads(events)), target, state)
+
+    _in_waves(g, given, "event_id", drain)
+    return g.spark.read.schema(g.runs.schema).parquet(f"{target}/runs")
 
 
 @query
@@ -792,13 +920,21 @@ def stream_event_rates_(g: Given) -> DataFrame:
 
 @query
 def stream_daily_counts_(g: Given) -> DataFrame:
-    target = scratch_path(g.spark, "stream-daily")
-    items = fixtures.departure_events(fixtures.given_stream(g.spark, g.dir, "lineitem"))
-    flights = g.flights.select(F.col("id").alias("flight_id"), F.to_timestamp("flight_schedule_date").alias("event_day"))
-    dated = items.join(flights, "flight_id")
-    stream_daily_counts(dated, "airport", target, scratch_path(g.spark, "stream-state")).awaitTermination()
-    schema = "departure_airport_code string, flight_schedule_date date, delayed_count long, total_count long"
-    return g.spark.read.schema(schema).parquet(target).drop("year")
+    """Counts and shares from out-of-order batches; the first holds events ten years ahead."""
+    target, state = scratch_path(g.spark, "stream-daily"), scratch_path(g.spark, "stream-state")
+    ahead = F.col("flight_id").cast("long") % 100 == 7
+    day = F.to_date("flight_schedule_date")
+    flights = g.flights.select(F.col("id").alias("flight_id"), "flight_schedule_date")
+    events = fixtures.departure_events(fixtures.given(g.spark, g.dir, "lineitem")).join(flights, "flight_id")
+    dated = events.withColumn("event_day", F.when(ahead, F.date_add(day, 3650)).otherwise(day).cast("timestamp"))
+
+    def drain(path: str) -> StreamingQuery:
+        return stream_daily_counts(g.spark.readStream.schema(dated.schema).parquet(path), "airport", target, state)
+
+    _in_waves(g, dated, "id", drain, first=ahead)
+    key, share = shares.ENTITIES["airport"]
+    schema = f"{key} string, flight_schedule_date date, delayed_count long, total_count long, {share} double"
+    return _round6(g.spark.read.schema(schema).parquet(f"{target}/daily").drop("year"), share)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

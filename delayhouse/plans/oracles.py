@@ -219,6 +219,13 @@ _CTES["spread"] = (
     "select " + ", ".join(f"avg({f}) as {f}_m, stddev_pop({f}) as {f}_s" for f in _FEATURES) + " from filled"
 )
 
+# The line that the stored model of the scoring queries is.
+_CTES["judged_legs"] = """
+    select leg_id, flight_id, cast((scheduled_flight_duration_minutes::double - 300.0::double) / 120.0::double
+        + 0.5::double * ((coalesce(departure_hour, 12)::double - 12.0::double) / 6.0::double)
+        - (coalesce(departure_monthday, 15)::double - 15.0::double) / 8.0::double > 0 as integer) as predicted
+    from outcomes f where not cancelled and not exists (select 1 from predictions p where p.leg_id = f.leg_id)"""
+
 # ---- nested documents
 
 _CTES["docs"] = """
@@ -235,6 +242,10 @@ _CTES["doc_delays"] = """
         case when kind in (1, 2, 3) then 'PT' || q || 'M' else '00' end as duration
     from doc_legs
     union all select doc_id, day, leg_name, 1, 'Y', null from doc_legs where kind = 3"""
+_CTES["usable_docs"] = "select * from docs where l_orderkey % 50 > 1"
+_CTES["ingest_runs"] = """
+    select n, doc_id, day, nb_legs, (select count(*) from doc_delays x where x.doc_id = d.doc_id) as nb_delays
+    from usable_docs d cross join range(1, 3) r(n) where n = 2 or l_orderkey % 10 <> 5"""
 _CTES["readable"] = "select * from docs where l_orderkey % 50 <> 0"
 
 # ---- pipeline log
@@ -263,7 +274,8 @@ _CTES["log"] = """
             case when kind = 'view' then '"rows_inserted":' || amount end,
             case when kind = 'click' then '"records_processed":' || amount end,
             case when exception is not null then '"exception":"' || exception || '"' end,
-            case when explicit_date is not null then '"explicit_business_date":"' || explicit_date || '"' end)
+            case when explicit_date is not null then '"explicit_business_date":"' || explicit_date
+                || '","business_date":"' || explicit_date || '"' end)
             || '}', '{}') as extra,
         case when level = 'ERROR' or event_type like '%fail%' then 'FAILED'
             when event_type like '%success%' or event_type like '%reload%' then 'SUCCESS' else 'RUNNING' end as status
@@ -311,49 +323,106 @@ _CTES["samples"] = """
 _CTES["newest"] = """
     select metric, job, instance, status, max(ts) as ts, arg_max(value, ts) as value from samples group by all"""
 _WINDOW, _STEP = 6 * 3600, 2 * 3600
-_CTES["steps"] = """
-    select job, instance, status, epoch_us(ts) / 1e6 as t, value, lag(value) over w as prev_value,
-        lag(epoch_us(ts) / 1e6) over w as prev_at
-    from samples where metric = 'http_requests_total'
-    window w as (partition by job, instance, status order by ts)"""
-_CTES["evals"] = f"""
-    select s.*, eval_at, case when prev_at > eval_at - {_WINDOW} then
-            case when value < prev_value then value else value - prev_value end end as grown
-    from (select *, unnest(range(cast(ceil(t / {_STEP}) * {_STEP} as bigint),
-            cast(ceil(t / {_STEP}) * {_STEP} as bigint) + {_WINDOW}, {_STEP})) as eval_at from steps) s"""
-_CTES["window_sums"] = """
-    select job, instance, status, eval_at, count(*) as n, min(t) as first_at, max(t) as last_at,
-        arg_min(value, t) as first_value, sum(grown) as raw, max(t) - min(t) as sampled,
-        (max(t) - min(t)) / nullif(count(*) - 1, 0) as distance
-    from evals group by all having count(*) > 1"""
-_CTES["windows"] = f"""
-    select job, instance, status, eval_at, raw * (sampled + least(
-            case when first_at - (eval_at - {_WINDOW}) >= distance * 1.1 then distance / 2
-                else first_at - (eval_at - {_WINDOW}) end,
-            case when raw > 0 and first_value >= 0 then sampled * first_value / raw
-                else 1e18 end)
-        + case when eval_at - last_at >= distance * 1.1 then distance / 2 else eval_at - last_at end)
-        / sampled as increase
-    from window_sums where sampled > 0"""
-
-
-def _signal(rule: str, group: str) -> str:
-    return f"""
-        select '{rule}' as rule, grp, t, max(value) as value from (
-            select {group} as grp, instance, job, status, ceil(epoch_us(ts) / 1e6 / 15) * 15 as t,
-                arg_max(value, ts) as value
-            from samples where metric = 'process_resident_memory_bytes' group by all)
-        group by grp, t"""
-
-
-_CTES["signals"] = _signal("MemoryHigh", "instance") + " union all " + _signal("MemoryLow", "job")
-_CTES["judged"] = """
-    select *, case rule when 'MemoryHigh' then value >= 5.0 else value <= 40.0 end as holds,
-        case rule when 'MemoryHigh' then 'warning' else 'critical' end as severity,
-        case rule when 'MemoryHigh' then 14400 else 7200 end as hold_seconds
-    from signals"""
+
+
+def _counter_windows(prefix: str, samples: str, metric: str, window: int, step: int) -> None:
+    """Named subqueries, the last ``<prefix>windows``, with the increase of every series and evaluation time."""
+    _CTES[f"{prefix}steps"] = f"""
+        select job, instance, status, epoch_us(ts) / 1e6 as t, value, lag(value) over w as prev_value,
+            lag(epoch_us(ts) / 1e6) over w as prev_at
+        from {samples} where metric = '{metric}'
+        window w as (partition by job, instance, status order by ts)"""
+    _CTES[f"{prefix}evals"] = f"""
+        select s.*, eval_at, case when prev_at > eval_at - {window} then
+                case when value < prev_value then value else value - prev_value end end as grown
+        from (select *, unnest(range(cast(ceil(t / {step}) * {step} as bigint),
+                cast(ceil(t / {step}) * {step} as bigint) + {window}, {step})) as eval_at from {prefix}steps) s"""
+    _CTES[f"{prefix}window_sums"] = f"""
+        select job, instance, status, eval_at, count(*) as n, min(t) as first_at, max(t) as last_at,
+            arg_min(value, t) as first_value, sum(grown) as raw, max(t) - min(t) as sampled,
+            (max(t) - min(t)) / nullif(count(*) - 1, 0) as distance
+        from {prefix}evals group by all having count(*) > 1"""
+    _CTES[f"{prefix}windows"] = f"""
+        select job, instance, status, eval_at, raw * (sampled + least(
+                case when first_at - (eval_at - {window}) >= distance * 1.1 then distance / 2
+                    else first_at - (eval_at - {window}) end,
+                case when raw > 0 and first_value >= 0 then sampled * first_value / raw
+                    else 1e18 end)
+            + case when eval_at - last_at >= distance * 1.1 then distance / 2 else eval_at - last_at end)
+            / sampled as increase
+        from {prefix}window_sums where sampled > 0"""
+    _CTES[f"{prefix}times"] = f"""
+        select unnest(range(cast(ceil(min(epoch_us(ts)) / 1e6 / {step}) * {step} as bigint),
+            cast(ceil(max(epoch_us(ts)) / 1e6 / {step}) * {step} as bigint) + {window}, {step})) as eval_at
+        from {samples}"""
+
+
+_counter_windows("", "samples", "http_requests_total", _WINDOW, _STEP)
+_counter_windows("short_", "samples", "http_requests_total", 600, 300)
+_CTES["service"] = """
+    select case when user_id % 2 = 0 then 'postgres-analytics' else 'fastapi-service' end as job,
+        'i' || (user_id % 3) as instance,
+        case event_type when 'click' then 'node_cpu_seconds_total' when 'error' then 'up'
+            when 'purchase' then 'node_filesystem_free_bytes' when 'signup' then 'node_filesystem_size_bytes'
+            else 'process_resident_memory_bytes' end as metric,
+        case when event_type = 'click' and user_id % 3 <> 0 then 'idle' else 'user' end as status,
+        make_timestamp(epoch_us(ts) // 50) as ts,
+        case event_type when 'click' then (event_id % 500) * 0.25::double
+            when 'error' then case when user_id % 2 = 0 then 0.0 else 1.0 end
+            when 'signup' then value + 500.0 when 'purchase' then value else value * 8000000.0::double end as value
+    from events"""
+_counter_windows("cpu_", "service", "node_cpu_seconds_total", 300, 60)
+_CTES["busy"] = """
+    select instance, eval_at, 100 - avg(increase / 300) * 100 as value from cpu_windows where status = 'idle'
+    group by instance, eval_at"""
+_CTES["stepped"] = """
+    select job, instance, metric, status, ceil(epoch_us(ts) / 1e6 / 15) * 15 as t, arg_max(value, ts) as value
+    from service group by all"""
+_CTES["space"] = """
+    select t, sum(value) filter (metric = 'node_filesystem_free_bytes')
+        / nullif(sum(value) filter (metric = 'node_filesystem_size_bytes'), 0) * 100 as value
+    from stepped group by t having value is not null"""
+
+
+# Rule, severity, condition, seconds it must hold.
+_RULES = (
+    ("ServiceDown", "critical", "value = 0", 10),
+    ("PostgresRAMUsageWarning", "warning", "value >= 67108864", 120),
+    ("PostgresRAMUsageCritical", "critical", "value >= 134217728", 30),
+    ("FastAPIRAMUsageWarning", "warning", "value >= 268435456", 120),
+    ("FastAPIRAMUsageCritical", "critical", "value >= 402653184", 30),
+    ("ServerCPUUsageCritical", "critical", "value >= 90", 300),
+    ("ServerDiskSpaceLow", "warning", "value <= 10", 600),
+)
+
+
+def _memory(service: str, job: str) -> str:
+    return "".join(
+        f" union all select '{service}RAMUsage{tier}', 'all', t, max(value) from stepped"
+        f" where metric = 'process_resident_memory_bytes' and job = '{job}' group by t"
+        for tier in ("Warning", "Critical")
+    )
+
+
+_CTES["signals"] = (
+    "select 'ServiceDown' as rule, job || '/' || instance as grp, t, max(value) as value from stepped"
+    " where metric = 'up' group by job, instance, t"
+    + _memory("Postgres", "postgres-analytics") + _memory("FastAPI", "fastapi-service")
+    + " union all select 'ServerCPUUsageCritical', instance, eval_at, value from busy"
+    " union all select 'ServerDiskSpaceLow', 'all', t, value from space"
+)
+
+
+def _by_rule(values) -> str:
+    return "case rule " + " ".join(f"when '{r[0]}' then {values(r)}" for r in _RULES) + " end"
+
+
+_CTES["judged"] = (
+    f"select *, {_by_rule(lambda r: r[2])} as holds, {_by_rule(lambda r: repr(r[1]))} as severity,"
+    f" {_by_rule(lambda r: r[3])} as hold_seconds from signals"
+)
 _CTES["marked"] = """
-    select *, case when holds and lag(holds) over w and t - lag(t) over w <= 86400 then 0 else 1 end as opens
+    select *, case when holds and lag(holds) over w then 0 else 1 end as opens
     from judged window w as (partition by rule, grp order by t)"""
 _CTES["islands"] = """
     select *, sum(opens) over (partition by rule, grp order by t) as island from marked"""
@@ -499,8 +568,28 @@ _STATEMENTS = {
     "stage_legs": "select * from legs",
     "stage_delays": "select * exclude (delay_reason) from delays",
     "materialize_modes": """
-        select mode, (select count(*) from dates) as rows
-        from (select unnest(['view', 'table', 'incremental']) as mode)""",
+        select mode, date_key, day_of_week, month, year
+        from (select unnest(['view', 'table', 'incremental']) as mode) cross join dates""",
+    "ingest_job": """
+        select 'flight' as kind, doc_id as name,
+            concat_ws('|', l_returnflag, day, nb_legs, (select count(*) from doc_delays x where x.doc_id = d.doc_id)) as value
+        from usable_docs d
+        union all select 'report', n || '.flights', cast(count(*) as varchar) from ingest_runs group by n
+        union all select 'report', n || '.legs', cast(sum(nb_legs) as varchar) from ingest_runs group by n
+        union all select 'report', n || '.delays', cast(sum(nb_delays) as varchar) from ingest_runs group by n
+        union all select 'report', n || '.pages_skipped', cast((select count(*) from docs where l_orderkey % 50 = 0) as varchar)
+        from range(1, 3) r(n)
+        union all select 'report', n || '.flights_rejected', cast((select count(*) from docs where l_orderkey % 50 = 1) as varchar)
+        from range(1, 3) r(n)
+        union all select 'report', n || '.days_missing', cast((select max(cast(day as date)) - min(cast(day as date)) + 1 from docs)
+            - count(distinct day) as varchar) from ingest_runs group by n
+        union all select 'report', n || '.status', case when (select count(*) from docs where l_orderkey % 50 = 0) > 0
+            or (select max(cast(day as date)) - min(cast(day as date)) + 1 from docs)
+                > (select count(distinct day) from ingest_runs i where i.n = r.n) then 'PARTIAL' else 'SUCCESS' end
+        from range(1, 3) r(n)
+        union all select 'reject', '2002010' || n || 'T000000.' || kind, cast(count(*) as varchar)
+        from (select case l_orderkey % 50 when 0 then 'page' else 'flight' end as kind from docs where l_orderkey % 50 < 2)
+            cross join range(1, 3) r(n) group by n, kind""",
     "event_extra_json": "select id, extra from log",
     "rows_processed": "select event_id as id, cast(trunc(value) as bigint) + 2 as rows_processed from events",
     "delay_flag": "select id, delay_duration, case when delay_duration <> '00' then 1 else 0 end as flag from delays",
@@ -606,10 +695,15 @@ _STATEMENTS = {
     "scale_features": "select leg_id, flight_id, is_delayed, "
     + ", ".join(f"round(({f} - {f}_m) / case when {f}_s = 0 then 1 else {f}_s end, 4) as {f}" for f in _FEATURES)
     + " from filled cross join spread",
+    "fit_params": " union all ".join(
+        f"select '{f}' as feature, round({f}_m, 4) as mean, round({f}_s, 4) as std from spread" for f in _FEATURES
+    ),
+    "score_legs": """
+        select leg_id, flight_id, predicted as delay_predicted, timestamp '2002-01-02' as "timestamp" from judged_legs""",
     "score_increment": """
-        select (select count(*) from facts where not cancelled) as predictions,
-            (select count(*) from facts where not cancelled) - (select count(*) from predictions) as first_run,
-            0 as second_run""",
+        select leg_id, delay_predicted, "timestamp", (select count(*) from judged_legs) as first_run, 0 as second_run
+        from (select leg_id, delay_predicted, "timestamp" from predictions
+            union all select leg_id, predicted, timestamp '2002-01-02' from judged_legs)""",
     "enrich_events": """
         select id, event_at, app, level, layer, dag_id, task_id, run_id, event_type, message, business_date from log""",
     "fold_runs": "select * from runs",
@@ -659,9 +753,17 @@ _STATEMENTS = {
     "dq_not_null": " union all ".join(
         _not_null("legs", c, "legs") for c in ("id", "departure_airport_code", "scheduled_departure")
     ),
-    "dq_freshness": """
-        select 'freshness:flights.fetched_at' as check_name, 'warn' as severity, 1 as failures, 'warn' as status
-        from flights having max(fetched_at) = timestamp '2002-01-01 06:00:00'""",
+    "dq_freshness": " union all ".join(
+        f"""select 'freshness:{name}' as check_name, level as severity, cast(level <> 'none' as bigint) as failures,
+            case when level <> 'none' then level else 'pass' end as status
+        from (select case when age is null or age > 14 then 'error' when age > 7 then 'warn' else 'none' end as level
+            from (select (epoch_us(timestamp '{as_of}') - epoch_us(max({column}))) / 86400e6 as age from {source}))"""
+        for name, column, source, as_of in (
+            ("flights.day", "cast(flight_schedule_date as timestamp)", "flights", "2001-08-12"),
+            ("legs.scheduled_departure", "scheduled_departure", "legs", "2001-08-12"),
+            ("events.event_at", "event_at", "log", "2024-02-12"),
+        )
+    ),
     "dq_row_count": _check("row_count:flights", "error", "greatest(1 - count(*), 0)", "select 1 from flights"),
     "dq_report": " union all ".join(
         [
@@ -692,9 +794,18 @@ _STATEMENTS = {
         select job, status, make_timestamp(eval_at * 1000000) as eval_ts, round(sum(increase / {_WINDOW}), 6) as rate
         from windows group by all""",
     "counter_increase": """
-        select make_timestamp(eval_at * 1000000) as eval_ts,
-            round(sum(case when regexp_full_match(status, '5..') then increase else 0 end), 6) as increase
-        from windows group by all""",
+        select make_timestamp(t.eval_at * 1000000) as eval_ts, round(coalesce(sum(increase), 0), 6) as increase
+        from times t left join (select * from windows where regexp_full_match(status, '5..')) w on t.eval_at = w.eval_at
+        group by t.eval_at""",
+    "counter_rate_total": """
+        select make_timestamp(t.eval_at * 1000000) as eval_ts, round(coalesce(sum(increase / 600), 0), 6) as rate
+        from short_times t left join (select * from short_windows where status = '503') w on t.eval_at = w.eval_at
+        group by t.eval_at""",
+    "busy_percent": "select instance, make_timestamp(eval_at * 1000000) as eval_ts, round(value, 6) as value from busy",
+    "free_space": """
+        select 'ServerDiskSpaceLow' as rule, 'all' as grp, make_timestamp(cast(t * 1000000 as bigint)) as ts,
+            round(value, 6) as value
+        from space""",
     "down_targets": "select job, instance, status, ts from newest where metric = 'up' and value = 0",
     "sustained_alerts": """
         select rule, grp, any_value(severity) as severity, make_timestamp(cast(min(t) * 1e6 as bigint)) as started_at,
@@ -702,30 +813,52 @@ _STATEMENTS = {
             make_timestamp(cast(max(t) * 1e6 as bigint)) as ended_at
         from islands where holds group by rule, grp, island having max(t) - min(t) >= any_value(hold_seconds)""",
     "stream_ingest": """
-        select substr(day, 1, 7) as month, count(*) as flights, cast(sum(nb_legs) as bigint) as legs,
-            cast(sum((select count(*) from doc_delays x where x.doc_id = r.doc_id)) as bigint) as delays
-        from readable r group by all""",
+        select doc_id as flight_id, day as flight_schedule_date, nb_legs as legs,
+            (select count(*) from doc_delays x where x.doc_id = r.doc_id) as delays
+        from readable r""",
     "stream_runs": "select * from runs",
     "stream_event_rates": _rates(6, 2),
-    "stream_daily_counts": "select * from daily_airport",
+    "stream_daily_counts": """
+        select departure_airport_code, flight_schedule_date, delayed_count, total_count,
+            round(cast(sum(delayed_count) over w as bigint) * 100.0::double
+                / nullif(cast(sum(total_count) over w as bigint), 0), 6) as departure_airport_delayed_share
+        from (select departure_airport_code, cast(flight_schedule_date as date)
+                + case when cast(flight_id as bigint) % 100 = 7 then 3650 else 0 end as flight_schedule_date,
+                cast(sum(flag) as bigint) as delayed_count, count(*) as total_count
+            from delay_rows where cancelled = false and departure_airport_code is not null group by all)
+        window w as (partition by departure_airport_code order by flight_schedule_date
+            range between interval 7 days preceding and current row)""",
 }
 for _name, (_key, _share) in _ENTITIES.items():
     _STATEMENTS[f"daily_delay_counts_{_name}"] = f"select * from daily_{_name}"
     _STATEMENTS[f"share_{_name}"] = (
         f"select {_key}, flight_schedule_date, round({_share}, 6) as {_share} from rolling_{_name}"
     )
+_STATEMENTS["refresh_job"] = _STATEMENTS["fct_flight_legs"]
 for _name in _METRIC:
     _STATEMENTS[f"delay_metrics_{_name}"] = f"select * from metrics_{_name}"
 
 
-def _needed(sql: str) -> list[str]:
+# Raw tables after the change of ``refresh_job``: moved and shortened flights.
+_CHANGED = {
+    "flights": f"""
+        select * replace (case when cast(id as bigint) % 200 = 3
+            then strftime(cast(flight_schedule_date as date) + 45, '%Y-%m-%d') else flight_schedule_date end as flight_schedule_date)
+        from ({_CTES["flights"]})""",
+    "legs": f"""
+        select * from ({_CTES["legs"]}) where cast(flight_id as bigint) % 200 <> 3 or leg_order < 2""",
+    "delays": f"select d.* from ({_CTES['delays']}) d where flight_leg_id in (select id from legs)",
+}
+
+
+def _needed(sql: str, ctes: dict[str, str]) -> list[str]:
     """Named subqueries a text uses, each after those it depends on."""
     found: list[str] = []
 
     def visit(text: str) -> None:
-        for name in _CTES:
+        for name in ctes:
             if name not in found and re.search(rf"\b(?:from|join)\s+{name}\b", text):
-                visit(_CTES[name])
+                visit(ctes[name])
                 if name not in found:
                     found.append(name)
 
@@ -737,6 +870,7 @@ def statements() -> dict[str, str]:
     """The complete SQL text of every checked query."""
     out = {}
     for name, sql in _STATEMENTS.items():
-        parts = ",\n".join(f"{cte} as ({_CTES[cte]})" for cte in _needed(sql))
+        ctes = _CTES | _CHANGED if name == "refresh_job" else _CTES
+        parts = ",\n".join(f"{cte} as ({ctes[cte]})" for cte in _needed(sql, ctes))
         out[name] = f"with {parts}\n{sql}" if parts else sql
     return out

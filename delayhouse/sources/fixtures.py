@@ -248,7 +248,9 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ',"haul":"MEDIUM","flightStatusPublic":"', F.col("l_returnflag"), '","flightLegs":',
         F.when(_q() != 1, _text("[", _json_leg(0), *more, "]")).otherwise("null"), "}",
     )
-    return given(spark, sf_dir, "lineitem").select(text.alias("value"), (F.col("l_orderkey") % 50 == 0).alias("broken"))
+    return given(spark, sf_dir, "lineitem").select(
+        text.alias("value"), (F.col("l_orderkey") % 50 == 0).alias("broken"), F.col("l_orderkey").alias("order_key")
+    )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,14 +263,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(PAGE_DOCUMENT["operationalFlights"].dataType.elementType).json(path)
 
 
+def _page(document: Column) -> Column:
+    return _text('{"page":{"totalPages":1},"operationalFlights":[', document, "]}")
+
+
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed page text, one page per flight document; some pages are cut short, as after a failed fetch."""
-    page = _text('{"page":{"totalPages":1},"operationalFlights":[', F.col("value"), "]}")
+    page = _page(F.col("value"))
     return document_lines(spark, sf_dir).select(
         F.when(F.col("broken"), F.substring(page, 1, 40)).otherwise(page).alias("value")
     )
 
 
+def page_waves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Pages landed in two waves. Of the first, some are cut, some have no date, and some hold a status that the second
+    corrects, once to a larger and once to a smaller text; a tenth of the flights comes with the second only."""
+    lines, k = document_lines(spark, sf_dir), F.col("order_key") % 10
+
+    def status(text: str) -> Column:
+        return F.regexp_replace("value", '"flightStatusPublic":"[^"]*"', f'"flightStatusPublic":"{text}"')
+
+    early = F.when(k == 3, status("ZZ")).when(k == 4, status("AA")).otherwise(F.col("value"))
+    dateless = F.regexp_replace(early, '"flightScheduleDate":"[^"]*"', '"flightScheduleDate":null')
+    page = _page(F.when(F.col("order_key") % 50 == 1, dateless).otherwise(early))
+    first = lines.filter(k != 5).select(F.when(F.col("broken"), F.substring(page, 1, 40)).otherwise(page).alias("value"))
+    return first, lines.filter(k.isin(3, 4, 5)).select(_page(F.col("value")).alias("value"))
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipeline log payloads, one per event row."""
     return event_payloads(given(spark, sf_dir, "events"))
@@ -336,3 +357,32 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"),
         value.alias("value"),
     )
+
+
+def service_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of every metric that the alert rules are about; the events' times are drawn together fifty-fold."""
+    kind = F.col("event_type")
+    metric = (
+        F.when(kind == "click", "node_cpu_seconds_total")
+        .when(kind == "error", "up")
+        .when(kind == "purchase", "node_filesystem_free_bytes")
+        .when(kind == "signup", "node_filesystem_size_bytes")
+        .otherwise("process_resident_memory_bytes")
+    )
+    value = (
+        F.when(kind == "click", (F.col("event_id") % 500) * 0.25)
+        .when(kind == "error", F.when(F.col("user_id") % 2 == 0, 0.0).otherwise(1.0))
+        .when(kind == "signup", F.col("value") + 500.0)
+        .when(kind == "purchase", F.col("value"))
+        .otherwise(F.col("value") * 8000000.0)
+    )
+    job = F.when(F.col("user_id") % 2 == 0, "postgres-analytics").otherwise("fastapi-service")
+    mode = F.when((kind == "click") & (F.col("user_id") % 3 != 0), "idle").otherwise("user")
+    return given(spark, sf_dir, "events").select(
+        job.alias("job"),
+        _text("i", F.col("user_id") % 3).alias("instance"),
+        metric.alias("metric"),
+        F.create_map(F.lit("mode"), mode).alias("labels"),
+        F.timestamp_micros(F.expr("unix_micros(ts) div 50")).alias("ts"),
+        value.alias("value"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,15 +95,22 @@ def event_extra(df: DataFrame, columns: list[str]) -> Column:
     return F.nullif(F.to_json(F.struct(*members)), F.lit("{}"))
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """Append rows to the event log, partitioned by day so that time ranges prune."""
+def append_events(events: DataFrame, path: str, batch: str | None = None) -> str:
+    """Append rows to the event log, partitioned by day, so that time ranges prune, and by batch; returns the batch id.
+
+    Appending a batch again under its id replaces it, so a run that was broken off is repeated without doubling events.
+    """
+    batch = batch or uuid.uuid4().hex
     (
         events.withColumn("event_day", F.to_date("event_at"))
+        .withColumn("batch", F.lit(batch))
         .hint("rebalance", "event_day")
-        .write.mode("append")
-        .partitionBy("event_day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_day", "batch")
         .parquet(path)
     )
+    return batch
 
 
 _RESULT = T.StructType().add("adapter_response", T.StructType().add("rows_affected", T.DoubleType()))

@@ -7,22 +7,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.observability import fold_runs, run_events
-from ..sources.storage import upsert_table
+from ..session import Stages
+from ..sources.storage import pruned, upsert_table
 
 
-def stream_runs(events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+BUCKETS = 64
+
+
+def stream_runs(events: DataFrame, target: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
     """Keep the run table up to date from enriched events; the fold is the batch one.
 
-    Each batch emits only the runs it changed, and merging them by run id is idempotent.
+    No run is held as streaming state. Every batch is added to the stored log, which is partitioned by a hash of the run,
+    and the runs of the batch are folded anew from the partitions they lie in. A batch that is repeated replaces its own
+    part of the log, and runs are merged by id, so it changes nothing. Below ``target``: ``log`` and ``runs``.
     """
+    log, runs = f"{target.rstrip('/')}/log", f"{target.rstrip('/')}/runs"
 
-    def merge(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, target, batch, keys=["run_id"], partition_by="date_metier")
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        with Stages(spark) as stages:
+            said = run_events(batch).withColumns({
+                "bucket": F.pmod(F.xxhash64("run_id"), F.lit(buckets)).cast("int"), "batch": F.lit(number).cast("long"),
+            })
+            fresh = stages.add(said, "said")
+            (
+                fresh.hint("rebalance", "bucket")
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(log)
+            )
+            touched = {str(r["bucket"]) for r in fresh.select("bucket").distinct().collect()}  # at most ``buckets``
+            if touched:
+                stored = pruned(spark.read.schema(fresh.schema).parquet(log), "bucket", touched)
+                mine = stored.join(fresh.select("run_id").distinct(), "run_id", "left_semi")
+                folded = fold_runs(mine.drop("bucket", "batch"))
+                upsert_table(spark, runs, folded, keys=["run_id"], partition_by="date_metier", unique=True)
 
     return (
-        fold_runs(run_events(events))
-        .writeStream.outputMode("update")
-        .foreachBatch(merge)
+        events.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -47,7 +67,7 @@ def event_rates(events: DataFrame, size: str, slide: str | None = None) -> DataF
 def stream_event_rates(
     events: DataFrame, size: str, slide: str | None, lateness: str, target: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append every window once it can no longer change."""
+    """Append every window once it can no longer change; windows younger than the lateness are kept back."""
     return (
         event_rates(events.withWatermark("event_at", lateness), size, slide)
         .writeStream.outputMode("append")

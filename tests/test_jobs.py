@@ -125,8 +125,12 @@ def test_scoring_is_incremental_and_model_reloads(spark, house):
     assert stored.count() == 80 and stored.select("timestamp").distinct().count() == 1
 
 
-def test_unknown_feature_names_are_rejected(spark):
-    with pytest.raises(ValueError):
-        scoring.FeatureParams({"_duration_minutes": 1.0}, {})
-    with pytest.raises(ValueError):
-        scoring.impute(spark.range(1), {"departurehour": 1.0})
+def test_feature_names_in_older_spellings(spark):
+    old = {"scheduledFlightDuration": 1.0, "departureairportdelayedshare": 2.0, "departureMonthDay": 3.0, "departure_hour": 4.0}
+    params = scoring.FeatureParams(old, {})
+    assert params.means == {
+        "scheduled_flight_duration_minutes": 1.0, "departure_airport_delayed_share": 2.0, "departure_monthday": 3.0, "departure_hour": 4.0,
+    }
+    for unknown in ({"_duration": 1.0}, {"departurehour": 1.0, "departure_hour": 2.0}):
+        with pytest.raises(ValueError):
+            scoring.FeatureParams(unknown, {})

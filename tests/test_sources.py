@@ -147,8 +147,9 @@ def test_extra_json_encodes_times_and_decimals(spark):
 def test_append_events_keeps_every_row(spark):
     path = scratch_path(spark, "log")
     df = spark.range(5).select("id", F.lit(datetime(2024, 1, 5)).alias("event_at"))
+    first = tables.append_events(df, path)
     tables.append_events(df, path)
-    tables.append_events(df, path)
+    tables.append_events(df, path, first)  # a repeated batch replaces itself
     assert spark.read.parquet(path).filter(F.col("event_day") == date(2024, 1, 5)).count() == 10
 
 
