@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -8,7 +9,7 @@ from delayhouse.operators import mart, scoring
 from delayhouse.plans import jobs
 from delayhouse.plans.build import build_features
 from delayhouse.session import scratch_path
-from delayhouse.sources.storage import pruned
+from delayhouse.sources.storage import path_exists, pruned
 from delayhouse.streaming.ingest import stream_ingest
 
 from .conftest import values
@@ -97,6 +98,106 @@ def test_vanished_legs_leave_no_children(spark):
     assert (raw.flights.count(), raw.legs.count(), raw.delays.count()) == (1, 1, 1)
 
 
+def pages_of(docs, total=1):
+    return [json.dumps({"page": {"pageNumber": n, "totalPages": total}, "operationalFlights": [d]}) for n, d in enumerate(docs)]
+
+
+def land_text(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_the_last_landed_document_wins_in_batch_and_stream(spark, tmp_path):
+    """Whatever the order of the values, and within one file."""
+    for first, last in (("ON_TIME", "ARRIVED"), ("ARRIVED", "ON_TIME")):
+        folder = tmp_path / f"{first}-first"
+        told = [document(FIRST, 1, 5) | {"flightStatusPublic": s} for s in (first, last)]
+        land_text(folder, "one.json", [json.dumps({"page": {"totalPages": 1}, "operationalFlights": told})])
+        land_text(folder, "two.json", pages_of([document(FIRST, 2, 5) | {"flightStatusPublic": first}]))
+        os.utime(folder / "two.json", (1_700_000_000, 1_700_000_000))
+        land_text(folder, "three.json", pages_of([document(FIRST, 2, 5) | {"flightStatusPublic": last}]))
+        batch, stream = (jobs.Warehouse(scratch_path(spark, n)) for n in ("batch", "stream"))
+        jobs.run_ingest(spark, str(folder), batch, "2024-01-01", now=NOW)
+        stream_ingest(spark, str(folder), stream, scratch_path(spark, "state"), NOW).awaitTermination()
+        for house in (batch, stream):
+            assert [r.flight_status_public for r in jobs.read_raw(spark, house).flights.collect()] == [last, last]
+
+
+def test_late_cut_and_unusable_pages_are_kept_track_of(spark, tmp_path):
+    house, folder = jobs.Warehouse(scratch_path(spark, "tracked")), tmp_path / "landed"
+    two = [document(FIRST, 1, 5), document(FIRST, 2, 5)]
+    land_text(folder, "a.json", [pages_of(two, total=2)[0], '{"page":{"totalPages":2},"operat', json.dumps({"operationalFlights": [document(FIRST, 3, 0) | {"flightScheduleDate": None}]})])
+    first = jobs.run_ingest(spark, str(folder), house, "2024-01-01", now=NOW)
+    assert (first["status"], first["flights"], first["pages_skipped"], first["flights_rejected"]) == ("PARTIAL", 1, 1, 1)
+    assert first["days_missing"] == ["2024-01-01"] and jobs.documents.read_checkpoint(spark, house.path("checkpoint")) is None
+    assert spark.read.parquet(house.path("rejects")).count() == 2
+
+    land_text(folder, "b.json", [pages_of(two, total=2)[1]])
+    second = jobs.run_ingest(spark, str(folder), house, "2024-01-01", now=NOW + timedelta(hours=1))
+    assert second["days_missing"] == [] and jobs.documents.read_checkpoint(spark, house.path("checkpoint")) == "2024-01-01T23:59:59+00:00"
+
+    # Another flight of the first day comes when the window has moved on.
+    land_text(folder, "c.json", pages_of([document(FIRST, 9, 5)]) + pages_of([document(FIRST + timedelta(days=1), 1, 0)]))
+    third = jobs.run_ingest(spark, str(folder), house, now=NOW + timedelta(hours=2))
+    assert third["window_start"].date() == date(2024, 1, 2) and third["days_missing"] == []
+    assert jobs.read_raw(spark, house).flights.filter("flight_schedule_date = '2024-01-01'").count() == 3
+    reports = spark.read.parquet(house.path("ingestions")).orderBy("started_at").select("status").collect()
+    assert [r.status for r in reports][:2] == ["PARTIAL", "PARTIAL"] and len(reports) == 3
+
+
+def test_a_failed_run_is_reported(spark, tmp_path):
+    house = jobs.Warehouse(scratch_path(spark, "failed"))
+    with pytest.raises(Exception):
+        jobs.run_ingest(spark, str(tmp_path / "nowhere"), house, "2024-01-01", now=NOW)
+    assert spark.read.parquet(house.path("ingestions")).first().status == "FAILED"
+
+
+def test_a_flight_that_changes_its_date_leaves_no_trace(spark, tmp_path):
+    house, folder = jobs.Warehouse(scratch_path(spark, "moving"), by="month"), tmp_path / "landed"
+    land_text(folder, "a.json", pages_of(month()))
+    jobs.run_ingest(spark, str(folder), house, "2024-01-01", "2024-01-20", now=NOW)
+    jobs.run_transform(spark, house)
+    moved = document(FIRST + timedelta(days=2), 1, 30) | {"flightScheduleDate": "2024-02-10"}
+    land_text(folder, "b.json", pages_of([moved]))
+    report = jobs.run_ingest(spark, str(folder), house, now=NOW)
+    assert set(report["dates"]) >= {"2024-01-03", "2024-02-10"}
+    jobs.run_transform(spark, house, report["dates"])
+    full = mart.fct_flight_legs(build_features(jobs.read_raw(spark, house)))
+    fact = jobs.read_fact(spark, house).select(*full.columns)
+    assert values(fact) == values(full) and fact.filter("date_key = '2024-02-10'").count() == 1
+    dates = spark.read.parquet(house.path("dim_date"))
+    assert values(dates) == values(mart.dim_date(jobs.read_raw(spark, house).flights).select(*dates.columns))
+
+
+def test_the_gate_judges_before_anything_is_published(spark, monkeypatch):
+    house = jobs.Warehouse(scratch_path(spark, "gated"), by="month")
+    pages = scratch_path(spark, "pages")
+    land(spark, pages, month())
+    jobs.run_ingest(spark, pages, house, "2024-01-01", "2024-01-20", now=NOW)
+    original = jobs.mart.fct_flight_legs
+    monkeypatch.setattr(jobs.mart, "fct_flight_legs", lambda ready: original(ready).withColumn("leg_id", F.lit("same")))
+    with pytest.raises(jobs.quality.QualityGateError):
+        jobs.run_transform(spark, house)
+    assert not path_exists(spark, house.path("fct_flight_legs")) and not path_exists(spark, house.path("dim_date"))
+
+
+def test_source_checks_cover_three_tables(spark, house):
+    rows = {r.check_name: r.status for r in jobs.quality.dq_report(jobs.source_checks(spark, house, NOW + timedelta(days=9))).collect()}
+    assert rows == {**{f"freshness:{t}.fetched_at": "warn" for t in ("flights", "legs", "delays")}, **{f"row_count:{t}": "pass" for t in ("flights", "legs", "delays")}}
+
+
+def test_scoring_of_touched_dates_reads_their_periods_only(spark):
+    house = jobs.Warehouse(scratch_path(spark, "dated"), by="month")
+    pages = scratch_path(spark, "pages")
+    days = [FIRST + timedelta(days=31 * m) for m in range(3)]
+    land(spark, pages, [document(d, n, 20 * (n % 2)) for d in days for n in range(4)])
+    jobs.run_ingest(spark, pages, house, "2024-01-01", now=NOW)
+    jobs.run_transform(spark, house)
+    model = scoring.fit_delay_model(jobs.read_fact(spark, house), rounds=2, depth=2)
+    assert jobs.run_scoring(spark, house, model, NOW, dates=[days[1].isoformat()]) == 4
+    assert jobs.run_scoring(spark, house, model, NOW) == 8
+
+
 def test_stream_ingest_equals_batch_and_replays(spark, house):
     pages, target = scratch_path(spark, "stream-pages"), jobs.Warehouse(scratch_path(spark, "stream-house"), by="month")
     land(spark, pages, month())

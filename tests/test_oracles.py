@@ -10,15 +10,6 @@ import pytest
 from delayhouse.plans import catalog, oracles
 
 SF = "/root/testdata/sf0.001"
-# One per area; the full set is checked at a larger scale outside the unit tests.
-CHOSEN = (
-    "normalize_legs", "normalize_delays", "upsert_legs", "upsert_delays", "event_extra_json", "delays_per_leg",
-    "entity_days", "legs_ready", "dim_airports", "delay_metrics_date", "worst_label", "confusion_matrix",
-    "unscored_legs", "fold_runs", "task_outcome_events", "dq_report", "counter_rate", "sustained_alerts",
-    "stream_event_rates", "stream_runs", "stream_daily_counts",
-)
-
-
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -38,7 +29,7 @@ def table(columns, rows):
     return [columns[i] for i in order], sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", CHOSEN)
+@pytest.mark.parametrize("name", sorted(oracles.statements()))
 def test_query_equals_sql(spark, duck, name):
     got = catalog.queries()[name](spark, SF)
     result = duck.execute(oracles.statements()[name])

@@ -1,15 +1,19 @@
 """Shape of the plans that must hold at any scale."""
 
+import os
+import pathlib
 import re
-from datetime import date, datetime
+import time
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from delayhouse.operators import analytics, shares
 from delayhouse.operators.legs import delays_per_leg, legs_with_flights
-from delayhouse.plans import catalog, oracles
-from delayhouse.sources import fixtures
+from delayhouse.functions import instant, newest_instant
+from delayhouse.plans import build, catalog, oracles
+from delayhouse.sources import documents, storage
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,10 +76,65 @@ def test_bounds_reach_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(scheduled_departure" in plan(analytics.time_filter(fact, "scheduled_departure", datetime(2024, 1, 1), datetime(2024, 2, 1)))
 
 
+def scans(df) -> int:
+    return plan(df).count("FileScan")
+
+
+def test_features_read_each_raw_table_once(spark, given, monkeypatch):
+    """The joined legs are written once; entity days and features read them instead of the raw tables."""
+    written = []
+    original = build.staged
+    monkeypatch.setattr(build, "staged", lambda df, name: written.append((name, df)) or original(df, name))
+    ready = build.build_features(given.raw)
+    names = dict(written)
+    assert scans(names["leg-delays"]) == 3
+    assert scans(names["entity-days"]) == 1 and "leg-delays" in plan(names["entity-days"])
+    assert "lineitem" not in plan(ready) and "orders" not in plan(ready)
+
+
+def test_files_that_arrived_earlier_are_not_read(spark, tmp_path):
+    folder = tmp_path / "landed"
+    folder.mkdir()
+    for name, age in (("old", 3600), ("new", 0)):
+        (folder / f"{name}.json").write_text('{"page":{"totalPages":1},"operationalFlights":[]}\n')
+        when = time.time() - age
+        os.utime(folder / f"{name}.json", (when, when))
+    since = datetime.now(timezone.utc) - timedelta(minutes=10)
+    assert [os.path.basename(f) for f in documents.read_pages(spark, str(folder), since).inputFiles()] == ["new.json"]
+    assert len(documents.read_pages(spark, str(folder)).inputFiles()) == 2
+
+
+def test_touched_periods_prune_the_scans(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(12).selectExpr("id", "concat('2024-', lpad(id + 1, 2, '0')) as period").write.partitionBy("period").parquet(path)
+    text = plan(storage.pruned(spark.read.schema("id long, period string").parquet(path), "period", {"2024-03", "2024-04"}))
+    assert re.search(r"PartitionFilters: \[[^]]*period#\d+ IN \(2024-03,2024-04\)", text), text
+
+
+def test_literals_do_not_depend_on_the_drivers_time_zone(spark):
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        row = spark.range(1).select(F.unix_micros(instant(datetime(2024, 1, 3))).alias("m"), instant(datetime(2024, 1, 3)).alias("t")).first()
+        newest = newest_instant(spark.range(1).select(instant(datetime(2024, 1, 3)).alias("t")), "t")
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+    assert row.m == 1704240000000000 and newest == datetime(2024, 1, 3, tzinfo=timezone.utc)
+
+
+def test_no_zoneless_literal_is_left():
+    root = pathlib.Path(catalog.__file__).parents[1]
+    for path in root.rglob("*.py"):
+        if "llm" not in path.parts:
+            assert not re.search(r"F\.lit\((datetime\(|(now|as_of|scored_at|fetched_at)\))", path.read_text()), path
+
+
 def test_registry_and_sql_agree():
     registered, checked = set(catalog.queries()), set(oracles.statements())
     assert checked <= registered
-    assert registered - checked == {"score_legs"}
+    assert registered - checked == {"fitted_scores"}
 
 
 def test_range_frame_differs_from_a_row_frame(given):

@@ -2,10 +2,11 @@ import json
 import uuid
 from datetime import date, datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
-from delayhouse.session import scratch_path
-from delayhouse.sources import documents, normalize, tables
+from delayhouse.session import Stages, scratch_path
+from delayhouse.sources import documents, normalize, storage, tables
 from delayhouse.sources.storage import latest, upsert, upsert_table
 
 from .conftest import values
@@ -124,6 +125,58 @@ def test_upsert_table_replay_move_and_emptied_partition(spark):
     assert not tables.path_exists(spark, f"{path}/part=q")
 
 
+@pytest.mark.parametrize("stop", ["before the first folder", "between delete and rename", "after the last folder"])
+def test_a_merge_that_breaks_off_loses_nothing(spark, monkeypatch, stop):
+    path = scratch_path(spark, "broken")
+    options = {"keys": ["id"], "partition_by": "part", "order_by": ["seq"]}
+    upsert_table(spark, path, frame(spark, ("a", "p", 1, 1), ("b", "q", 1, 1), ("c", "q", 1, 1), ("d", "r", 1, 1)), **options)
+    batch = frame(spark, ("a", "p", 2, 2), ("b", "q", 2, 2), ("d", "p", 2, 2))
+
+    class Stopped(Exception):
+        pass
+
+    original, seen = storage.swap_in, []
+
+    def broken(session, new, old):
+        seen.append(old)
+        if stop == "before the first folder":
+            raise Stopped
+        if stop == "between delete and rename":
+            fs, location = storage._file_system(session, old)
+            fs.delete(location, True)
+            raise Stopped
+        original(session, new, old)
+        if len(seen) == 2:
+            raise Stopped
+
+    monkeypatch.setattr(storage, "swap_in", broken)
+    with pytest.raises(Stopped):
+        upsert_table(spark, path, batch, **options)
+    monkeypatch.setattr(storage, "swap_in", original)
+    storage.finish_pending(spark, path)
+    assert stored(spark, path) == [("a", "p", 2, 2), ("b", "q", 2, 2), ("c", "q", 1, 1), ("d", "p", 2, 2)]
+    upsert_table(spark, path, batch, **options)
+    assert stored(spark, path) == [("a", "p", 2, 2), ("b", "q", 2, 2), ("c", "q", 1, 1), ("d", "p", 2, 2)]
+
+
+def test_an_unfinished_write_is_dropped(spark):
+    path = scratch_path(spark, "unfinished")
+    options = {"keys": ["id"], "partition_by": "part"}
+    upsert_table(spark, path, frame(spark, ("a", "p", 1, 1)), **options)
+    frame(spark, ("a", "p", 9, 9)).write.partitionBy("part").parquet(f"{path}/_pending/half/data")
+    storage.finish_pending(spark, path)
+    assert stored(spark, path) == [("a", "p", 1, 1)] and not tables.path_exists(spark, f"{path}/_pending/half")
+
+
+def test_stages_are_removed(spark):
+    with pytest.raises(RuntimeError), Stages(spark) as stages:
+        kept = stages.add(spark.range(3), "gone")
+        assert kept.count() == 3
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        raise RuntimeError
+    assert not tables.path_exists(spark, path)
+
+
 def test_upsert_table_replaces_all_children_of_a_parent(spark):
     path = scratch_path(spark, "children")
     options = {"keys": ["id"], "partition_by": "part"}
