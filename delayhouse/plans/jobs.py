@@ -186,12 +186,15 @@ def _influenced(house: Warehouse, dates: Iterable[str]) -> tuple[set[str], set[s
     return rebuilt, rebuilt | {house.period(house.first_day(p) - s) for p in rebuilt for s in step}
 
 
-def run_transform(spark: SparkSession, house: Warehouse, dates: Iterable[str] | None = None) -> list[str]:
+def run_transform(
+    spark: SparkSession, house: Warehouse, dates: Iterable[str] | None = None, as_of: datetime | None = None
+) -> list[str]:
     """Rebuild shares, fact and dimensions; with the touched dates, only what they influence.
 
     Raw tables, fact and dimension parts are partitioned alike, so a refresh reads and writes the influenced periods only,
     except for the keys of the stored fact, against which the new ones are held. The quality gate judges the new
-    rows before anything is published; it raises on an error and returns warnings.
+    rows before anything is published; it raises on an error and returns warnings. With ``as_of`` it also judges the age and
+    size of the raw tables.
     """
     dates = None if dates is None else set(dates)
     raw = read_raw(spark, house)
@@ -225,7 +228,7 @@ def run_transform(spark: SparkSession, house: Warehouse, dates: Iterable[str] |
         all_parts = stages.add(all_parts, "all-parts")
         dims = mart.dimensions(all_parts)
         checks = quality.star_schema_checks(keys, dims["dim_date"], dims["dim_airlines"], dims["dim_airports"])
-        warnings = quality.run_quality_gate(checks)
+        warnings = quality.run_quality_gate(checks + (source_checks(spark, house, as_of) if as_of else []))
 
         for name, rows in (("entity_days", days), ("fct_flight_legs", fact), ("dim_parts", parts)):
             replace_partitions(spark, house.path(name), rows, _PERIOD, touched[name])
@@ -319,7 +322,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "ingest":
         print(run_ingest(spark, args.source, house, args.start, args.end, not args.full))
     elif args.job == "transform":
-        print(run_transform(spark, house, _span(args.start, args.end)))
+        print(run_transform(spark, house, _span(args.start, args.end), datetime.now(timezone.utc)))
     elif args.job == "fit":
         scoring.fit_delay_model(read_fact(spark, house)).save(spark, args.model)
     else:

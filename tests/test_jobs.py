@@ -178,7 +178,11 @@ def test_the_gate_judges_before_anything_is_published(spark, monkeypatch):
     monkeypatch.setattr(jobs.mart, "fct_flight_legs", lambda ready: original(ready).withColumn("leg_id", F.lit("same")))
     with pytest.raises(jobs.quality.QualityGateError):
         jobs.run_transform(spark, house)
+    monkeypatch.undo()
+    with pytest.raises(jobs.quality.QualityGateError):
+        jobs.run_transform(spark, house, as_of=NOW + timedelta(days=20))  # the sources are stale
     assert not path_exists(spark, house.path("fct_flight_legs")) and not path_exists(spark, house.path("dim_date"))
+    assert jobs.run_transform(spark, house, as_of=NOW + timedelta(days=9)) == [f"freshness:{t}.fetched_at" for t in ("delays", "flights", "legs")]
 
 
 def test_source_checks_cover_three_tables(spark, house):
