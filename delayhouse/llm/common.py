@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-__all__ = ["staged", "table", "texts", "word_count", "significant_bits"]
+__all__ = ["few_rows", "significant_bits", "staged", "table", "texts", "word_count"]
 
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -23,6 +23,13 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def few_rows(batches, rows: int = 256):
+    """The batches of a task in small pieces: a batch holds up to 64 MB of text, and as Python objects several times that."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import staged, table, texts
+from .common import few_rows, staged, table, texts
 
 #: Slots of the levels, from phrases of about 3 characters to phrases of about 100.
 SLOTS = (4, 20, 28, 12)
@@ -183,9 +183,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     def walk(batches):
         """A partition in order: every text meets the next; the last one stays open."""
         held, first = None, True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in few_rows(batches):
             ids, own = batch.column("doc_id"), batch.column("text").to_pylist()
             found = fingerprints(own)
             if held:
@@ -216,7 +214,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     pairs = tails.join(following, "part").join(heads, "next_part")
 
     def complete(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             own, ahead, found, found_next = (
                 batch.column(c).to_pylist() for c in ("text", "next_text", "fingerprint", "next_fingerprint")
             )

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table, texts
+from .common import few_rows, staged, table, texts
 from .components import connected
 
 #: Similarity as a fraction, bands x rows of minima, bits kept of each, and the estimate below which a pair is dropped.
@@ -40,7 +40,7 @@ LEAST_ESTIMATE = 0.66
 PARITY_BITS = 2048
 #: Most members of a bucket that meet in one block, and words remembered by a task.
 BLOCK = 256
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 # ---- sketches --------------------------------------------------------------------------------------------------------
@@ -120,7 +120,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def sketched(batches):
         shingles, functions = Shingles(), _functions()
-        for batch in batches:
+        for batch in few_rows(batches):
             sizes, keys, lowest = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingles.of(text)
@@ -146,7 +146,7 @@ def contents(docs: DataFrame) -> DataFrame:
 
     def filled(batches):
         shingles, functions = Shingles(), _functions()
-        for batch in batches:
+        for batch in few_rows(batches):
             sets = [shingles.of(t) for t in batch.column("text").to_pylist()]
             signatures = packed(np.array([minima(s, functions) for s in sets])) if sets else []
             columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
@@ -200,7 +200,7 @@ def _plausible(batches):
 
 def _confirmed(batches):
     num, den = SIMILARITY
-    for batch in batches:
+    for batch in few_rows(batches):
         keep = []
         for x, y in zip(batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist(), strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

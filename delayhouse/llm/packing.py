@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import staged, table, texts
+from .common import few_rows, staged, table, texts
 
 CAPACITY = 1024
 END_ID = 2
@@ -75,7 +75,7 @@ def pieces(
 
     def cut(batches):
         identifiers, end = Identifiers(tokenizer, pattern), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in few_rows(batches):
             owners, numbers, starts, lengths, sums = [], [], [], [], []
             for owner, text in enumerate(batch.column("text").to_pylist()):
                 ids = memoryview(identifiers.of(text).tobytes() + end)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import few_rows, table, texts
 
 MOST_LABELLED = 4000
 DIMENSIONS = 64
@@ -34,7 +34,7 @@ NEIGHBOURS = 15
 POWER = 8
 TERMS = 4096
 #: Words remembered by a task, and documents of a block of products.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 BLOCK = 512
 
 
@@ -156,7 +156,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = MOS
 
     def read(batches):
         words = WordTerms()
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = [term_weights(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.string()), batch.column("quality").cast(pa.float64()),
@@ -187,7 +187,7 @@ def classify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches):
         words = WordTerms()
-        for batch in batches:
+        for batch in few_rows(batches):
             found = score(batch, words)
             columns = [batch.column("doc_id"), pa.array(found, pa.float64()), pa.array(found >= 0.5).cast(pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted"])
@@ -202,7 +202,7 @@ def accepted(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     def kept(batches):
         words = WordTerms()
-        for batch in batches:
+        for batch in few_rows(batches):
             yield batch.filter(pa.array(score(batch, words) >= 0.5))
 
     return docs.mapInArrow(kept, docs.schema)

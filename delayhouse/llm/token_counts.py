@@ -22,12 +22,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table, texts
+from .common import few_rows, table, texts
 
 #: A document above this many tokens is over the limit.
 TOKEN_LIMIT = 4096
 #: Pieces remembered by a task.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 SPACE = "▁"
 
 
@@ -115,7 +115,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = TOKEN_LIMIT) -> DataF
 
     def counted(batches):
         counts = PieceCounts(model)
-        for batch in batches:
+        for batch in few_rows(batches):
             found = [counts.tokens(t) for t in batch.column("text").to_pylist()]
             if len(counts) >= REMEMBERED:
                 counts.clear()
