@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Stages
 from .common import few_rows, staged, table, texts
 from .components import connected
 
@@ -258,11 +259,8 @@ def _blockwise(batches):
         yield from pairs(rest)
 
 
-def _unresolved(hits: DataFrame, components: DataFrame, held: DataFrame) -> DataFrame:
-    """Plausible pairs (a, b) of nodes that share a bucket, but not yet a component."""
-    labelled = staged(
-        hits.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-labelled"
-    )
+def _unresolved(labelled: DataFrame, held: DataFrame) -> DataFrame:
+    """Plausible pairs (a, b) of nodes that share a bucket, but not yet a component; rows are (key, node, component)."""
     parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
         parts.groupBy("key")
@@ -282,7 +280,7 @@ def _unresolved(hits: DataFrame, components: DataFrame, held: DataFrame) -> Data
         every("member_blocks").alias("member_block"), F.pmod(F.xxhash64("node"), "probe_blocks").cast("int").alias("probe_block"),
     )
     block = ["key", "member_block", "probe_block"]
-    kind = dict(hits.dtypes)["node"]
+    kind = dict(labelled.dtypes)["node"]
     return (
         members.unionByName(probes)
         .join(held.select("node", "n", "signature", "parity"), "node")
@@ -300,24 +298,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per document."""
     sketched = staged(sketches(docs), "near-sketches")
     linkable = sketched.filter("doc_id is not null and set_key is not null")
-    nodes = staged(linkable.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-nodes")
-
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("size > 1")
-    hits = staged(keys.join(shared.drop("size"), "key"), "near-hits")
-    held = staged(contents(docs.join(hits.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")), "near-sets")
-
-    led = hits.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    kind = dict(hits.dtypes)["node"]
-    near = _beside(led, held, ["n", "signature", "parity"]).mapInArrow(_plausible, f"a {kind}, b {kind}")
-    links = staged(_confirm(near, held), "near-links")
-    more = staged(_confirm(_unresolved(hits.drop("leader"), connected(links), held), held), "near-links")
-
-    components = connected(links.unionByName(more))
-    named = (
-        nodes.select("set_key", "node").join(components, "node", "left")
-        .select("set_key", F.coalesce("component", "node").alias("component_id"))
-    )
+    with Stages(spark) as stages:
+        nodes = linkable.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+        nodes = stages.add(nodes, "near-nodes")
+        kind = dict(nodes.dtypes)["node"]
+
+        keys = nodes.select("node", F.explode("bands").alias("key"))
+        shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("size > 1")
+        hits = stages.add(keys.join(shared.drop("size"), "key"), "near-hits")
+        wanted = hits.select(F.col("node").alias("doc_id")).distinct()
+        held = stages.add(contents(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
+
+        led = hits.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        near = _beside(led, held, ["n", "signature", "parity"]).mapInArrow(_plausible, f"a {kind}, b {kind}")
+        links = stages.add(_confirm(near, held), "near-links")
+        so_far = connected(links, stages.add)
+        labelled = hits.drop("leader").join(so_far, "node", "left")
+        labelled = stages.add(labelled.withColumn("component", F.coalesce("component", "node")), "near-labelled")
+        more = stages.add(_confirm(_unresolved(labelled, held), held), "near-links")
+
+        components = connected(links.unionByName(more), stages.add)
+        named = nodes.select("set_key", "node").join(components, "node", "left")
+        named = staged(named.select("set_key", F.coalesce("component", "node").alias("component_id")), "near-named")
     columns = ["doc_id", "n_shingles", "component_id"]
     alone = sketched.filter("doc_id is null or set_key is null").withColumn("component_id", F.col("doc_id"))
     result = linkable.join(named, "set_key").select(columns).unionByName(alone.select(columns))
