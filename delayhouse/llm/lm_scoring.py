@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts
+from .common import few_rows, table, texts
 
 WORDS = 1024
 CLASSES = 63
@@ -35,7 +35,7 @@ INTERPOLATION = 0.7
 ADDED = 0.5
 #: Longer words are never frequent; they go to their class without being counted as a spelling.
 LONGEST_WORD = 32
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _RUNS = ((re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile("[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"\d+"), "0"))
 
@@ -73,13 +73,20 @@ def vocabulary(docs: DataFrame, most: int = WORDS) -> list[str]:
     """The most frequent words of all documents, ties by code point."""
 
     def counted(batches):
-        for batch in batches:
-            counts = Counter()
-            for text in batch.column("text").to_pylist():
-                counts.update(text.split())
+        counts = Counter()
+
+        def told():
             words = [w for w in counts if len(w) <= LONGEST_WORD]
             columns = [pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
+            counts.clear()
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
+        for batch in few_rows(batches):
+            for text in batch.column("text").to_pylist():
+                counts.update(text.split())
+            if len(counts) >= REMEMBERED:
+                yield told()
+        yield told()
 
     counts = texts(docs).select("text").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
@@ -93,7 +100,7 @@ def bigram_counts(spark: SparkSession, marked: DataFrame, words: list[str]) -> t
     def counted(batches):
         tokens = Tokens(shared.value)
         counts = np.zeros((2, tokens.size**2), np.int32)
-        for batch in batches:
+        for batch in few_rows(batches):
             for text, target in zip(batch.column("text").to_pylist(), batch.column("target").to_pylist(), strict=True):
                 cells = tokens.bigrams(text)
                 np.add.at(counts[0], cells, 1)
@@ -125,7 +132,8 @@ def score_documents(spark: SparkSession, docs: DataFrame, targets: DataFrame) ->
     """doc_id, n_tokens, target_loss, background_loss and score; ``targets`` holds the identifiers of the target documents."""
     identifier = docs.schema["doc_id"].dataType.simpleString()
     words = vocabulary(docs)
-    chosen = targets.select("doc_id").filter("doc_id is not null").distinct().withColumn("target", F.lit(True))
+    # The targets grow with the corpus, so they are never broadcast: the plan is the same at every size.
+    chosen = targets.select("doc_id").filter("doc_id is not null").distinct().withColumn("target", F.lit(True)).hint("merge")
     marked = texts(docs).join(chosen, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     tables = [losses(t).ravel().astype(np.float32) for t in bigram_counts(spark, marked, words)]
     shared = spark.sparkContext.broadcast((words, *tables))
@@ -133,7 +141,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, targets: DataFrame) ->
     def scored(batches):
         words, target, background = shared.value
         tokens = Tokens(words)
-        for batch in batches:
+        for batch in few_rows(batches):
             cells = [tokens.bigrams(t) for t in batch.column("text").to_pylist()]
             n = np.array([len(c) for c in cells], np.int64)
             of_target = np.array([target[c].mean(dtype=float) for c in cells], float)
