@@ -9,9 +9,9 @@ Defined cases: a null or empty text has size 0 and is emitted like any other doc
 a source of its own, ordered last; repeated rows are separate documents; a source without words has target 0 and takes
 no copy; an empty table gives an empty result; other columns are ignored, or carried along unread where asked for.
 
-The running sums are made in three levels (document in bucket, bucket in size class, size class in source), so that no
-task holds more than one bucket of one size class, even if one source or one size has most of the rows. Only the list of
-sources, one row each, is ordered as a whole.
+The running sums are made level by level (documents of a bucket, buckets and heads of a size class, classes of a source),
+so that no task holds more than one bucket of one size class, even if one source or one size has most of the rows. Only the
+list of sources, one row each, is ordered as a whole.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import Stages
 from .common import significant_bits, staged, table, word_count
 
 #: Weights by place of the source, repeating; share of all sizes; most that a source may give, times its size.
@@ -62,6 +63,12 @@ def _uniform(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
+def _before(within: list[str], order: str) -> Column:
+    """Members of what comes earlier in the order, within the same group."""
+    earlier = W.partitionBy(*within).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("members").over(earlier), F.lit(0))
+
+
 def sized(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """What mixing needs of a document, and the carried columns as one struct."""
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -81,7 +88,8 @@ def mix(
         "*", _key(F.col("source")).alias("source_key"), significant_bits(F.col("size")).alias("size_class"),
         F.substring("digest", 1, 3).alias("bucket"),
     )
-    groups = staged(
+    stages = Stages(spark)
+    groups = stages.add(
         placed.groupBy("source_key", "size_class", "bucket").agg(
             F.first("source").alias("source"), F.count(F.lit(1)).alias("members"), F.sum("size").alias("words")
         ),
@@ -93,17 +101,17 @@ def mix(
     sources = classes.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
     goal = targets(sources.drop("source_key"), weights, share, cap)
 
-    earlier = W.partitionBy("source_key").orderBy("size_class").rowsBetween(W.unboundedPreceding, -1)
-    starts = classes.select(
-        "source_key", "size_class", F.coalesce(F.sum("members").over(earlier), F.lit(0)).alias("class_start")
-    ).join(goal, "source_key")
-    earlier = W.partitionBy("source_key", "size_class").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = staged(
-        groups.select(
-            "source_key", "size_class", "bucket", F.coalesce(F.sum("members").over(earlier), F.lit(0)).alias("bucket_start")
-        ).join(starts, ["source_key", "size_class"]),
-        "mix-starts",
-    )
+    # Where a bucket starts, level by level: classes of a source, heads (first digit) of a class, buckets of a head.
+    by_class, by_head = ["source_key", "size_class"], ["source_key", "size_class", "head"]
+    headed = groups.withColumn("head", F.substring("bucket", 1, 1))
+    heads = headed.groupBy(*by_head).agg(F.sum("members").alias("members"))
+    starts = classes.select(*by_class, _before(["source_key"], "size_class").alias("class_start")).join(goal, "source_key")
+    starts = heads.select(*by_head, _before(by_class, "head").alias("head_start")).join(starts, by_class)
+    starts = headed.select(*by_head, "bucket", _before(by_head, "bucket").alias("bucket_start")).join(starts, by_head)
+    starts = starts.withColumn("start", F.col("class_start") + F.col("head_start") + F.col("bucket_start"))
+    with stages:  # the groups are not needed any more once the starts are written
+        starts = staged(starts.drop("head", "class_start", "head_start", "bucket_start"), "mix-starts")
+
     place = W.partitionBy("source_key", "size_class", "bucket").orderBy("digest", "size")
     rank = F.row_number().over(place)
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -112,9 +120,9 @@ def mix(
     return (
         placed.withColumn("rank_in_bucket", rank)
         .join(starts, ["source_key", "size_class", "bucket"])
-        .withColumn("rank", F.col("class_start") + F.col("bucket_start") + F.col("rank_in_bucket"))
+        .withColumn("rank", F.col("start") + F.col("rank_in_bucket"))
         .withColumn("copies", F.least(crossed, F.lit(int(-(-cap // 1)))).cast("long"))
-        .drop("source_key", "size_class", "bucket", "digest", "rank_in_bucket", "class_start", "bucket_start", "rank")
+        .drop("source_key", "size_class", "bucket", "digest", "rank_in_bucket", "start", "rank")
     )
 
 
