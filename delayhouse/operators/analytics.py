@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import instant, percent_half_up, ratio_half_up
 
-# Dimension -> (fact column, smallest volume a group must have to be reported).
+# Dimension -> (fact column, smallest volume a group must have to be reported).
 DIMENSIONS = {
     "airport": ("departure_airport_name", 50),
     "city": ("departure_city_name", 50),

@@ -198,6 +198,7 @@ _PARTS = "departure_weekday, departure_month, departure_hour, departure_monthday
 _GEO = ", ".join(f"{end}_{k}" for end in ("departure", "arrival") for k in ("city_code", "city_name", "country_code", "country_name"))
 _AIRPORTS = "departure_airport_code, arrival_airport_code, departure_airport_name, arrival_airport_name"
 
+# Model inputs, in model order. The class labels further down are fixed too.
 _FEATURES = [
     "scheduled_flight_duration_minutes", "nb_flight_departing_departure_airport",
     "nb_flight_arriving_departure_airport", "nb_flight_departing_arrival_airport",
@@ -384,7 +385,7 @@ _CTES["space"] = """
     from stepped group by t having value is not null"""
 
 
-# Rule, severity, condition, seconds it must hold.
+# Rule, severity, condition, seconds it must hold.
 _RULES = (
     ("ServiceDown", "critical", "value = 0", 10),
     ("PostgresRAMUsageWarning", "warning", "value >= 67108864", 120),
