@@ -61,3 +61,26 @@ def test_odd_rows(spark):
     same(score_documents(spark, documents(spark), targets).collect(), brute_force(rows, {1, 2}))
     same(score_documents(spark, documents(spark), targets.limit(0)).collect(), brute_force(rows, set()))
     assert score_documents(spark, nothing(spark), targets).collect() == []
+
+
+def test_rare_words_and_unspaced_texts_are_told_apart(spark):
+    """More words than any fixed list, each rarer than the common ones, of one shape; and texts without white space."""
+    rare = ["".join("abcdefghij"[int(d)] for d in f"{i:06d}") for i in range(4000)]
+    rows = [(i, " ".join(["the"] * 3 + rare[i % 2000 : i % 2000 + 1] * 2)) for i in range(4000)]
+    rows += [(5000, f"the {rare[3]} the"), (5001, f"the {rare[3999]} the"), (5002, "x" * 80 + "a"), (5003, "x" * 80 + "b")]
+    rows += [(5004, "天地玄黃" * 30), (5005, "天地玄黃" * 20 + "宇宙洪荒" * 10)]
+    targets = [*range(1000), 5002, 5004]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = score_documents(spark, docs, spark.createDataFrame([(i,) for i in targets], "doc_id long")).collect()
+    spaced = [r for r in got if r.doc_id < 5004]
+    loss = {r.doc_id: r.score for r in got}
+    assert loss[5000] > loss[5001] and loss[5002] > loss[5003] and loss[5004] > loss[5005]
+    split = [(i, " ".join(t) if i >= 5004 else t) for i, t in rows]
+    same(spaced + [r for r in got if r.doc_id >= 5004], brute_force(split, set(targets)))
+
+
+def test_counts_of_many_blocks_are_added_up(spark, monkeypatch):
+    monkeypatch.setattr("delayhouse.llm.lm_scoring.BLOCK", 2000)
+    rows = [(i, t) for i, t, _ in texts()]
+    targets = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    same(score_documents(spark, documents(spark), targets).collect(), brute_force(rows, {1, 2}))
