@@ -1,7 +1,8 @@
 """Quality scores by nearest-neighbour voting in a latent-semantic space.
 
-A document is a vector of term weights: the shapes of its words (runs of letters, digits and signs), its short words, and how
-often words and lines repeat. The singular vectors of the labelled documents' term matrix span a space of ``DIMENSIONS``; every
+A document is a vector of term weights: its whole words, their shapes (runs of letters, digits and signs), the characters and character
+trigrams of long words and of scripts written without spaces, over their whole length, and how often words and lines repeat. Terms are
+hashed into ``TERMS`` places and weighted by inverse document frequency. The singular vectors of the labelled documents' term matrix span a space of ``DIMENSIONS``; every
 document is projected into it, held against all labelled vectors by exact cosine products in blocks, and the labels of its
 nearest neighbours are averaged, weighted by a power of their similarity.
 
@@ -27,12 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import few_rows, table, texts
+from .lm_scoring import _UNSPACED
 
 MOST_LABELLED = 4000
 DIMENSIONS = 64
 NEIGHBOURS = 15
 POWER = 8
-TERMS = 4096
+TERMS = 2**16
+#: Words with more characters than this are taken apart into characters and trigrams, as are those of unspaced scripts.
+LONG_WORD = 16
 #: Words remembered by a task, and documents of a block of products.
 REMEMBERED = 150_000
 BLOCK = 512
@@ -47,44 +51,66 @@ def _term(name: str) -> int:
     return crc32(name.encode("utf-8", "surrogatepass")) % TERMS
 
 
+#: Marks the code of a word that is taken apart.
+_PIECES = TERMS * (TERMS + 1)
+
+
 class WordTerms(dict):
-    """The term of a word's shape, and above it that of the word itself if it is short (else 0)."""
+    """The term of a word's shape, above it that of the word itself (0 if it is signs alone), above that whether to take it apart."""
 
     runs = [(re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), "a"), (re.compile("[A-ZÀ-ÖØ-Þ]+"), "A"), (re.compile(r"\d+"), "0")]
     same = re.compile(r"(.)\1+")
 
     def __missing__(self, word: str) -> int:
-        shape = word[:64]
+        shape = word
         for run, letter in self.runs:
             shape = run.sub(letter, shape)
-        shape = self.same.sub(r"\1", shape)[:8]
-        core = word.strip(".,;:!?$%&*#|\"'()").lower() if len(word) <= 8 else ""
+        shape = self.same.sub(r"\1", shape)
+        core = word.strip(".,;:!?$%&*#|\"'()").lower()
         found = _term(f"shape {shape}")
-        if 0 < len(core) <= 3:
+        if core:
             found += TERMS * (_term(f"word {core}") + 1)
-        if len(self) < REMEMBERED:
+        if len(word) > LONG_WORD or not word.isascii() and _UNSPACED.search(word):
+            found += _PIECES
+        if len(self) < REMEMBERED and len(word) <= 4 * LONG_WORD:
             self[word] = found
         return found
 
 
+def pieces(word: str) -> np.ndarray:
+    """Terms of all characters and character trigrams, the word's ends counting as a character."""
+    points = np.frombuffer(f" {word.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    mixed = (points[:-2] * np.uint64(0x9E3779B1) + points[1:-1]) * np.uint64(0x85EBCA6B) + points[2:]
+    mixed = np.concatenate([mixed, points[1:-1]]) + np.uint64(1)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
+    return (mixed >> np.uint64(48)).astype(np.int64) % TERMS
+
+
 def term_weights(text: str, words: WordTerms) -> tuple[np.ndarray, np.ndarray]:
     """Terms of a text in ascending order, and their weights."""
     every = text.split()
-    n = max(1, len(every))
-    codes = np.fromiter(map(words.__getitem__, every), np.int64, len(every))
-    weights = np.bincount(codes % TERMS, minlength=TERMS).astype(np.float32)
-    short = codes // TERMS
-    weights += np.bincount(short[short > 0] - 1, minlength=TERMS)
-    weights = np.sqrt(weights / n)
+    if not every:
+        return np.zeros(0, np.int64), np.zeros(0, np.float32)
+    n = len(every)
+    codes = np.fromiter(map(words.__getitem__, every), np.int64, n)
+    long = np.flatnonzero(codes >= _PIECES)
+    codes %= _PIECES
+    whole = codes // TERMS
+    terms, counts = np.unique(np.concatenate([codes % TERMS, whole[whole > 0] - 1]), return_counts=True)
+    weights = np.sqrt(counts / n)
+    if len(long):
+        parts, counts = np.unique(np.concatenate([pieces(every[i]) for i in long]), return_counts=True)
+        terms, weights = np.concatenate([terms, parts]), np.concatenate([weights, np.sqrt(counts / len(text))])
     lines = [line for line in text.split("\n") if line.strip()]
     again = sum(map(operator.eq, every, every[1:])) / n
     eighths = lambda share: int(share * 8)
-    weights[_term(f"distinct words {eighths(len(set(every)) / n)}")] += 0.5
-    weights[_term(f"distinct lines {eighths(len(set(lines)) / max(1, len(lines)))}")] += 0.5
-    weights[_term(f"repeated words {min(8, int(again * 32))}")] += 0.5
-    weights[_term(f"words {len(every).bit_length()}")] += 0.3
-    terms = np.flatnonzero(weights) if every else np.zeros(0, np.int64)
-    return terms, weights[terms]
+    names = [
+        f"distinct words {eighths(len(set(every)) / n)}", f"distinct lines {eighths(len(set(lines)) / max(1, len(lines)))}",
+        f"repeated words {min(8, int(again * 32))}", f"words {n.bit_length()}",
+    ]
+    terms, weights = np.concatenate([terms, list(map(_term, names))]), np.concatenate([weights, [0.5, 0.5, 0.5, 0.3]])
+    terms, at = np.unique(terms, return_inverse=True)
+    return terms, np.bincount(at, weights).astype(np.float32)
 
 
 # ---- the model -------------------------------------------------------------------------------------------------------
@@ -118,23 +144,47 @@ class Model(NamedTuple):
         return np.round(np.clip(found, 0, 1), 6)
 
 
+class Sparse:
+    """A matrix of few entries that are sorted by row; products go through them in pieces."""
+
+    PIECE = 200_000
+
+    def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int):
+        self.row, self.column, self.value, self.rows = row, column, value, rows
+
+    def __matmul__(self, other: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.rows, other.shape[1]), np.float32)
+        for i in range(0, len(self.row), self.PIECE):
+            row = self.row[i : i + self.PIECE]
+            starts = np.flatnonzero(np.diff(row, prepend=-1))
+            each = other[self.column[i : i + self.PIECE]] * self.value[i : i + self.PIECE, None]
+            out[row[starts]] += np.add.reduceat(each, starts)
+        return out
+
+    def turned(self, columns: int) -> Sparse:
+        order = np.argsort(self.column, kind="stable")
+        return Sparse(self.column[order], self.row[order], self.value[order], columns)
+
+
 def fitted(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Model:
     """The leading right singular vectors of the weighted term matrix, by subspace iteration, and the projected rows."""
     if not rows:
         return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    matrix = np.zeros((len(rows), TERMS), np.float32)
-    for i, (terms, weights) in enumerate(rows):
-        matrix[i, terms] = weights
-    present = np.count_nonzero(matrix, axis=0)
+    row = np.repeat(np.arange(len(rows)), [len(terms) for terms, _ in rows])
+    column, value = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
+    present = np.bincount(column, minlength=TERMS)
     rarity = np.where(present >= min(2, len(rows)), np.log(1 + len(rows) / np.maximum(present, 1)), 0).astype(np.float32)
-    matrix *= rarity
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-9)
-    wanted = min(DIMENSIONS, *matrix.shape)
-    space = np.random.default_rng(7).standard_normal((TERMS, min(wanted + 16, *matrix.shape)), np.float32)
+    value = value * rarity[column]
+    norms = np.sqrt(np.bincount(row, value.astype(float) ** 2, len(rows)))
+    value = (value / np.maximum(norms, 1e-9)[row]).astype(np.float32)
+    matrix = Sparse(row[value > 0], column[value > 0], value[value > 0], len(rows))
+    turned = matrix.turned(TERMS)
+    wanted = min(DIMENSIONS, len(rows), TERMS)
+    space = np.random.default_rng(7).standard_normal((TERMS, min(wanted + 16, len(rows), TERMS)), np.float32)
     for _ in range(5):
-        space, _ = np.linalg.qr(matrix.T @ (matrix @ space))
-    _, _, turned = np.linalg.svd(matrix @ space, full_matrices=False)
-    directions = (space @ turned.T)[:, :wanted]
+        space, _ = np.linalg.qr(turned @ (matrix @ space))
+    _, _, rotated = np.linalg.svd(matrix @ space, full_matrices=False)
+    directions = (space @ rotated.T)[:, :wanted]
     model = Model((rarity[:, None] * directions).astype(np.float32), np.zeros((0, wanted), np.float32), labels, labels.mean())
     return model._replace(labelled=model.projected(rows))
 

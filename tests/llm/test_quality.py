@@ -64,3 +64,30 @@ def test_neighbours_vote_as_by_brute_force(spark):
 def test_the_sample_is_bounded(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     assert len(quality.fit(spark, docs, labels, most=50).labels) == 50
+
+
+def judged(spark, good, bad):
+    """Share of right predictions for held-out texts, made by calling good() or bad()."""
+    docs = [(i, (good if i % 2 else bad)()) for i in range(240)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(240)], "doc_id long, quality int")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = quality.classify(spark, table, quality.fit(spark, table, labels)).collect()
+    held = [r.predicted == r.doc_id % 2 for r in rows if r.held_out]
+    assert len(held) > 40
+    return np.mean(held)
+
+
+def test_words_of_one_shape_are_told_apart(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(w) for w in rng.choice(list("abcdefghij"), (200, 7))]
+    assert judged(spark, lambda: " ".join(rng.choice(words[:120], 60)), lambda: " ".join(rng.choice(words[80:], 60))) > 0.9
+
+
+def test_unspaced_texts_are_read_whole(spark):
+    rng = np.random.default_rng(2)
+    start = "".join(rng.choice(list("abcdefgh"), 100))
+    han = [chr(0x4E00 + i) for i in range(60)]
+    blob = lambda letters: lambda: start + "".join(rng.choice(list(letters), 400))
+    assert judged(spark, blob("klmnop"), blob("pqrstu")) > 0.9
+    text = lambda chars: lambda: "".join(rng.choice(han, 80)) + "".join(rng.choice(chars, 200))
+    assert judged(spark, text(han[:35]), text(han[25:])) > 0.9
