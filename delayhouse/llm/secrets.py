@@ -46,11 +46,21 @@ class Rule:
 # access and hex patterns runs to the end of its characters, so the fewest characters can stand in the pattern: what is
 # left out has no shorter or later match that would pass. A match of assign that is too short still hides what it covers.
 _KEYWORDS = "(?i:password|passwd|secret|token|api_?key)"
+# A private key runs to its END line; without one, over its header lines and base64 lines and a last, shorter line. The
+# pattern has no look-around, which SQL lacks, and the repetitions are bounded for the depth of Java's matcher: 300
+# lines are more than those of an RSA key of 16,384 bits.
+_BASE64, _GAP = "[A-Za-z0-9+/=]", r"[\x20\t\r\n\\]"
+_LINES = ("(?:" + _GAP + "+" + _BASE64 + "{16}" + _BASE64 + "*){0,60}") * 5
+_PEM = (
+    "-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:--?-?-?[^-]+){0,300}-*-----END [A-Z ]*PRIVATE KEY-----|"
+    + "(?:" + _GAP + r"+[A-Z][A-Za-z-]*:\x20[^\r\n]*){0,20}" + _GAP + "+" + _BASE64 + "{16}" + _BASE64 + "*" + _LINES
+    + "(?:" + _GAP + r"*\n" + _BASE64 + r"+[\x20\t\r]*(?:\n|\z))?)?"
+)
 RULES = (
     Rule("assign", 1, "(" + _KEYWORDS + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, _KEYWORDS),
     Rule("access", 1, "AKIA[A-Z0-9]{16,}", 20, gate="AKIA"),
     Rule("hex", 1, "[0-9a-f]{24,}", 24, gate="[0-9a-f]{24}"),
-    Rule("pem", 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, gate="PRIVATE KEY-----", base=False),
+    Rule("pem", 3, _PEM, 1, gate="PRIVATE KEY-----", base=False),
 )
 
 
