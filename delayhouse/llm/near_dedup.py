@@ -15,8 +15,8 @@ deviation 0.037, falls below 0.66 with probability 1e-4; both shrink quickly abo
 
 Defined cases: null, empty and white-space texts have 0 shingles, are linked with nothing and are kept; a single word is a
 shingle of its own; a row without identifier is linked with nothing, has a null component and is kept; repeated rows share
-their component; rows that share an identifier but not a text count as one node where that identifier stands for their sets;
-other columns are ignored; an empty table gives an empty result.
+their component; rows that share an identifier but not a set are linked each by its own set, so that two components can bear
+one identifier, and of a component one text stays; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Stages
@@ -115,8 +115,18 @@ def _binary(rows) -> pa.Array:
     return pa.array([None if r is None else r.tobytes() for r in rows], pa.binary())
 
 
+def set_key(hashes: np.ndarray) -> bytes | None:
+    """What stands for a set; null for the empty one."""
+    return hashlib.blake2b(hashes, digest_size=16).digest() if len(hashes) else None
+
+
+def text_key(text: Column) -> Column:
+    """What stands for a text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key and bands of every whole text; the last two null for an empty set."""
+    """doc_id, text_key, n_shingles, set_key and bands of every whole text; the last two null for an empty set."""
     identifier = docs.schema["doc_id"].dataType.simpleString()
 
     def sketched(batches):
@@ -126,36 +136,48 @@ def sketches(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 hashes = shingles.of(text)
                 sizes.append(len(hashes))
-                keys.append(hashlib.blake2b(hashes, digest_size=16).digest() if len(hashes) else None)
+                keys.append(set_key(hashes))
                 if len(hashes):
                     lowest.append(minima(hashes, functions))
             flat = band_keys(np.array(lowest)).ravel() if lowest else np.zeros(0, np.int64)
             full = np.array([n > 0 for n in sizes], bool)
             offsets = np.concatenate([[0], np.cumsum(full * BANDS)])
             bands = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), bands]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_key", "bands"])
+            columns = [batch.column("doc_id"), batch.column("text_key")]
+            columns += [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), bands]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
 
-    return texts(docs).mapInArrow(
-        sketched, f"doc_id {identifier}, n_shingles long, set_key binary, bands array<long>"
+    return texts(docs).withColumn("text_key", text_key(F.col("text"))).mapInArrow(
+        sketched, f"doc_id {identifier}, text_key binary, n_shingles long, set_key binary, bands array<long>"
     )
 
 
-def contents(docs: DataFrame) -> DataFrame:
-    """node, n, signature, parity and members (sorted hashes) of every whole text."""
-    identifier = docs.schema["doc_id"].dataType.simpleString()
+def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node (a set's key), n, signature, parity and members (sorted hashes) of the sets (doc_id, node) that are wanted."""
 
     def filled(batches):
         shingles, functions = Shingles(), _functions()
+        last, told = None, set()  # the join leaves rows of one identifier together: repeated ones are told once
         for batch in few_rows(batches):
-            sets = [shingles.of(t) for t in batch.column("text").to_pylist()]
+            nodes, sets = [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "node", "text")), strict=True)
+            for doc_id, node, text in rows:
+                if doc_id != last:
+                    last, told = doc_id, set()
+                if node in told:
+                    continue
+                hashes = shingles.of(text)
+                if set_key(hashes) == node:  # else another text of the same identifier
+                    told.add(node)
+                    nodes.append(node)
+                    sets.append(hashes)
             signatures = packed(np.array([minima(s, functions) for s in sets])) if sets else []
-            columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
+            columns = [pa.array(nodes, pa.binary()), pa.array([len(s) for s in sets], pa.int64())]
             columns += [_binary(signatures), _binary([parity(s) for s in sets]), _binary(sets)]
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "signature", "parity", "members"])
 
-    return texts(docs).mapInArrow(
-        filled, f"node {identifier}, n long, signature binary, parity binary, members binary"
+    return texts(docs).join(wanted.hint("merge"), "doc_id").mapInArrow(
+        filled, "node binary, n long, signature binary, parity binary, members binary"
     )
 
 
@@ -294,20 +316,21 @@ def _unresolved(labelled: DataFrame, held: DataFrame) -> DataFrame:
 # ---- the operator ----------------------------------------------------------------------------------------------------
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, one row per document."""
+def _linked(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and (set_key, doc_id, text_key): the smallest row of the component of each set."""
     sketched = staged(sketches(docs), "near-sketches")
     linkable = sketched.filter("doc_id is not null and set_key is not null")
     with Stages(spark) as stages:
-        nodes = linkable.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+        least = F.min(F.struct("doc_id", "text_key")).alias("least")
+        nodes = linkable.groupBy(F.col("set_key").alias("node")).agg(least, F.first("bands").alias("bands"))
         nodes = stages.add(nodes, "near-nodes")
         kind = dict(nodes.dtypes)["node"]
 
         keys = nodes.select("node", F.explode("bands").alias("key"))
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("size > 1")
         hits = stages.add(keys.join(shared.drop("size"), "key"), "near-hits")
-        wanted = hits.select(F.col("node").alias("doc_id")).distinct()
-        held = stages.add(contents(docs.join(wanted, "doc_id", "left_semi")), "near-sets")
+        wanted = nodes.select("node", "least.doc_id").join(hits.select("node").distinct(), "node", "left_semi")
+        held = stages.add(contents(docs, wanted), "near-sets")
 
         led = hits.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         near = _beside(led, held, ["n", "signature", "parity"]).mapInArrow(_plausible, f"a {kind}, b {kind}")
@@ -318,18 +341,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
         more = stages.add(_confirm(_unresolved(labelled, held), held), "near-links")
 
         components = connected(links.unionByName(more), stages.add)
-        named = nodes.select("set_key", "node").join(components, "node", "left")
-        named = staged(named.select("set_key", F.coalesce("component", "node").alias("component_id")), "near-named")
+        named = nodes.select("node", "least").join(components, "node", "left")
+        named = stages.add(named.withColumn("component", F.coalesce("component", "node")), "near-named")
+        smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
+        named = named.join(smallest, "component").select(F.col("node").alias("set_key"), "smallest.*")
+        return sketched, staged(named, "near-named")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, one row per document."""
+    sketched, named = _linked(spark, docs)
+    linkable = sketched.filter("doc_id is not null and set_key is not null")
     columns = ["doc_id", "n_shingles", "component_id"]
     alone = sketched.filter("doc_id is null or set_key is null").withColumn("component_id", F.col("doc_id"))
+    named = named.select("set_key", F.col("doc_id").alias("component_id"))
     result = linkable.join(named, "set_key").select(columns).unionByName(alone.select(columns))
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One document of each group, with all columns; rows without identifier all stay."""
-    kept = near_duplicates(spark, docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    """One text of each group, and one empty text of each identifier, with all columns; rows without identifier all stay."""
+    sketched, named = _linked(spark, docs)
+    empty = sketched.filter("doc_id is not null and set_key is null").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    kept = named.select("doc_id", "text_key").distinct().unionByName(empty)
+    rows = docs.filter("doc_id is not null").select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"), text_key(F.col("text")).alias("text_key")
+    )
+    one = rows.join(kept, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return one.select("row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,3 +103,18 @@ def test_components_of_chains_stars_and_loops(spark):
     expected = {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(40)} | {7000: 7000, 7001: 7000}
     assert got == expected
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_identifiers_with_several_texts(spark):
+    rng = random.Random(8)
+    first, second, third = (" ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(80)) for _ in range(3))
+    near = first + " end"
+    rows = [(1, first), (1, None), (2, first), (2, second), (2, ""), (3, second), (4, third), (4, second), (1, third), (1, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(near_duplicates(spark, docs).collect(), rows)
+    kept = sorted((r.doc_id, r.text or "") for r in deduplicated(spark, docs).collect())
+    assert [r for r in kept if not r[1]] == [(1, ""), (2, "")]
+    left = [r for r in kept if r[1]]
+    assert len(left) == 3 and {(1, third), (2, second)} < set(left) and left[0][0] == 1 and set(left) & {(1, first), (1, near)}
+    again = spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(2)
+    assert sorted((r.doc_id, r.text or "") for r in deduplicated(spark, again).collect()) == kept
