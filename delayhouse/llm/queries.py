@@ -1,10 +1,11 @@
 """The registered queries of this package, and their SQL where SQL can express them.
 
 Without SQL, and tested against brute force or held-out labels instead: token counts and packing (tokenizers), language-model
-scoring, near-duplicates (components), quality (a fitted model) and fingerprints.
+scoring, near-duplicates (components), quality (a fitted model), fingerprints, whitening (eigenvectors), page texts (a parser) and spelling
+variants (checksums).
 """
 
-from . import chat, fingerprints, lm_scoring, mixing, near_dedup, packing, quality, secrets, token_counts, topk
+from . import chat, fingerprints, html_text, lm_scoring, mixing, near_dedup, packing, quality, secrets, spelling, token_counts, topk, whitening
 
 
 def queries():
@@ -19,6 +20,9 @@ def queries():
         "op8_document_fingerprints": fingerprints.query,
         "op9_chat_formatting": chat.query,
         "op10_mixing": mixing.query,
+        "op11_embedding_whitening": whitening.query,
+        "op12_html_extraction": html_text.query,
+        "op13_spelling_variants": spelling.query,
     }
 
 

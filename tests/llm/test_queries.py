@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 def test_stages_return_documents_and_take_effect(spark):
