@@ -84,10 +84,11 @@ class Stages:
     def __enter__(self) -> Stages:
         return self
 
-    def add(self, df: DataFrame, name: str) -> DataFrame:
+    def add(self, df: DataFrame, name: str, **options) -> DataFrame:
+        """Write ``df``, with options of the Parquet writer, and read it back."""
         path = scratch_path(self._spark, name)
         self._paths.append(path)
-        df.write.mode("errorifexists").parquet(path)
+        df.write.options(**options).mode("errorifexists").parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_) -> None:
