@@ -1,20 +1,21 @@
 """Near-duplicate documents by b-bit MinHash.
 
-A document is the set of its distinct two-word shingles, kept as 64-bit hashes. Equal sets are one node. Of 128 minima per
+A document is the set of its distinct shingles of ``width`` words, kept as 64-bit hashes. Equal sets are one node. Of 128 minima per
 node, four at a time make 32 band keys; nodes that share a key are candidates. Of each minimum the lowest four bits are
 kept and packed; the share of equal four-bit fields, corrected for chance collisions, estimates the similarity
 of a candidate pair by bit counts. Pairs that pass are confirmed on their full sets.
 
 Only connections matter, so a bucket is not expanded into pairs: first every member is held against the smallest
 member; then, with the components found, only members outside a bucket's largest component are held against the rest of it,
-in blocks. A second sketch (parity of the set per hash slot) gives a lower bound of the symmetric difference, which drops
+in blocks. Members with a plausible partner get their sets, and meet in the same blocks again, where links are confirmed at once: a
+pair whose ends confirmed links already join is skipped, so a block hands on a spanning forest, fewer links than members. A second sketch (parity of the set per hash slot) gives a lower bound of the symmetric difference, which drops
 most pairs below the threshold without a chance of dropping one above it.
 
 Misses: a pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8, and its estimate, of standard
 deviation 0.037, falls below 0.66 with probability 1e-4; both shrink quickly above 0.8.
 
-Defined cases: null, empty and white-space texts have 0 shingles, are linked with nothing and are kept; a single word is a
-shingle of its own; a row without identifier is linked with nothing, has a null component and is kept; repeated rows share
+Defined cases: null, empty and white-space texts have 0 shingles, are linked with nothing and are kept; fewer words than ``width`` are
+one shingle; a row without identifier is linked with nothing, has a null component and is kept; repeated rows share
 their component; rows that share an identifier but not a set are linked each by its own set, so that two components can bear
 one identifier, and of a component one text stays; other columns are ignored; an empty table gives an empty result.
 """
@@ -33,15 +34,19 @@ from ..session import Stages
 from .common import few_rows, staged, table, texts
 from .components import connected
 
+#: Words of a shingle, unless a caller wants another width.
+WIDTH = 5
 #: Similarity as a fraction, bands x rows of minima, bits kept of each, and the estimate below which a pair is dropped.
 SIMILARITY = (80, 100)
 BANDS, ROWS = 32, 4
 BITS = 4
 LEAST_ESTIMATE = 0.66
 PARITY_BITS = 2048
-#: Most members of a bucket that meet in one block, and words remembered by a task.
+#: Members of a bucket that meet in one block, where a large set counts as one more for each ``LARGE`` shingles.
 BLOCK = 256
-REMEMBERED = 150_000
+LARGE = 4096
+#: Bytes of words remembered by a task.
+REMEMBERED = 2**21
 
 
 # ---- sketches --------------------------------------------------------------------------------------------------------
@@ -55,25 +60,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingles:
-    """Sorted distinct hashes of the two-word shingles of a text, A-Z lower-cased, words split at ASCII white space."""
+    """Sorted distinct hashes of the shingles of a text, A-Z lower-cased, words split at ASCII white space."""
 
-    def __init__(self):
-        self.words: dict[bytes, int] = {}
+    def __init__(self, width: int):
+        self.width, self.words, self.held = width, {}, 0
 
     def of(self, text: str) -> np.ndarray:
         from xxhash import xxh3_64_intdigest
 
         words, known = text.encode().lower().split(), self.words
-        if len(known) > REMEMBERED:
+        if self.held > REMEMBERED:
             known.clear()
+            self.held = 0
         for word in words:
             if word not in known:
                 known[word] = xxh3_64_intdigest(word)
+                self.held += len(word)
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if len(words) < 2:
-            return _mixed(hashes)
-        turned = (hashes[1:] << np.uint64(1)) | (hashes[1:] >> np.uint64(63))
-        return np.unique(_mixed(_mixed(hashes[:-1]) + turned))
+        width = min(self.width, len(words))
+        if width < 1:
+            return hashes
+        n = len(words) - width + 1
+        found = _mixed(hashes[:n])
+        for i in range(1, width):
+            next_ = hashes[i : i + n]
+            found = _mixed(found + ((next_ << np.uint64(1)) | (next_ >> np.uint64(63))))
+        return np.unique(found)
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +137,12 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, text_key, n_shingles, set_key and bands of every whole text; the last two null for an empty set."""
     identifier = docs.schema["doc_id"].dataType.simpleString()
 
     def sketched(batches):
-        shingles, functions = Shingles(), _functions()
+        shingles, functions = Shingles(width), _functions()
         for batch in few_rows(batches):
             sizes, keys, lowest = [], [], []
             for text in batch.column("text").to_pylist():
@@ -152,31 +164,26 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node (a set's key), n, signature, parity and members (sorted hashes) of the sets (doc_id, node) that are wanted."""
+def contents(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """node (a set's key), n, signature, parity and members (sorted hashes) of the wanted sets (doc_id, text_key, node)."""
 
     def filled(batches):
-        shingles, functions = Shingles(), _functions()
-        last, told = None, set()  # the join leaves rows of one identifier together: repeated ones are told once
+        shingles, functions = Shingles(width), _functions()
+        last = None  # the join leaves rows of one identifier and text together: repeated ones are told once
         for batch in few_rows(batches):
             nodes, sets = [], []
-            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "node", "text")), strict=True)
-            for doc_id, node, text in rows:
-                if doc_id != last:
-                    last, told = doc_id, set()
-                if node in told:
-                    continue
-                hashes = shingles.of(text)
-                if set_key(hashes) == node:  # else another text of the same identifier
-                    told.add(node)
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if node != last:
+                    last = node
                     nodes.append(node)
-                    sets.append(hashes)
+                    sets.append(shingles.of(text))
             signatures = packed(np.array([minima(s, functions) for s in sets])) if sets else []
             columns = [pa.array(nodes, pa.binary()), pa.array([len(s) for s in sets], pa.int64())]
             columns += [_binary(signatures), _binary([parity(s) for s in sets]), _binary(sets)]
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "signature", "parity", "members"])
 
-    return texts(docs).join(wanted.hint("merge"), "doc_id").mapInArrow(
+    keyed = texts(docs).withColumn("text_key", text_key(F.col("text")))
+    return keyed.join(wanted.hint("merge"), ["doc_id", "text_key"]).mapInArrow(
         filled, "node binary, n long, signature binary, parity binary, members binary"
     )
 
@@ -222,14 +229,9 @@ def _plausible(batches):
 
 
 def _confirmed(batches):
-    num, den = SIMILARITY
     for batch in few_rows(batches):
-        keep = []
-        for x, y in zip(batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(den * both >= num * (len(x) + len(y) - both))
-        keep = pa.array(keep, pa.bool_())
+        sides = [[np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("members_a", "members_b")]
+        keep = pa.array(list(map(similar, *sides)), pa.bool_())
         yield _pairs_of(batch.column("a").filter(keep), batch.column("b").filter(keep))
 
 
@@ -246,44 +248,87 @@ def _confirm(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return _beside(pairs, held, ["members"]).mapInArrow(_confirmed, f"a {kind}, b {kind}")
 
 
-def _blockwise(batches):
-    """Plausible pairs of each block: probes against all members of other components. Rows come sorted by block."""
-
-    def pairs(rows: pa.Table):
-        probe = np.asarray(rows.column("probe"))
-        node, component = rows.column("node").combine_chunks(), np.asarray(rows.column("component"))
-        signature = _matrix(rows.column("signature"), np.uint64)
-        size = np.asarray(rows.column("n"))
-        parities = _matrix(rows.column("parity"), np.uint64)
-        asks, told = np.flatnonzero(probe), np.flatnonzero(~probe)
-        for start in range(0, len(asks), 64):
-            ask = asks[start : start + 64]
-            near = estimates(signature[ask][:, None], signature[told][None]) >= LEAST_ESTIMATE
-            i, j = np.nonzero(near & (component[ask][:, None] != component[told][None]))
-            i, j = ask[i], told[j]
-            keep = may_reach(size[i] + size[j], parities[i], parities[j])
-            a, b = node.take(pa.array(i[keep])), node.take(pa.array(j[keep]))
-            yield _pairs_of(pc.min_element_wise(a, b), pc.max_element_wise(a, b))
+BLOCK_KEY = ("key", "member_block", "probe_block")
 
+
+def _by_block(batches):
+    """The rows of one block after the other. Rows come sorted by block."""
     rest = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         rows = pa.concat_tables([rest, rows]) if rest is not None else rows
         if not rows.num_rows:
             continue
-        block = np.stack([np.asarray(rows.column(c)) for c in ("key", "member_block", "probe_block")])
+        block = np.stack([np.asarray(rows.column(c)) for c in BLOCK_KEY])
         cuts = np.flatnonzero((block[:, 1:] != block[:, :-1]).any(0)) + 1
         bounds = [0, *cuts.tolist()]
         for low, high in zip(bounds, bounds[1:]):
-            yield from pairs(rows.slice(low, high - low))
+            yield rows.slice(low, high - low)
         rest = rows.slice(bounds[-1])
     if rest is not None and rest.num_rows:
-        yield from pairs(rest)
+        yield rest
+
+
+def _plausible_in(rows: pa.Table):
+    """Places of plausible pairs of a block: probes against members of other components."""
+    probe, component = np.asarray(rows.column("probe")), np.asarray(rows.column("component"))
+    signature, parities = (_matrix(rows.column(c), np.uint64) for c in ("signature", "parity"))
+    size = np.asarray(rows.column("n"))
+    asks, told = np.flatnonzero(probe), np.flatnonzero(~probe)
+    for start in range(0, len(asks), 64):
+        ask = asks[start : start + 64]
+        near = estimates(signature[ask][:, None], signature[told][None]) >= LEAST_ESTIMATE
+        i, j = np.nonzero(near & (component[ask][:, None] != component[told][None]))
+        i, j = ask[i], told[j]
+        keep = may_reach(size[i] + size[j], parities[i], parities[j])
+        yield i[keep], j[keep]
+
+
+def _involved(batches):
+    """The rows of each block that have a plausible partner in it, without their sketches."""
+    for rows in _by_block(batches):
+        some = np.zeros(rows.num_rows, bool)
+        for i, j in _plausible_in(rows):
+            some[i] = some[j] = True
+        if some.any():
+            yield from rows.select([*BLOCK_KEY, "node", "component", "probe"]).filter(pa.array(some)).combine_chunks().to_batches()
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets reach the similarity, by their full members."""
+    num, den = SIMILARITY
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return den * both >= num * (len(x) + len(y) - both)
+
+
+def _forest(batches):
+    """Confirmed links that join the components of each block, none whose ends others join already."""
+    for rows in _by_block(batches):
+        _, start = np.unique(np.asarray(rows.column("component")), return_inverse=True)
+        parent = list(range(int(start.max()) + 1))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        members = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("members")]
+        found = []
+        for pairs in _plausible_in(rows):
+            for i, j in zip(*(x.tolist() for x in pairs)):
+                a, b = root(start[i]), root(start[j])
+                if a != b and similar(members[i], members[j]):
+                    parent[a] = b
+                    found.append((i, j))
+        if found:
+            node = rows.column("node").combine_chunks()
+            a, b = (node.take(pa.array(x)) for x in zip(*found))
+            yield _pairs_of(pc.min_element_wise(a, b), pc.max_element_wise(a, b))
 
 
-def _unresolved(labelled: DataFrame, held: DataFrame) -> DataFrame:
-    """Plausible pairs (a, b) of nodes that share a bucket, but not yet a component; rows are (key, node, component)."""
-    parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+def _unresolved(labelled: DataFrame, held: DataFrame, add) -> DataFrame:
+    """Confirmed links (a, b) between the components that share a bucket; rows are (key, node, component, weight)."""
+    parts = labelled.groupBy("key", "component").agg(F.sum("weight").alias("n"))
     mixed = (
         parts.groupBy("key")
         .agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
@@ -301,36 +346,35 @@ def _unresolved(labelled: DataFrame, held: DataFrame) -> DataFrame:
         "key", "node", "component", F.lit(True).alias("probe"),
         every("member_blocks").alias("member_block"), F.pmod(F.xxhash64("node"), "probe_blocks").cast("int").alias("probe_block"),
     )
-    block = ["key", "member_block", "probe_block"]
     kind = dict(labelled.dtypes)["node"]
-    return (
-        members.unionByName(probes)
-        .join(held.select("node", "n", "signature", "parity"), "node")
-        .repartition(*block)
-        .sortWithinPartitions(*block)
-        .mapInArrow(_blockwise, f"a {kind}, b {kind}")
-        .distinct()
+    rows = members.unionByName(probes)
+    dealt = lambda df, columns: (
+        df.join(held.select("node", *columns), "node").repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
     )
+    shape = f"key long, member_block int, probe_block int, node {kind}, component {kind}, probe boolean"
+    involved = add(dealt(rows, ["n", "signature", "parity"]).mapInArrow(_involved, shape), "near-involved")
+    return dealt(involved, ["n", "signature", "parity", "members"]).mapInArrow(_forest, f"a {kind}, b {kind}").distinct()
 
 
 # ---- the operator ----------------------------------------------------------------------------------------------------
 
 
-def _linked(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _linked(spark: SparkSession, docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """The sketches, and (set_key, doc_id, text_key): the smallest row of the component of each set."""
-    sketched = staged(sketches(docs), "near-sketches")
+    sketched = staged(sketches(docs, width), "near-sketches")
     linkable = sketched.filter("doc_id is not null and set_key is not null")
     with Stages(spark) as stages:
         least = F.min(F.struct("doc_id", "text_key")).alias("least")
-        nodes = linkable.groupBy(F.col("set_key").alias("node")).agg(least, F.first("bands").alias("bands"))
+        weight = (1 + F.floor(F.first("n_shingles") / LARGE)).cast("int").alias("weight")
+        nodes = linkable.groupBy(F.col("set_key").alias("node")).agg(least, F.first("bands").alias("bands"), weight)
         nodes = stages.add(nodes, "near-nodes")
         kind = dict(nodes.dtypes)["node"]
 
-        keys = nodes.select("node", F.explode("bands").alias("key"))
+        keys = nodes.select("node", "weight", F.explode("bands").alias("key"))
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("size > 1")
         hits = stages.add(keys.join(shared.drop("size"), "key"), "near-hits")
-        wanted = nodes.select("node", "least.doc_id").join(hits.select("node").distinct(), "node", "left_semi")
-        held = stages.add(contents(docs, wanted), "near-sets")
+        wanted = nodes.select("node", "least.*").join(hits.select("node").distinct(), "node", "left_semi")
+        held = stages.add(contents(docs, wanted, width), "near-sets")
 
         led = hits.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         near = _beside(led, held, ["n", "signature", "parity"]).mapInArrow(_plausible, f"a {kind}, b {kind}")
@@ -338,7 +382,7 @@ def _linked(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]
         so_far = connected(links, stages.add)
         labelled = hits.drop("leader").join(so_far, "node", "left")
         labelled = stages.add(labelled.withColumn("component", F.coalesce("component", "node")), "near-labelled")
-        more = stages.add(_confirm(_unresolved(labelled, held), held), "near-links")
+        more = stages.add(_unresolved(labelled, held, stages.add), "near-links")
 
         components = connected(links.unionByName(more), stages.add)
         named = nodes.select("node", "least").join(components, "node", "left")
@@ -348,9 +392,9 @@ def _linked(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]
         return sketched, staged(named, "near-named")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per document."""
-    sketched, named = _linked(spark, docs)
+    sketched, named = _linked(spark, docs, width)
     linkable = sketched.filter("doc_id is not null and set_key is not null")
     columns = ["doc_id", "n_shingles", "component_id"]
     alone = sketched.filter("doc_id is null or set_key is null").withColumn("component_id", F.col("doc_id"))
@@ -359,9 +403,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def deduplicated(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One text of each group, and one empty text of each identifier, with all columns; rows without identifier all stay."""
-    sketched, named = _linked(spark, docs)
+    sketched, named = _linked(spark, docs, width)
     empty = sketched.filter("doc_id is not null and set_key is null").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
     kept = named.select("doc_id", "text_key").distinct().unionByName(empty)
     rows = docs.filter("doc_id is not null").select(
@@ -372,5 +416,5 @@ def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of all documents."""
-    return near_duplicates(spark, table(spark, sf_dir, "documents"))
+    """Components of all documents, by shingles of two words."""
+    return near_duplicates(spark, table(spark, sf_dir, "documents"), width=2)

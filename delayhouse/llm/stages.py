@@ -19,8 +19,8 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup.deduplicated(spark, docs)
+    """One document of each group of near-duplicates, by shingles of five words."""
+    return near_dedup.deduplicated(spark, docs, width=5)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
