@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
 
-__all__ = ["few_rows", "significant_bits", "staged", "table", "texts", "word_count"]
+__all__ = ["UNSPACED", "few_rows", "significant_bits", "staged", "table", "texts", "word_count"]
 
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = "[^\\x20\\x09-\\x0D]+"
+#: Characters of scripts written without spaces: Thai, Lao, Myanmar, Khmer, Kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,21 +20,14 @@ gives an empty result.
 
 from __future__ import annotations
 
-import math
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Stages, staged
-from .common import few_rows, table, texts
+from .common import UNSPACED, few_rows, table, texts
 
-#: The vocabulary has no limit of words or of their length, hence no classes for other words.
-WORDS = None
-CLASSES = 0
-LONGEST_WORD = math.inf
 #: Weight of the bigrams against the words, and what is added to every word's count.
 INTERPOLATION = 0.7
 ADDED = 0.5
@@ -42,19 +35,14 @@ ADDED = 0.5
 BLOCK = 8_000_000
 BUCKET = 2**25
 LEAST_BUCKETS = 2048
-
-#: Thai, Lao, Myanmar, Khmer, Kana, Han.
-_UNSPACED = re.compile("[฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff]")
-
-
-def word_class(word: str) -> int:
-    """No word is left to a class."""
-    raise KeyError(word)
-
+#: Most partitions that blocks are dealt to when they are scored.
+PARTITIONS = 20_000
+#: Rows are megabytes wide, so Parquet has to look at their size after each, and to cut row groups early.
+WIDE_ROWS = {"parquet.block.size": 16 * 2**20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1}
 
 def words_of(text: str) -> list[str]:
     """Words at white space, characters of unspaced scripts one by one."""
-    return (text if text.isascii() else _UNSPACED.sub(r" \g<0> ", text)).split()
+    return (text if text.isascii() else UNSPACED.sub(r" \g<0> ", text)).split()
 
 
 class Numbers(dict):
@@ -113,8 +101,8 @@ def blocks(marked: DataFrame) -> DataFrame:
             columns = [pa.array([uuid.uuid4().hex]), *(pa.array([x], pa.binary()) for x in row)]
             every = pa.concat_arrays(ids)
             columns.append(pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every))
-            sums = [pa.array([n], pa.int64()) for n in ((lengths - 1)[np.array(targets, bool)].sum(), (lengths - 1).sum())]
-            names = ["block", "hashes", "tokens", "lengths", "targets", "doc_ids", "n_target", "n_background"]
+            sums = [pa.array([n], pa.int64()) for n in ((lengths - 1)[np.array(targets, bool)].sum(), (lengths - 1).sum(), size)]
+            names = ["block", "hashes", "tokens", "lengths", "targets", "doc_ids", "n_target", "n_background", "n_chars"]
             return pa.RecordBatch.from_arrays(columns + sums, names)
 
         for batch in few_rows(batches, 8):
@@ -122,14 +110,15 @@ def blocks(marked: DataFrame) -> DataFrame:
                 tokens.append(words.of(text))
                 targets.append(target)
                 size += len(text)
-            ids.append(batch.column("doc_id"))
+            # A copy, as the column would keep its whole batch of texts.
+            ids.append(batch.column("doc_id").take(pa.array(range(batch.num_rows))))
             if size >= BLOCK:
                 yield told()
                 words, tokens, targets, ids, size = Numbers(), [], [], [], 0
         if tokens:
             yield told()
 
-    return marked.mapInArrow(gathered, f"{_BLOCK}, doc_ids array<{identifier}>, n_target long, n_background long")
+    return marked.mapInArrow(gathered, f"{_BLOCK}, doc_ids array<{identifier}>, n_target long, n_background long, n_chars long")
 
 
 class Grams:
@@ -139,12 +128,19 @@ class Grams:
         hashes, tokens, self.lengths = _numbers(hashes, np.uint64), _numbers(tokens, np.int32), _numbers(lengths, np.int64)
         inside = np.ones(len(tokens), bool)
         inside[np.cumsum(self.lengths) - 1] = False
-        at = np.flatnonzero(inside)
-        codes, self.cells = np.unique(tokens[at].astype(np.int64) << 32 | tokens[at + 1], return_inverse=True)
-        self.first, self.second = codes >> 32, codes & 0xFFFFFFFF
+        pairs = tokens[:-1].astype(np.int64) << 32
+        pairs |= tokens[1:]
+        pairs = pairs[inside[:-1]]
+        del tokens, inside
+        codes, cells = np.unique(pairs, return_inverse=True)
+        self.cells = cells.astype(np.int32)
+        del pairs, cells
+        self.first, self.second = (codes >> 32).astype(np.int32), (codes & 0xFFFFFFFF).astype(np.int32)
         of_target = np.repeat(np.frombuffer(targets, np.uint8).astype(bool), self.lengths - 1)
         self.words = len(hashes)
-        pairs = [np.bincount(c, minlength=len(codes)) for c in (self.cells[of_target], self.cells)]
+        n = len(codes)
+        del codes
+        pairs = [np.bincount(c, minlength=n) for c in (self.cells[of_target], self.cells)]
         alone = [np.bincount(self.second, p, self.words).astype(np.int64) for p in pairs]
         turned = hashes[self.second]
         turned = (turned << np.uint64(1)) | (turned >> np.uint64(63))
@@ -169,7 +165,10 @@ class Grams:
         word = (alone[self.second] + ADDED) / (total + ADDED * size)
         after = alone[self.first]
         follows = np.divide(pairs, after, out=word.copy(), where=after > 0)
-        each = -np.log(INTERPOLATION * follows + (1 - INTERPOLATION) * word)[self.cells]
+        del counts, alone, pairs, after
+        follows *= INTERPOLATION
+        follows += (1 - INTERPOLATION) * word
+        each = -np.log(follows)[self.cells]
         n = self.lengths - 1
         return np.add.reduceat(each, np.cumsum(n) - n) / n
 
@@ -267,24 +266,24 @@ def score_documents(spark: SparkSession, docs: DataFrame, targets: DataFrame) ->
     chosen = targets.select("doc_id").filter("doc_id is not null").distinct().withColumn("target", F.lit(True)).hint("merge")
     marked = texts(docs).join(chosen, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
     content = ["hashes", "tokens", "lengths", "targets"]
-    chars = texts(docs).agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    bits = max(LEAST_BUCKETS, -(-chars // BUCKET) - 1).bit_length()
     with Stages(spark) as stages:
-        held = stages.add(blocks(marked), "lm-blocks")
+        held = stages.add(blocks(marked), "lm-blocks", **WIDE_ROWS)
+        totals = held.agg(F.sum("n_target"), F.sum("n_background"), F.sum("n_chars"), F.count(F.lit(1))).first()
+        bits = max(LEAST_BUCKETS, -(-(totals[2] or 0) // BUCKET) - 1).bit_length()
         asked = held.select("block", *content).mapInArrow(
             _asked(bits), "bucket int, block string, keys binary, target binary, background binary"
         )
         added = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
             _added, "block string, bucket int, places binary, target binary, background binary, words long"
         )
-        added = stages.add(added, "lm-counts")
-        totals = held.agg(F.sum("n_target"), F.sum("n_background")).first()
+        added = stages.add(added, "lm-counts", **WIDE_ROWS)
         size = added.agg(F.sum("words")).first()[0]
         own = held.select("block", F.lit(-1).alias("bucket"), *content, "doc_ids")
         answers = added.filter("block is not null").drop("words")
         scored = (
             own.unionByName(answers, allowMissingColumns=True)
-            .repartition("block").sortWithinPartitions("block", "bucket")
+            # By number, so that small partitions are not put together again: a task holds few blocks.
+            .repartition(min(max(1, totals[3]), PARTITIONS), "block").sortWithinPartitions("block", "bucket")
             .mapInArrow(
                 _scored(bits, (totals[0] or 0, totals[1] or 0), size or 0),
                 f"doc_id {identifier}, n_tokens long, target_loss double, background_loss double, score double",

@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import few_rows, table, texts
-from .lm_scoring import _UNSPACED
+from .common import UNSPACED, few_rows, table, texts
 
 MOST_LABELLED = 4000
 DIMENSIONS = 64
@@ -70,7 +69,7 @@ class WordTerms(dict):
         found = _term(f"shape {shape}")
         if core:
             found += TERMS * (_term(f"word {core}") + 1)
-        if len(word) > LONG_WORD or not word.isascii() and _UNSPACED.search(word):
+        if len(word) > LONG_WORD or not word.isascii() and UNSPACED.search(word):
             found += _PIECES
         if len(self) < REMEMBERED and len(word) <= 4 * LONG_WORD:
             self[word] = found
@@ -170,22 +169,29 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Mod
     """The leading right singular vectors of the weighted term matrix, by subspace iteration, and the projected rows."""
     if not rows:
         return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    row = np.repeat(np.arange(len(rows)), [len(terms) for terms, _ in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(terms) for terms, _ in rows])
     column, value = (np.concatenate([r[i] for r in rows]) for i in (0, 1))
     present = np.bincount(column, minlength=TERMS)
     rarity = np.where(present >= min(2, len(rows)), np.log(1 + len(rows) / np.maximum(present, 1)), 0).astype(np.float32)
     value = value * rarity[column]
     norms = np.sqrt(np.bincount(row, value.astype(float) ** 2, len(rows)))
     value = (value / np.maximum(norms, 1e-9)[row]).astype(np.float32)
-    matrix = Sparse(row[value > 0], column[value > 0], value[value > 0], len(rows))
-    turned = matrix.turned(TERMS)
+    # Only terms that have weight are columns of the matrix.
+    used, column = np.unique(column[value > 0], return_inverse=True)
+    if not len(used):
+        return Model(np.zeros((TERMS, 1), np.float32), np.zeros((len(rows), 1), np.float32), labels, labels.mean())
+    matrix = Sparse(row[value > 0], column.astype(np.int32), value[value > 0], len(rows))
+    del row, column, value
+    turned = matrix.turned(len(used))
     wanted = min(DIMENSIONS, len(rows), TERMS)
-    space = np.random.default_rng(7).standard_normal((TERMS, min(wanted + 16, len(rows), TERMS)), np.float32)
+    space = np.random.default_rng(7).standard_normal((TERMS, min(wanted + 16, len(rows), TERMS)), np.float32)[used]
     for _ in range(5):
-        space, _ = np.linalg.qr(turned @ (matrix @ space))
+        space = np.linalg.qr(turned @ (matrix @ space))[0].astype(np.float32)
     _, _, rotated = np.linalg.svd(matrix @ space, full_matrices=False)
+    projection = np.zeros((TERMS, wanted), np.float32)
     directions = (space @ rotated.T)[:, :wanted]
-    model = Model((rarity[:, None] * directions).astype(np.float32), np.zeros((0, wanted), np.float32), labels, labels.mean())
+    projection[used, : directions.shape[1]] = rarity[used, None] * directions
+    model = Model(projection, np.zeros((0, wanted), np.float32), labels, labels.mean())
     return model._replace(labelled=model.projected(rows))
 
 
@@ -210,13 +216,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = MOS
             rows = [term_weights(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.string()), batch.column("quality").cast(pa.float64()),
-                pa.array([t.tolist() for t, _ in rows], pa.list_(pa.int64())),
-                pa.array([w.tolist() for _, w in rows], pa.list_(pa.float64())),
+                pa.array([t.astype(np.uint16).tobytes() for t, _ in rows], pa.binary()),
+                pa.array([w.astype(np.float32).tobytes() for _, w in rows], pa.binary()),
             ], ["doc_id", "quality", "terms", "weights"])
 
-    found = sample.mapInArrow(read, "doc_id string, quality double, terms array<long>, weights array<double>").collect()
+    # Packed: as lists of numbers the sample would take the driver some hundred megabytes.
+    found = sample.mapInArrow(read, "doc_id string, quality double, terms binary, weights binary").collect()
     found.sort(key=lambda r: r["doc_id"])
-    rows = [(np.array(r["terms"], np.int64), np.array(r["weights"], np.float32)) for r in found]
+    rows = [(np.frombuffer(r["terms"], np.uint16), np.frombuffer(r["weights"], np.float32)) for r in found]
     return fitted(rows, np.array([r["quality"] for r in found], float))
 
 

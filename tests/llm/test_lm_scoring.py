@@ -3,19 +3,17 @@ from collections import Counter
 
 import pytest
 
-from delayhouse.llm.lm_scoring import ADDED, CLASSES, INTERPOLATION, LONGEST_WORD, WORDS, query, score_documents, word_class
+from delayhouse.llm.lm_scoring import ADDED, INTERPOLATION, query, score_documents
 
 from .messy import documents, nothing, texts
 
 
 def brute_force(rows, targets):
     """Scores of (identifier, text) rows by the formulas, with dictionaries."""
-    counts = Counter(w for _, t in rows for w in (t or "").split() if len(w) <= LONGEST_WORD)
-    known = {w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:WORDS]}
-    size = len(known) + CLASSES + 1
+    size = len({w for _, t in rows for w in (t or "").split()}) + 1
 
     def pairs(text):
-        tokens = [0, *(w if w in known else word_class(w) for w in (text or "").split()), 0]
+        tokens = [0, *(text or "").split(), 0]
         return list(zip(tokens, tokens[1:]))
 
     def model(chosen):
