@@ -115,10 +115,10 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted conversations say, read back from them."""
+    """What the formatted conversations say, read back from them: turns by the parser, trained texts by cutting at the loss mask."""
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    trained = F.filter("turns", lambda t: t["role"] == TRAINED_ROLE)
-    loss = F.array_join(F.transform(trained, lambda t: t["text"]), "")
+    cut = lambda s: F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))
+    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(cut(s))), "")
     return formatted.select(
         "conv_id", "n_turns", F.sha2(told, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),

@@ -49,6 +49,16 @@ def test_the_loss_mask_covers_the_trained_texts(spark):
         assert ([r.t for r in frame.orderBy("i").collect()] if frame else []) == trained
 
 
+def test_the_digests_come_from_the_mask(spark):
+    """A wrong mask changes what is read back."""
+    formatted = chat.format_conversations(conversations(spark))
+    right = {str(r.conv_id): r.loss_sha256 for r in chat.digests(formatted).collect()}
+    moved = F.transform("loss_spans", lambda s: F.struct((s["start"] - 1).alias("start"), s["length"].alias("length")))
+    wrong = {str(r.conv_id): r.loss_sha256 for r in chat.digests(formatted.withColumn("loss_spans", moved)).collect()}
+    trained = {str(r.conv_id) for r in formatted.filter(F.exists("turns", lambda t: (t["role"] == "assistant") & (t["text"] != ""))).collect()}
+    assert trained and all(right[c] != wrong[c] for c in trained)
+
+
 def test_no_control_string_stays_in_a_text(spark):
     for row in chat.format_conversations(conversations(spark)).collect():
         inside = row.formatted
