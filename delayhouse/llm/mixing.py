@@ -10,8 +10,8 @@ a source of its own, ordered last; repeated rows are separate documents; a sourc
 no copy; an empty table gives an empty result; other columns are ignored, or carried along unread where asked for.
 
 The running sums are made level by level (documents of a bucket, buckets and heads of a size class, classes of a source),
-so that no task holds more than one bucket of one size class, even if one source or one size has most of the rows. Only the
-list of sources, one row each, is ordered as a whole.
+so that no task holds more than one bucket of one size class, even if one source or one size has most of the rows. Sources are
+ordered in runs dealt by range, so as many as there are documents are no burden to one task.
 """
 
 from __future__ import annotations
@@ -35,6 +35,25 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
 
 
+def _in_runs(stages: Stages, rows: DataFrame, order: Sequence[Column], sums: Sequence[str]) -> DataFrame:
+    """Rows with their ``place`` from 0 in an order without ties, and ``before_<column>``: the sum of a column over all earlier rows.
+
+    The rows are dealt to runs by range and written, so that runs stay as they are; places are counted within a run, behind the totals
+    of the runs before it. Only these totals, a row for each run, are ordered as a whole.
+    """
+    runs = stages.add(rows.repartitionByRange(*order).withColumn("run", F.spark_partition_id()), "mix-runs")
+    counted = [F.lit(1).alias("one"), *(F.col(c) for c in sums)]
+    names = ["one", *sums]
+    earlier = W.orderBy("run").rowsBetween(W.unboundedPreceding, -1)
+    totals = runs.select("run", *counted).groupBy("run").agg(*(F.sum(c).alias(c) for c in names))
+    starts = totals.select("run", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"start_{c}") for c in names))
+    within = W.partitionBy("run").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    before = lambda c, x: (F.coalesce(F.sum(x).over(within), F.lit(0)) + F.col(f"start_{c}"))
+    return runs.join(starts, "run").select(
+        *rows.columns, before("one", F.lit(1)).alias("place"), *(before(c, F.col(c)).alias(f"before_{c}") for c in sums)
+    )
+
+
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """(source_key, source_size, target) from one row (source, source_size) per source.
 
@@ -42,20 +61,18 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     (total - their caps) / (the other weights); the level rises with every source that is full and falls
     after the first that is not, so its maximum is the common level, and a target is the smaller of cap and level.
     """
-    place = W.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.row_number().over(place) - 1) % len(weights) + 1)
-    full = W.orderBy("ratio", F.col("source").asc_nulls_last())
-    before = F.coalesce(F.sum("top").over(full.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    after = F.sum("weight").over(full.rowsBetween(W.currentRow, W.unboundedFollowing))
-    everything = W.partitionBy()
-    return (
-        sizes.withColumn("weight", weight)
-        .withColumn("top", F.lit(float(cap)) * F.col("source_size"))
-        .withColumn("ratio", F.col("top") / F.col("weight"))
-        .withColumn("level", (F.lit(float(share)) * F.sum("source_size").over(everything) - before) / after)
-        .withColumn("target", F.least("top", F.col("weight") * F.max("level").over(everything)))
-        .select(_key(F.col("source")).alias("source_key"), "source_size", "target")
-    )
+    by_name = F.col("source").asc_nulls_last()
+    with Stages(sizes.sparkSession) as stages:
+        named = _in_runs(stages, sizes.select("source", "source_size"), [by_name], [])
+        weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights) + 1).cast("int"))
+        weighed = named.withColumn("weight", weight).drop("place").withColumn("top", F.lit(float(cap)) * F.col("source_size"))
+        weighed = weighed.withColumn("ratio", F.col("top") / F.col("weight"))
+        filled = stages.add(_in_runs(stages, weighed, [F.col("ratio"), by_name], ["top", "weight"]).drop("place"), "mix-filled")
+        total, weights_of_all = filled.agg(F.sum("source_size"), F.sum("weight")).first()
+        level = (F.lit(float(share)) * F.lit(total) - F.col("before_top")) / (F.lit(weights_of_all) - F.col("before_weight"))
+        highest = filled.agg(F.max(level)).first()[0]
+        goal = F.least("top", F.col("weight") * F.lit(highest)).cast("double").alias("target")
+        return staged(filled.select(_key(F.col("source")).alias("source_key"), "source_size", goal), "mix-targets")
 
 
 def _uniform(text: Column) -> Column:

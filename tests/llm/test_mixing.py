@@ -81,6 +81,30 @@ def test_repeated_rows_have_all_columns(spark):
     assert {r.doc_id for r in out.collect()} <= {i for i, _, _ in texts()}
 
 
+def test_many_sources_are_ordered_in_runs(spark):
+    """As many sources as documents: no window goes over all of them, and places and sums are those of one sorted list."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from delayhouse.session import Stages
+
+    rng = random.Random(6)
+    sizes = {f"s{i:06d}": rng.choice([0, 1, 5, 1000]) for i in range(30_000)} | {None: 7}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(7)
+    got = {r.source_key: r.target for r in mixing.targets(frame).collect()}
+    want = {("n" if s is None else "s" + s): t for s, t in water_fill(sizes).items()}
+    assert got == pytest.approx(want)
+    with Stages(spark) as stages:
+        placed = mixing._in_runs(stages, frame, [F.col("source").asc_nulls_last()], ["source_size"])
+        rows = sorted(placed.collect(), key=lambda r: r.place)
+        assert [r.place for r in rows] == list(range(len(sizes))) and rows[-1].source is None
+        assert rows[-1].before_source_size == sum(sizes.values()) - 7
+        text = placed._jdf.queryExecution().executedPlan().toString()
+    over = [line for line in text.split("\n") if "Window [" in line]
+    assert sum("[run#" not in line for line in over) <= 1  # over the runs' totals alone
+
+
 @pytest.mark.parametrize("sizes", [{"a": 0, "b": 0}, {"a": 100}, {"a": 1, "b": 1000, None: 10}, {"x": 5, "y": 5, "z": 5, "zz": 5, None: 0}])
 def test_targets_fill_like_water(spark, sizes):
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
