@@ -23,6 +23,16 @@ LEGS_READY_COLUMNS = (
 )
 
 
+#: Legs of one date that meet their lookups in one partition.
+CHUNK_LEGS = 500_000
+
+
+def chunks_for(legs: DataFrame) -> int:
+    """Chunks that the legs of a date are dealt to, so that the busiest date has at most about ``CHUNK_LEGS`` in each."""
+    busiest = legs.groupBy("flight_schedule_date").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return max(1, -(-(busiest or 0) // CHUNK_LEGS))
+
+
 def leg_outcomes(delays_leg: DataFrame) -> DataFrame:
     """Features that need only the leg itself: planned minutes, time parts and the label."""
     return delays_leg.select(
@@ -35,17 +45,21 @@ def leg_outcomes(delays_leg: DataFrame) -> DataFrame:
     )
 
 
-def legs_ready(delays_leg: DataFrame, days: DataFrame) -> DataFrame:
+def legs_ready(delays_leg: DataFrame, days: DataFrame, chunks: int = 1) -> DataFrame:
     """Attach the entity-day features to every leg; a leg without a match keeps zeros.
 
     ``days`` is the output of :func:`shares.entity_days`. Departure congestion and airport share have
-    the same key, so four lookups serve five groups of features. Whether a lookup is broadcast is left to
-    the planner, which sees its real size; beyond the threshold it is a skew-handled shuffle join.
+    the same key, so four lookups serve five groups of features. All four share the flight date, so legs and lookups are
+    laid out once by date and chunk, and the joins run inside that layout: the wide legs are shuffled once, on a key that no
+    hub airport or carrier skews. ``chunks`` (:func:`chunks_for`) splits busy dates; the lookups, a row per entity and
+    day, are repeated for each chunk. Whether a lookup is broadcast is left to the planner, which sees its real size.
     """
+    place = ["flight_schedule_date", "chunk"]
+    dealt = days.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
     def lookup(kind: str, code: str, **columns: str) -> DataFrame:
         renamed = [F.col(source).alias(target) for target, source in columns.items()]
-        return days.filter(F.col("kind") == kind).select(F.col("code").alias(code), "flight_schedule_date", *renamed)
+        return dealt.filter(F.col("kind") == kind).select(F.col("code").alias(code), *place, *renamed).repartition(*place)
 
     departure = lookup(
         "airport",
@@ -63,18 +77,18 @@ def legs_ready(delays_leg: DataFrame, days: DataFrame) -> DataFrame:
     aircraft = lookup("aircraft", "aircraft_code", aircraft_delayed_share="delayed_share")
     airline = lookup("airline", "airline_code", airline_delayed_share="delayed_share")
 
-    base = leg_outcomes(delays_leg)
+    base = delays_leg.withColumn("chunk", F.pmod(F.xxhash64("leg_id"), F.lit(chunks)).cast("int")).repartition(*place)
     for side, key in (
         (departure, "departure_airport_code"),
         (arrival, "arrival_airport_code"),
         (aircraft, "aircraft_code"),
         (airline, "airline_code"),
     ):
-        base = base.join(side, [key, "flight_schedule_date"], "left")
+        base = base.join(side, [key, *place], "left")
 
     counts = [c for c in LEGS_READY_COLUMNS if c.startswith("nb_flight_")]
     shares = [c for c in LEGS_READY_COLUMNS if c.endswith("_delayed_share")]
     filled = {c: F.coalesce(c, F.lit(0).cast("long")) for c in counts} | {
         c: F.coalesce(c, F.lit(0.0)) for c in shares
     }
-    return base.withColumns(filled).select(*LEGS_READY_COLUMNS)
+    return leg_outcomes(base).withColumns(filled).select(*LEGS_READY_COLUMNS)

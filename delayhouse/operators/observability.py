@@ -137,6 +137,22 @@ def fold_runs(run_rows: DataFrame) -> DataFrame:
     )
 
 
+def run_episodes(run_rows: DataFrame, silence: str) -> DataFrame:
+    """Stretches of a run between silences of the given length, from :func:`run_events` rows; the same on a batch or a stream.
+
+    ``abandoned`` tells an episode whose last event is no end: the run started, or went on, and was never heard of again. A
+    run that speaks up later has another episode.
+    """
+    last = F.max(F.struct("event_at", "id", "status"))
+    folded = run_rows.groupBy("run_id", F.session_window("event_at", silence).alias("span")).agg(
+        F.min("event_at").alias("started_at"), last.alias("last"), F.count(F.lit(1)).alias("events")
+    )
+    return folded.select(
+        "run_id", "started_at", F.col("last.event_at").alias("last_at"), F.col("last.status").alias("status"), "events",
+        (~F.col("last.status").isin(*TERMINAL)).alias("abandoned"),
+    )
+
+
 def task_outcome_events(outcomes: DataFrame, layer: str, success_type: str, failure_type: str = "task_failure") -> DataFrame:
     """Log payloads of finished tasks.
 

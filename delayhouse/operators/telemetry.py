@@ -109,6 +109,63 @@ def with_previous(
     return lagged.select(*df.columns, "chunk", *(prev[c].alias(f"prev_{c}") for c in columns))
 
 
+def running_totals(samples: DataFrame, series: list[str], chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Each sample (ts, value) of a counter with ``at`` (seconds), its number ``r`` and total growth ``cum`` in the series, and the next sample.
+
+    Growth across a reset is the value after it. Rows are ordered within (series, time chunk) only; what lies before and
+    behind a chunk comes from a table with one row per series and chunk.
+    """
+    steps = with_previous(samples.select(*series, "ts", "value"), series, "ts", ["value"], chunk_seconds)
+    growth = lambda now, before: F.when(now < before, now).otherwise(now - before)
+    steps = steps.withColumn("grown", F.coalesce(growth(F.col("value"), F.col("prev_value")), F.lit(0.0)))
+    steps = steps.select(*series, "chunk", _seconds("ts").alias("at"), "value", "grown")
+    inside = Window.partitionBy(*series, "chunk").orderBy("at")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    point = F.struct("at", "value")
+    numbered = steps.withColumns({
+        "r": F.row_number().over(inside), "cum": F.sum("grown").over(so_far), "next": F.lead(point).over(inside),
+    })
+    chunks = steps.groupBy(*series, "chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("grown").alias("growth"), F.min(point).alias("head")
+    )
+    order = Window.partitionBy(*series).orderBy("chunk")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    borders = chunks.select(
+        *series, "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("growth").over(earlier), F.lit(0.0)).alias("growth_before"), F.lead("head").over(order).alias("next_head"),
+    )
+    after = F.coalesce("next", "next_head")
+    total = F.col("cum") + F.col("growth_before")
+    return numbered.join(borders, [*series, "chunk"]).select(
+        *series, "at", "value", (F.col("r") + F.col("n_before")).alias("r"), total.alias("cum"),
+        after["at"].alias("next_at"), after["value"].alias("next_value"),
+        (total + growth(after["value"], F.col("value"))).alias("next_cum"),
+    )
+
+
+_STATE = ("at", "value", "r", "cum", "next_at", "next_value", "next_cum")
+
+
+def last_known(states: DataFrame, edges: DataFrame, series: list[str], chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Each edge with the newest state at or before its time ``t``; states have a time ``at``, one row per series and time.
+
+    One pass over states and edges together, in (series, time chunk); a chunk starts from the last state of those before it.
+    """
+    kept = [c for c in edges.columns if c not in series]
+    nothing = [F.lit(None).cast(edges.schema[c].dataType).alias(c) for c in kept if c != "t"]
+    state = F.struct(*_STATE).alias("state")
+    empty = F.lit(None).cast(states.select(state).schema["state"].dataType).alias("state")
+    rows = states.select(*series, F.col("at").alias("t"), *nothing, state, F.lit(0).alias("kind")).unionByName(
+        edges.select(*series, *kept, empty, F.lit(1).alias("kind"))
+    ).withColumn("chunk", F.floor(F.col("t") / chunk_seconds))
+    so_far = Window.partitionBy(*series, "chunk").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    seen = rows.withColumn("here", F.last("state", ignorenulls=True).over(so_far)).filter("kind = 1")
+    ends = rows.groupBy(*series, "chunk").agg(F.max("state").alias("end"))
+    earlier = Window.partitionBy(*series).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*series, "chunk", F.last("end", ignorenulls=True).over(earlier).alias("carry"))
+    return seen.join(carried, [*series, "chunk"]).select(*series, *kept, F.coalesce("here", "carry").alias("state"))
+
+
 def counter_windows(
     samples: DataFrame, metric: str, window_seconds: int, step_seconds: int, chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
@@ -117,36 +174,34 @@ def counter_windows(
     Evaluation times are multiples of the step, and a window is open on the left and closed on the right.
     The increase between the first and last sample is extended to the window's edges, by at most half a
     mean sample distance where the edge is further than 1.1 of them, and never below a zero counter.
-    Windows with fewer than two samples have no result.
+    Windows with fewer than two samples have no result. A window is the difference of two running totals, looked up at
+    its edges, so a sample is one row however many windows overlap.
     """
     if window_seconds % step_seconds:
         raise ValueError("the window must be a multiple of the step")
     series = list(_SERIES)
-    chosen = with_series(samples.filter(F.col("metric") == metric)).select(
-        "labels", *series, "ts", "value"
-    )
-    steps = with_previous(chosen.drop("labels"), series, "ts", ["value"], chunk_seconds)
-    grown = F.when(F.col("value") < F.col("prev_value"), F.col("value")).otherwise(
-        F.col("value") - F.col("prev_value")
-    )
-    at = _seconds("ts")
-    first = F.ceil(at / step_seconds) * step_seconds
-    evals = F.sequence(first, first + (window_seconds - step_seconds), F.lit(step_seconds).cast("long"))
-    spread = steps.select(
-        *series,
-        at.alias("at"),
-        "value",
-        _seconds("prev_ts").alias("prev_at"),
-        grown.alias("grown"),
-        F.explode(evals).alias("eval_at"),
-    )
-    inside = F.col("prev_at") > F.col("eval_at") - window_seconds
-    grouped = spread.groupBy(*series, "eval_at").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("at", "value")).alias("first"),
-        F.max("at").alias("last_at"),
-        F.sum(F.when(inside, F.col("grown"))).alias("raw"),
+    totals = running_totals(with_series(samples.filter(F.col("metric") == metric)), series, chunk_seconds)
+    bounds = totals.groupBy(*series).agg(F.min(F.struct("at", "value")).alias("first"), F.max("at").alias("last"))
+    first, last = (F.ceil(c / step_seconds) * step_seconds for c in (F.col("first.at"), F.col("last")))
+    evals = F.sequence(first, last + (window_seconds - step_seconds), F.lit(step_seconds).cast("long"))
+    times = bounds.select(*series, "first", F.explode(evals).alias("eval_at"))
+    edge_of = lambda seconds, end: F.struct((F.col("eval_at") - seconds).cast("double").alias("t"), F.lit(end).alias("is_end"))
+    both = F.explode(F.array(edge_of(0, True), edge_of(window_seconds, False))).alias("edge")
+    edges = times.select(*series, "first", "eval_at", both).select(*series, "first", "eval_at", "edge.*")
+    found = last_known(totals, edges, series, chunk_seconds)
+    pairs = found.groupBy(*series, "eval_at").agg(
+        F.max("first").alias("first"),
+        F.max(F.when(F.col("is_end"), F.col("state"))).alias("end"),
+        F.max(F.when(~F.col("is_end"), F.col("state"))).alias("before"),
     )
+    # Without a sample before the window, the series begins in it.
+    begun = F.col("before").isNotNull()
+    opening = F.when(begun, F.struct(F.col("before.next_at").alias("at"), F.col("before.next_value").alias("value"))).otherwise(F.col("first"))
+    grouped = pairs.select(
+        *series, "eval_at", F.col("end.at").alias("last_at"), opening.alias("first"),
+        (F.col("end.r") - F.coalesce("before.r", F.lit(0))).alias("n"),
+        (F.col("end.cum") - F.when(begun, F.col("before.next_cum")).otherwise(0.0)).alias("raw"),
+    ).filter("n > 1")
     sampled = F.col("last_at") - F.col("first.at")
     distance = sampled / (F.col("n") - 1)
 
@@ -161,7 +216,7 @@ def counter_windows(
     end = edge(F.col("eval_at") - F.col("last_at"))
     increase = F.col("raw") * (sampled + start + end) / sampled
     return (
-        grouped.filter((F.col("n") > 1) & (sampled > 0))
+        grouped.filter(sampled > 0)
         .select(*series, F.timestamp_seconds("eval_at").alias("eval_ts"), increase.alias("increase"))
         .withColumn("rate", F.col("increase") / window_seconds)
     )

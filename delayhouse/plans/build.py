@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.features import leg_outcomes, legs_ready
+from ..operators.features import chunks_for, leg_outcomes, legs_ready
 from ..operators.legs import DELAYS_LEG_COLUMNS, delays_per_leg, legs_with_delays
 from ..operators.mart import fct_flight_legs, leg_facts
 from ..operators.shares import entity_days_of
@@ -28,7 +28,7 @@ def build_features(raw: RawTables, include_current: bool = True, flown_only: boo
     """
     base = staged(legs_with_delays(raw.legs, raw.flights, raw.delays), "leg-delays")
     days = staged(entity_days_of(base, include_current, flown_only), "entity-days")
-    return legs_ready(base.select(*DELAYS_LEG_COLUMNS), days)
+    return legs_ready(base.select(*DELAYS_LEG_COLUMNS), days, chunks_for(base))
 
 
 def build_fact(raw: RawTables, **options) -> DataFrame:

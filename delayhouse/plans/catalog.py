@@ -25,14 +25,21 @@ from ..functions import (
     uuid5,
 )
 from ..functions import is_delayed as delayed_label
-from ..operators import analytics, legs, mart, observability, quality, scoring, shares, telemetry
+from ..operators import analytics, deltas, legs, mart, moments, observability, payloads, quality, ranges, scoring, shares, telemetry
 from ..session import configure, scratch_path, staged
-from ..sources import documents, fixtures, normalize, tables
+from ..sources import documents, fixtures, footers, keys, normalize, tables
 from ..sources.storage import stored_partitions, upsert_table
-from ..streaming.daily import stream_daily_counts
+from ..streaming.daily import read_shares, stream_daily_counts
 from ..streaming.ingest import stream_ingest
-from ..streaming.logs import event_rates, stream_event_rates, stream_runs
-from . import jobs
+from ..streaming.logs import (
+    corrected_rates,
+    event_rates,
+    stream_corrected_rates,
+    stream_event_rates,
+    stream_run_episodes,
+    stream_runs,
+)
+from . import jobs, upkeep
 from .build import RawTables, build_fact, build_features, build_leg_facts
 
 AS_OF = date(2001, 8, 1)
@@ -473,6 +480,38 @@ for _entity in shares.ENTITIES:
     QUERIES[f"share_{_entity}"] = _share(_entity)
 
 
+@query
+def share_deltas(g: Given) -> DataFrame:
+    """Build counts and sums as if cancelled legs had flown and one flight in fifty were later by 20 days, then apply what differs."""
+    key, share = shares.ENTITIES["airport"]
+    path = scratch_path(g.spark, "share-deltas")
+    counts = legs.event_counts(g.delays).withColumnRenamed("flight_leg_id", "leg_id")
+    now = staged(
+        g.joined.join(counts, "leg_id").select("flight_id", key, F.to_date(deltas.DAY).alias(deltas.DAY), "cancelled", "delayed", "events"), "share-rows"
+    )
+    moved = F.col("flight_id").cast("long") % 50 == 3
+    then = now.withColumn(deltas.DAY, F.when(moved, F.date_add(deltas.DAY, 20)).otherwise(F.col(deltas.DAY)))
+    active = now.filter(~F.col("cancelled"))
+    upkeep.maintain_daily(g.spark, path, active.limit(0), then, "airport", by="month")
+    differs = F.col("cancelled") | moved
+    upkeep.maintain_daily(g.spark, path, then.filter(differs), active.filter(differs), "airport", by="month")
+    daily = deltas.with_share(upkeep.read_daily(g.spark, path, "airport"), share).drop("period")
+    return _round6(daily, share)
+
+
+@query
+def key_index(g: Given) -> DataFrame:
+    """Where stored leg keys lie by the index, asked for the legs of one quantity and for as many names that no leg has."""
+    path = scratch_path(g.spark, "key-index")
+    rows = g.joined.select("leg_id", F.substring("flight_schedule_date", 1, 7).alias("period"))
+    rows.hint("rebalance", "period").write.partitionBy("period").parquet(f"{path}/legs")
+    stored = g.spark.read.schema("leg_id string, period string").parquet(f"{path}/legs")
+    keys.store_keys(g.spark, f"{path}/keys", stored.select("period", F.col("leg_id").alias("key")))
+    chosen = fixtures.given(g.spark, g.dir, "lineitem").filter("l_quantity = 7").select(fixtures.leg_key().alias("key"))
+    asked = chosen.unionByName(chosen.select(F.concat(F.lit("x"), "key").alias("key")))
+    return keys.stored_elsewhere(keys.read_index(g.spark, f"{path}/keys"), asked, stored, "leg_id")
+
+
 @query
 def share_increment(g: Given) -> DataFrame:
     rows = shares.share_increment(g.legs, g.flights, g.delays, "airport", date(2001, 7, 1))
@@ -582,6 +621,27 @@ def covered_traffic(g: Given) -> DataFrame:
     return analytics.covered_traffic(g.leg_facts, LO, HI)
 
 
+_RANGE_DAYS = ("1996-01-01", "1999-12-31")
+
+
+@query
+def covered_range(g: Given) -> DataFrame:
+    """Distinct legs and prediction rate of four years from what each day stores; the second half of the legs is numbered later."""
+    day = F.date_format("scheduled_departure", "yyyy-MM-dd").alias("day")
+    fact = staged(g.leg_facts.select("leg_id", day), "range-legs")
+    late = F.pmod(F.xxhash64("leg_id"), F.lit(2)) == 0
+    known = staged(ranges.numbered(fact.filter(late)), "range-numbers")
+    numbers = staged(ranges.numbered(fact, known), "range-numbers")
+    bitmaps, sketches = staged(ranges.day_bitmaps(fact, numbers), "range-bitmaps"), staged(ranges.day_sketches(fact), "range-sketches")
+    rates = staged(ranges.day_rates(g.predictions.join(fact, "leg_id").select("day", "delay_predicted")), "range-rates")
+    legs_ = ranges.distinct_legs(bitmaps, *_RANGE_DAYS)
+    near = ranges.about_distinct_legs(sketches, *_RANGE_DAYS).withColumnRenamed("legs", "about")
+    rate = ranges.predicted_rate(rates, *_RANGE_DAYS)
+    one = F.lit(1).alias("one")
+    joined = legs_.select("*", one).join(near.select("*", one), "one").join(rate.select("*", one), "one")
+    return joined.select("legs", (F.abs(F.col("about") - F.col("legs")) <= 0.06 * F.col("legs")).alias("sketch_is_near"), "predicted_rate")
+
+
 @query
 def predicted_delay_rate(g: Given) -> DataFrame:
     return analytics.predicted_delay_rate(g.predictions, g.leg_facts, LO, HI)
@@ -625,6 +685,16 @@ def fit_params(g: Given) -> DataFrame:
     return fitted.select("feature", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
+@query
+def stored_moments(g: Given) -> DataFrame:
+    """Parameters from the stored moments of each year but 1995, which is taken out of the combined ones."""
+    frame = scoring.feature_frame(g.fact, ("date_key",)).withColumn("year", F.substring("date_key", 1, 4))
+    stored = staged(moments.period_moments(frame, "year"), "moments")
+    left = moments.without(moments.combined(stored), moments.combined(stored.filter("period = '1995'")))
+    fitted = moments.parameters(left).join(left.select("feature", "rows"), "feature")
+    return fitted.select("feature", "rows", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+
+
 def _stored_model(spark: SparkSession) -> scoring.DelayModel:
     """A model whose classifier is one line that SQL can say too; written and read back as any model is."""
     rule = "scheduled_flight_duration_minutes + 0.5D * departure_hour - departure_monthday > 0"
@@ -709,11 +779,37 @@ def task_outcome_events(g: Given) -> DataFrame:
     return out.select("task_id", "level", "layer", "event_type", "message", "business_date", F.array_join(members, ";").alias("extra"))
 
 
+@query
+def event_payloads(g: Given) -> DataFrame:
+    """Members and volumes read from stored VARIANT payloads, some of which were cut."""
+    cut = F.when(F.col("id") % 50 == 0, F.substring("extra", 1, 8)).otherwise(F.col("extra"))
+    log = g.events.select("id", "dag_id", "task_id", "event_type", cut.alias("extra"))
+    stored = staged(payloads.with_payload(log).drop("extra"), "payloads")
+    ingested, transformed = payloads.payload_volumes(stored)
+    return stored.select(
+        "id", "broken", payloads.member("exception", "string").alias("exception"),
+        payloads.member("explicit_business_date", "string").alias("explicit_date"),
+        payloads.member("exception", "bigint").alias("no_number"),
+        ingested.alias("vols_ingested"), transformed.alias("transformation_rows"),
+    )
+
+
 @query
 def recent_logs(g: Given) -> DataFrame:
     return analytics.recent_logs(g.events, 50)
 
 
+@query
+def recent_logs_stored(g: Given) -> DataFrame:
+    """The newest 50 of a log that was appended in two batches, from its newest days."""
+    path = scratch_path(g.spark, "log")
+    log = g.events.select("id", "event_at", "level", "layer", "dag_id", "task_id", "event_type", "message")
+    for n in (0, 1):
+        tables.append_events(log.filter(F.col("id") % 2 == n), path, f"batch-{n}")
+    schema = log.withColumns({"event_day": F.to_date("event_at"), "batch": F.lit("")}).schema
+    return analytics.recent_logs(tables.newest_days(g.spark, path, schema, 50), 50)
+
+
 @query
 def recent_logs_short(g: Given) -> DataFrame:
     return analytics.recent_logs(g.events, 15)
@@ -779,6 +875,25 @@ def dq_freshness(g: Given) -> DataFrame:
     return quality.dq_report(checks)
 
 
+@query
+def source_freshness(g: Given) -> DataFrame:
+    """Ages and sizes of three stored sources from file footers; a fourth is missing."""
+    root, places = scratch_path(g.spark, "sources"), {}
+    moments_ = {
+        "flights": (g.flights, F.to_timestamp("flight_schedule_date")), "legs": (g.legs, F.col("scheduled_departure")),
+        "events": (g.events, F.col("event_at") - F.expr("INTERVAL 8200 DAYS")),
+    }
+    for name, (rows, moment) in moments_.items():
+        places[name] = f"{root}/{name}"
+        rows.select("id", F.unix_micros(moment).alias("fetched_us")).write.parquet(places[name])
+    ages = footers.source_ages(g.spark, places | {"missing": f"{root}/missing"}, "fetched_us")
+    checks = []
+    for name in (*places, "missing"):
+        of = ages.filter(F.col("source") == name)
+        checks += [quality.check_freshness(of, "newest", FRESH_AS_OF, table=name), quality.check_stated_rows(of, table=name)]
+    return quality.dq_report(checks)
+
+
 @query
 def dq_row_count(g: Given) -> DataFrame:
     return quality.check_row_count(g.flights, table="flights")
@@ -918,6 +1033,29 @@ def stream_event_rates_(g: Given) -> DataFrame:
     return _round6(g.spark.read.schema(event_rates(g.events, "1 hour").schema).parquet(target), "error_rate")
 
 
+@query
+def corrected_event_rates(g: Given) -> DataFrame:
+    """Rates from three waves out of order, each hour of lateness exceeded by far."""
+    target, state = scratch_path(g.spark, "corrected-rates"), scratch_path(g.spark, "stream-state")
+    log = g.events.select("id", "event_at", "level")
+
+    def drain(path: str) -> StreamingQuery:
+        stream = g.spark.readStream.schema(log.schema).parquet(path)
+        return stream_corrected_rates(stream.dropDuplicates(["id"]), "6 hours", "2 hours", "1 hour", target, state)
+
+    _in_waves(g, log, "id", drain)
+    return _round6(corrected_rates(g.spark, target).drop("late_events"), "error_rate")
+
+
+@query
+def run_episodes(g: Given) -> DataFrame:
+    """Episodes of runs that were silent for six hours, appended by a stream."""
+    target, state = scratch_path(g.spark, "episodes"), scratch_path(g.spark, "stream-state")
+    stream_run_episodes(_events_stream(g), "6 hours", "1 hour", target, state).awaitTermination()
+    whole = observability.run_episodes(observability.run_events(g.events), "6 hours")
+    return g.spark.read.schema(whole.schema).parquet(target)
+
+
 @query
 def stream_daily_counts_(g: Given) -> DataFrame:
     """Counts and shares from out-of-order batches; the first holds events ten years ahead."""
@@ -932,9 +1070,7 @@ def stream_daily_counts_(g: Given) -> DataFrame:
         return stream_daily_counts(g.spark.readStream.schema(dated.schema).parquet(path), "airport", target, state)
 
     _in_waves(g, dated, "id", drain, first=ahead)
-    key, share = shares.ENTITIES["airport"]
-    schema = f"{key} string, flight_schedule_date date, delayed_count long, total_count long, {share} double"
-    return _round6(g.spark.read.schema(schema).parquet(f"{target}/daily").drop("year"), share)
+    return _round6(read_shares(g.spark, target, "airport"), shares.ENTITIES["airport"][1])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

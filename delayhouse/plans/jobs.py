@@ -11,20 +11,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import newest_instant
+from ..functions import instant, newest_instant
 from ..operators import mart, quality, scoring
-from ..operators.features import legs_ready
+from ..operators.features import chunks_for, legs_ready
 from ..operators.legs import DELAYS_LEG_COLUMNS, legs_with_delays
 from ..operators.shares import SHARE_DAYS, entity_days_of
 from ..session import Stages, configure
 from ..sources import documents, schemas
+from ..sources.footers import source_ages
+from ..sources.keys import read_index, store_keys, stored_elsewhere
 from ..sources.normalize import normalize_delays, normalize_flights, normalize_legs
-from ..sources.storage import finish_pending, latest, pruned, replace_partitions, stored_partitions, upsert_table
+from ..sources.storage import latest, pruned, replace_partitions, settle, stored_partitions, upsert_table
 from ..sources.tables import materialize, read_or_none
 from .build import RawTables
 
 _DATE = "flight_schedule_date"
 _PERIOD = "period"
+#: Time of the fetch in microseconds, as an integer because Parquet keeps statistics of those.
+_FETCHED = "fetched_us"
 _PERIOD_CHARS = {"day": 10, "month": 7, "year": 4}
 
 
@@ -67,7 +71,7 @@ def store_documents(spark: SparkSession, docs: DataFrame, house: Warehouse, fetc
         batch = stages.add(documents.observed_ingest(latest_documents(docs.filter(documents.usable(docs))), seen), "documents")
         parents = batch.select(F.col("id").alias("flight_id"))
         dates = _texts(batch.select("flightScheduleDate"))
-        finish_pending(spark, house.path("flights"))
+        settle(spark, house.path("flights"), _PERIOD)
         if stored_partitions(spark, house.path("flights"), _PERIOD):
             stored = read_raw_table(spark, house, "flights").select("id", _DATE)
             dates |= _texts(stored.join(batch.select("id"), "id", "left_semi").select(_DATE))
@@ -77,9 +81,10 @@ def store_documents(spark: SparkSession, docs: DataFrame, house: Warehouse, fetc
             "legs": (normalize_legs(batch, with_date=True), parents),
             "delays": (normalize_delays(batch, with_parent=True), parents),
         }
+        moment = F.unix_micros(instant(fetched_at)).alias(_FETCHED)
         for name, (rows, scope) in tables.items():
             upsert_table(
-                spark, house.path(name), house.with_period(rows), keys=["id"], partition_by=_PERIOD, replace_scope=scope,
+                spark, house.path(name), house.with_period(rows).withColumn(_FETCHED, moment), keys=["id"], partition_by=_PERIOD, replace_scope=scope,
                 unique=True, keys_may_move=False, also=periods,
             )
         counts = {name: seen.get[name] or 0 for name in tables}
@@ -191,8 +196,8 @@ def run_transform(
 ) -> list[str]:
     """Rebuild shares, fact and dimensions; with the touched dates, only what they influence.
 
-    Raw tables, fact and dimension parts are partitioned alike, so a refresh reads and writes the influenced periods only,
-    except for the keys of the stored fact, against which the new ones are held. The quality gate judges the new
+    Raw tables, fact and dimension parts are partitioned alike, so a refresh reads and writes the influenced periods only.
+    Whether another period holds one of the new keys is told by an index of the stored ones; only where it may is the period read. The quality gate judges the new
     rows before anything is published; it raises on an error and returns warnings. With ``as_of`` it also judges the age and
     size of the raw tables.
     """
@@ -211,7 +216,7 @@ def run_transform(
     with Stages(spark) as stages:
         base = stages.add(legs_with_delays(raw.legs, raw.flights, raw.delays), "leg-delays")
         days = stages.add(wanted(entity_days_of(base)), "entity-days")
-        ready = legs_ready(wanted(base).select(*DELAYS_LEG_COLUMNS), days)
+        ready = legs_ready(wanted(base).select(*DELAYS_LEG_COLUMNS), days, chunks_for(base))
         ready = stages.add(house.with_period(ready), "ready")
         fact = house.with_period(mart.fct_flight_legs(ready), "date_key")
         parts = stages.add(mart.dimension_parts(ready, _PERIOD), "parts")
@@ -219,9 +224,12 @@ def run_transform(
         stored = {name: stored_partitions(spark, house.path(name), _PERIOD) for name in (*_MART, "entity_days")}
         touched = {name: found if rebuilt is None else rebuilt for name, found in stored.items()}
         keys, all_parts = fact.select("leg_id", "flight_id"), parts
-        if rebuilt is not None and stored["fct_flight_legs"] - rebuilt:
-            others = read_fact(spark, house).filter(~F.col(_PERIOD).isin(sorted(rebuilt))).select("leg_id", "flight_id")
-            keys = keys.unionByName(others.join(keys.select("leg_id"), "leg_id", "left_semi"))
+        others = stored["fct_flight_legs"] - rebuilt if rebuilt is not None else set()
+        if others:
+            index = fact_index(spark, house, others)
+            elsewhere = stored_elsewhere(index, keys.select(F.col("leg_id").alias("key")), read_fact(spark, house), "leg_id")
+            repeated = elsewhere.select(F.col("key").alias("leg_id"), F.col("key").alias("flight_id"))
+            keys = keys.unionByName(repeated)
         if rebuilt is not None and stored["dim_parts"] - rebuilt:
             old = spark.read.schema(parts.schema).parquet(house.path("dim_parts"))
             all_parts = parts.unionByName(old.filter(~F.col(_PERIOD).isin(sorted(rebuilt))).select(*parts.columns))
@@ -232,24 +240,33 @@ def run_transform(
 
         for name, rows in (("entity_days", days), ("fct_flight_legs", fact), ("dim_parts", parts)):
             replace_partitions(spark, house.path(name), rows, _PERIOD, touched[name])
+        # The index of a full build is rebuilt as a whole; no period is left that the fact has not.
+        store_keys(spark, house.path("fact_keys"), fact.select(F.col("leg_id").alias("key"), _PERIOD))
         for name, rows in dims.items():
             materialize(rows, name, "table", path=house.path(name))
     return warnings
 
 
+def fact_index(spark: SparkSession, house: Warehouse, periods: set[str]) -> DataFrame:
+    """The index of the fact's keys in the given periods; those that have none yet are read once and added."""
+    path = house.path("fact_keys")
+    missing = periods - stored_partitions(spark, path, _PERIOD)
+    if missing:
+        unread = pruned(read_fact(spark, house), _PERIOD, missing)
+        store_keys(spark, path, unread.select(F.col("leg_id").alias("key"), _PERIOD))
+    return pruned(read_index(spark, path), _PERIOD, periods)
+
+
 _MART = ("fct_flight_legs", "dim_parts")
 
 
 def source_checks(spark: SparkSession, house: Warehouse, as_of: datetime) -> list[DataFrame]:
-    """Age and row count of the three raw tables. Legs and delays are as old as the flights that brought them."""
-    raw = read_raw(spark, house)
-    stamped = raw.flights.select(F.col("id").alias("flight_id"), _PERIOD, "fetched_at")
-    checks = [quality.check_freshness(raw.flights, "fetched_at", as_of, table="flights")]
-    for name, child in (("legs", raw.legs), ("delays", raw.delays)):
-        aged = child.select("flight_id", _PERIOD).join(stamped, ["flight_id", _PERIOD])
-        checks.append(quality.check_freshness(aged, "fetched_at", as_of, table=name))
-    counts = (("flights", raw.flights), ("legs", raw.legs), ("delays", raw.delays))
-    return checks + [quality.check_row_count(df, table=name) for name, df in counts]
+    """Age and row count of the three raw tables, from file footers: every row carries the time of the fetch that brought it."""
+    names = ("flights", "legs", "delays")
+    ages = source_ages(spark, {name: house.path(name) for name in names}, _FETCHED).withColumnRenamed("newest", "fetched_at")
+    of = lambda name: ages.filter(F.col("source") == name)
+    checks = [quality.check_freshness(of(name), "fetched_at", as_of, table=name) for name in names]
+    return checks + [quality.check_stated_rows(of(name), table=name) for name in names]
 
 
 def fact_schema(spark: SparkSession):

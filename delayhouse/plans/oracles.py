@@ -429,7 +429,9 @@ _CTES["islands"] = """
     select *, sum(opens) over (partition by rule, grp order by t) as island from marked"""
 
 
-def _rates(size_hours: int, slide_hours: int) -> str:
+def _rates(size_hours: int, slide_hours: int, closed: bool = True) -> str:
+    having = """having make_timestamp((w + {}) * 1000000)
+            <= (select max(event_at) from log) - interval 1 hour""".format(size_hours * 3600) if closed else ""
     size, slide = size_hours * 3600, slide_hours * 3600
     return f"""
         select make_timestamp(w * 1000000) as window_start, make_timestamp((w + {size}) * 1000000) as window_end,
@@ -439,8 +441,7 @@ def _rates(size_hours: int, slide_hours: int) -> str:
                 (epoch_us(event_at) // 1000000) // {slide} * {slide} - {size - slide},
                 (epoch_us(event_at) // 1000000) // {slide} * {slide} + {slide}, {slide})) as w from log)
         group by w
-        having make_timestamp((w + {size}) * 1000000)
-            <= (select max(event_at) from log) - interval 1 hour"""
+        {having}"""
 
 
 _METRIC = {
@@ -547,11 +548,22 @@ _STATEMENTS = {
             case when cancelled then 'REROUTED' else published_status end as published_status, cancelled
         from legs""",
     "upsert_delays": """
-        select d.id, d.flight_leg_id, d.delay_code,
-            case when c.flight_leg_id is not null then 'PT1M' else d.delay_duration end as delay_duration
-        from delays d left join (select flight_leg_id from delays where delay_code = 'C9') c
-            on d.flight_leg_id = c.flight_leg_id
-        where d.delay_code is distinct from 'C9'""",
+        select leg_key || '_0' as id, leg_key as flight_leg_id,
+            case when l_returnflag <> 'N' then 'C' || l_linenumber end as delay_code,
+            case when l_returnflag = 'A' and q % 5 = 0 then 'PT1M' when l_returnflag = 'N' then '00' when q < 10 then null
+                when q % 2 = 0 then 'PT' || q || 'M' else 'PT' || (q % 3) || 'H' || q || 'M' end as delay_duration
+        from items""",
+    "share_deltas": """
+        select departure_airport_code, flight_schedule_date, delayed_count, total_count,
+            cast(sum(delayed_count) over w as bigint) as delayed_sum, cast(sum(total_count) over w as bigint) as total_sum,
+            round(cast(sum(delayed_count) over w as bigint) * 100.0::double
+                / cast(sum(total_count) over w as bigint), 6) as departure_airport_delayed_share
+        from daily_airport
+        window w as (partition by departure_airport_code order by flight_schedule_date
+            range between interval 7 days preceding and current row)""",
+    "key_index": """
+        select leg_key as key, strftime(o.o_orderdate, '%Y-%m') as period
+        from items join orders o on items.l_orderkey = o.o_orderkey where q = 7""",
     "upsert_predictions": """
         select leg_id, flight_id, 0 as delay_predicted,
             case when delay_predicted = 1 then "timestamp" + interval 1 day else "timestamp" end as "timestamp"
@@ -685,6 +697,11 @@ _STATEMENTS = {
         select 'fct_flight_legs' as table_name, count(*) as rows from facts union all select 'missing', 0""",
     "covered_traffic": f"""
         select count(distinct leg_id) as legs from facts where scheduled_departure between {_RANGE}""",
+    "covered_range": f"""
+        select count(distinct f.leg_id) as legs, true as sketch_is_near,
+            {_percent("count(*) filter (delay_predicted = 1)", "count(delay_predicted)", 1)} as predicted_rate
+        from facts f left join predictions p on f.leg_id = p.leg_id
+        where cast(scheduled_departure as date) between date '1996-01-01' and date '1999-12-31'""",
     "predicted_delay_rate": f"""
         select {_percent("sum(case when delay_predicted = 1 then 1 else 0 end)", "count(*)", 1)} as predicted_rate
         from predictions p join facts f on p.leg_id = f.leg_id where scheduled_departure between {_RANGE}""",
@@ -699,6 +716,11 @@ _STATEMENTS = {
     "fit_params": " union all ".join(
         f"select '{f}' as feature, round({f}_m, 4) as mean, round({f}_s, 4) as std from spread" for f in _FEATURES
     ),
+    "stored_moments": " union all ".join(
+        f"select '{f}' as feature, count(*) as rows, round(avg({f}), 4) as mean,"
+        f" round(sqrt(var_pop({f}) * count({f}) / count(*)), 4) as std from ready"
+        " where flight_schedule_date not between '1995-01-01' and '1995-12-31'" for f in _FEATURES
+    ),
     "score_legs": """
         select leg_id, flight_id, predicted as delay_predicted, timestamp '2002-01-02' as "timestamp" from judged_legs""",
     "score_increment": """
@@ -726,6 +748,15 @@ _STATEMENTS = {
     "recent_logs": """
         select id, event_at, level, layer, dag_id, task_id, event_type, message from log
         order by event_at desc, id desc limit 50""",
+    "recent_logs_stored": """
+        select id, event_at, level, layer, dag_id, task_id, event_type, message from log
+        order by event_at desc, id desc limit 50""",
+    "event_payloads": """
+        select id, id % 50 = 0 and extra is not null as broken, case when whole then exception end as exception,
+            case when whole then explicit_date end as explicit_date, cast(null as bigint) as no_number,
+            cast(case when whole then vols else 0 end as bigint) as vols_ingested,
+            cast(case when whole then trans else 0 end as bigint) as transformation_rows
+        from (select *, id % 50 <> 0 as whole from claims)""",
     "recent_logs_short": """
         select id, event_at, level, layer, dag_id, task_id, event_type, message from log
         order by event_at desc, id desc limit 15""",
@@ -754,6 +785,19 @@ _STATEMENTS = {
     "dq_not_null": " union all ".join(
         _not_null("legs", c, "legs") for c in ("id", "departure_airport_code", "scheduled_departure")
     ),
+    "source_freshness": " union all ".join(
+        f"""select 'freshness:{name}.newest' as check_name, level as severity, cast(level <> 'none' as bigint) as failures,
+            case when level <> 'none' then level else 'pass' end as status
+        from (select case when age is null or age > 14 then 'error' when age > 7 then 'warn' else 'none' end as level
+            from (select (epoch_us(timestamp '2001-08-12') - epoch_us(max({column}))) / 86400e6 as age from {source}))
+        union all select 'row_count:{name}', 'error', cast(count(*) = 0 as bigint), case when count(*) = 0 then 'error' else 'pass' end
+        from {source}"""
+        for name, column, source in (
+            ("flights", "cast(flight_schedule_date as timestamp)", "flights"), ("legs", "scheduled_departure", "legs"),
+            ("events", "event_at - interval 8200 days", "log"),
+            ("missing", "event_at", "(select * from log where false)"),
+        )
+    ),
     "dq_freshness": " union all ".join(
         f"""select 'freshness:{name}' as check_name, level as severity, cast(level <> 'none' as bigint) as failures,
             case when level <> 'none' then level else 'pass' end as status
@@ -819,6 +863,15 @@ _STATEMENTS = {
         from readable r""",
     "stream_runs": "select * from runs",
     "stream_event_rates": _rates(6, 2),
+    "corrected_event_rates": _rates(6, 2, closed=False),
+    "run_episodes": """
+        select run_id, min(event_at) as started_at, max(event_at) as last_at, arg_max(status, rn) as status, count(*) as events,
+            arg_max(status, rn) not in ('SUCCESS', 'FAILED') as abandoned
+        from (select *, sum(opens) over (partition by run_id order by rn) as episode
+            from (select *, case when event_at <= lag(event_at) over (partition by run_id order by rn) + interval 6 hours
+                then 0 else 1 end as opens from ranked))
+        group by run_id, episode
+        having max(event_at) + interval 6 hours <= (select max(event_at) from ranked) - interval 1 hour""",
     "stream_daily_counts": """
         select departure_airport_code, flight_schedule_date, delayed_count, total_count,
             round(cast(sum(delayed_count) over w as bigint) * 100.0::double

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 # What results depend on. Everything else (sizes, adaptive execution, code generation, write modes) stays with the caller.
 _RUNTIME = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
 
+# And what the layout of the lookups depends on: tables dealt out by date and chunk are joined where they lie, also on more columns.
+_LAYOUT = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 # The JVM never compiles a method above 8000 bytes of bytecode. Wide projections that would produce one fall back to
 # generated code that is split into small methods, which is much faster. Set for local sessions only.
 _LOCAL = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results depend on to an existing session."""
-    for key, value in _RUNTIME.items():
+    """Apply the settings that results and layouts depend on to an existing session."""
+    for key, value in (_RUNTIME | _LAYOUT).items():
         spark.conf.set(key, value)
     return spark
 
@@ -46,9 +50,13 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="delayhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # The setting cannot be changed in a running session, so the folder is kept with the session it was made for.
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="delayhouse-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,19 +1,18 @@
 """Keyed replacement of rows in partitioned parquet tables.
 
-One writer per table. New partitions are written beside the table first and then swapped in folder by folder; a swap that
-was broken off is finished by the next call, so no stored row is ever only in a half-written place.
+One writer per table. The new content of the touched partitions is written beside them as an ordinary table first; Spark's dynamic
+partition overwrite then publishes it from that copy, which goes only afterwards. So whatever breaks off in between, the next call
+publishes the same copy again, and no stored row is ever only in a half-written place.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import Stages
+from ..session import Stages, remove
 
-_PENDING, _READY = "_pending", "READY"
+_COPY = "_staged"
 
 
 def latest(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
@@ -63,47 +62,32 @@ def stored_partitions(spark: SparkSession, path: str, column: str) -> set[str]:
     return {f.split("=", 1)[1] for f in _folders(spark, path) if f.startswith(f"{column}=")}
 
 
-def finish_pending(spark: SparkSession, path: str) -> None:
-    """Finish swaps that were broken off, and drop what was never complete."""
-    for token in _folders(spark, f"{path}/{_PENDING}"):
-        root = f"{path}/{_PENDING}/{token}"
-        fs, ready = _file_system(spark, f"{root}/{_READY}")
-        if fs.exists(ready):
-            # Folders still in the new place go in; those already moved are not there any more.
-            for folder in _folders(spark, f"{root}/data"):
-                if "=" in folder:
-                    swap_in(spark, f"{root}/data/{folder}", f"{path}/{folder}")
-            for folder in _folders(spark, f"{root}/gone"):
-                _, old = _file_system(spark, f"{path}/{folder}")
-                fs.delete(old, True)
-        _, location = _file_system(spark, root)
-        fs.delete(location, True)
+def settle(spark: SparkSession, path: str, partition_by: str) -> None:
+    """Publish the copy that a broken-off call has left complete; drop any other."""
+    copy = f"{path}/{_COPY}"
+    if path_exists(spark, f"{copy}/rows/_SUCCESS"):
+        _publish_copy(spark, path, partition_by)
+    if path_exists(spark, copy):
+        remove(spark, copy)
     spark.catalog.refreshByPath(path)
 
 
-def swap_in(spark: SparkSession, new: str, old: str) -> None:
-    """Put a complete folder in the place of an old one."""
-    fs, source = _file_system(spark, new)
-    _, target = _file_system(spark, old)
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {new}")
+def _publish_copy(spark: SparkSession, path: str, partition_by: str) -> None:
+    """Overwrite the partitions that the copy has rows of, and remove the touched ones it has none of."""
+    copy = f"{path}/{_COPY}"
+    rows = spark.read.parquet(f"{copy}/rows")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    touched = {r[0] for r in spark.read.schema("value string").parquet(f"{copy}/touched").collect()}
+    for value in (touched - _partition_values(rows, partition_by)) & stored_partitions(spark, path, partition_by):
+        remove(spark, f"{path}/{partition_by}={value}")
 
 
 def publish(spark: SparkSession, path: str, rows: DataFrame, partition_by: str, touched: set[str]) -> None:
-    """Make ``rows`` the whole content of the touched partitions; touched ones without rows go.
-
-    The rows are written completely before any stored folder is removed.
-    """
-    root = f"{path}/{_PENDING}/{uuid.uuid4().hex}"
-    rows.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(f"{root}/data")
-    written = stored_partitions(spark, f"{root}/data", partition_by)
-    fs, ready = _file_system(spark, f"{root}/{_READY}")
-    for value in touched - written:
-        _, gone = _file_system(spark, f"{root}/gone/{partition_by}={value}")
-        fs.mkdirs(gone)
-    fs.create(ready).close()
-    finish_pending(spark, path)
+    """Make ``rows`` the whole content of the touched partitions; touched ones without rows go."""
+    copy = f"{path}/{_COPY}"
+    spark.createDataFrame([(v,) for v in sorted(touched)], "value string").coalesce(1).write.mode("overwrite").parquet(f"{copy}/touched")
+    rows.hint("rebalance", partition_by).write.mode("overwrite").parquet(f"{copy}/rows")
+    settle(spark, path, partition_by)
 
 
 # ---- merges
@@ -140,7 +124,7 @@ def upsert_table(
     that now hold a replaced row, found by a scan of the keys. ``unique`` says that no key occurs twice in ``updates``.
     The partition column must not be null. A call that breaks off can be repeated.
     """
-    finish_pending(spark, path)
+    settle(spark, path, partition_by)
     with Stages(spark) as stages:
         fresh = stages.add(updates if unique else latest(updates, keys, order_by), "fresh")
         touched = _partition_values(fresh, partition_by)
@@ -167,5 +151,5 @@ def upsert_table(
 
 def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partition_by: str, touched: set[str]) -> None:
     """Overwrite whole partitions with recomputed ``rows``; ``touched`` ones left without rows go."""
-    finish_pending(spark, path)
+    settle(spark, path, partition_by)
     publish(spark, path, rows, partition_by, touched)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schemas
-from .storage import path_exists, upsert_table
+from .storage import path_exists, pruned, stored_partitions, upsert_table
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -113,6 +113,22 @@ def append_events(events: DataFrame, path: str, batch: str | None = None) -> str
     return batch
 
 
+def newest_days(spark: SparkSession, path: str, schema: T.StructType, n: int) -> DataFrame:
+    """The newest days of an event log that have ``n`` rows together, all of it if there are fewer.
+
+    Walks the day partitions from the newest, one, then two, then four at a time, and stops once they hold enough; their rows are counted
+    from file footers. The newest ``n`` events are among these days, however long the log.
+    """
+    log = spark.read.schema(schema).parquet(path)
+    days = sorted(d for d in stored_partitions(spark, path, "event_day") if not d.startswith("__"))[::-1]
+    taken, step, rows = 0, 1, 0
+    while rows < n and taken < len(days):
+        rows += pruned(log, "event_day", set(days[taken : taken + step])).count()
+        taken, step = taken + step, step * 2
+    # Events without a time come after all others.
+    return pruned(log, "event_day", set(days[:taken])) if rows >= n else log
+
+
 _RESULT = T.StructType().add("adapter_response", T.StructType().add("rows_affected", T.DoubleType()))
 _RESULTS = T.StructType().add("results", T.ArrayType(_RESULT))
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from delayhouse.session import local_session
@@ -5,9 +7,10 @@ from delayhouse.session import local_session
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("4", "tests", memory="4g", **{"spark.sql.shuffle.partitions": "4"})
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    own = {"spark.sql.shuffle.partitions": "4"}
+    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        own["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("4", "tests", memory="4g", **own)
     yield session
     session.stop()
 

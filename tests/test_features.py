@@ -85,6 +85,8 @@ def test_one_pass_equals_separate_reads(raw):
     days = entity_days(raw.legs, raw.flights, raw.delays)
     separate = mart.fct_flight_legs(legs_ready(delays_per_leg(raw.legs, raw.flights, raw.delays), days))
     once = build_fact(raw)
+    split = mart.fct_flight_legs(legs_ready(delays_per_leg(raw.legs, raw.flights, raw.delays), days, chunks=3))
+    assert sorted(split.collect(), key=repr) == sorted(once.collect(), key=repr)
     assert once.count() == raw.legs.count()
     assert once.exceptAll(separate).isEmpty() and separate.exceptAll(once).isEmpty()
 

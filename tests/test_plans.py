@@ -92,6 +92,22 @@ def test_features_read_each_raw_table_once(spark, given, monkeypatch):
     assert "lineitem" not in plan(ready) and "orders" not in plan(ready)
 
 
+def test_lookups_share_one_layout(given, no_broadcast):
+    """One exchange of the legs and one of each lookup, all by date and chunk; the joins add none."""
+    text = plan(build.build_features(given.raw))
+    exchanges = re.findall(r"Exchange (\w+)\(((?:\w+#\d+, )*)", text)
+    assert len(exchanges) == 5, text
+    for kind, keys in exchanges:
+        assert kind == "hashpartitioning" and re.sub(r"#\d+", "", keys) == "flight_schedule_date, chunk, ", keys
+    assert text.count("SortMergeJoin") == 4
+
+
+def test_legs_are_mapped_after_they_are_dealt_out(given, no_broadcast):
+    """The join with the flights adds no exchange of the legs."""
+    text = plan(legs_with_flights(given.legs, given.flights))
+    assert text.count("Exchange") == 2 and "hashpartitioning(cast(l_orderkey" in text
+
+
 def test_files_that_arrived_earlier_are_not_read(spark, tmp_path):
     folder = tmp_path / "landed"
     folder.mkdir()

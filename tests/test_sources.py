@@ -5,7 +5,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from delayhouse.session import Stages, scratch_path
+from delayhouse.session import Stages, remove, scratch_path
 from delayhouse.sources import documents, normalize, storage, tables
 from delayhouse.sources.storage import latest, upsert, upsert_table
 
@@ -125,47 +125,43 @@ def test_upsert_table_replay_move_and_emptied_partition(spark):
     assert not tables.path_exists(spark, f"{path}/part=q")
 
 
-@pytest.mark.parametrize("stop", ["before the first folder", "between delete and rename", "after the last folder"])
+@pytest.mark.parametrize("stop", ["before the overwrite", "within the overwrite", "before the emptied go"])
 def test_a_merge_that_breaks_off_loses_nothing(spark, monkeypatch, stop):
     path = scratch_path(spark, "broken")
     options = {"keys": ["id"], "partition_by": "part", "order_by": ["seq"]}
     upsert_table(spark, path, frame(spark, ("a", "p", 1, 1), ("b", "q", 1, 1), ("c", "q", 1, 1), ("d", "r", 1, 1)), **options)
     batch = frame(spark, ("a", "p", 2, 2), ("b", "q", 2, 2), ("d", "p", 2, 2))
+    want = [("a", "p", 2, 2), ("b", "q", 2, 2), ("c", "q", 1, 1), ("d", "p", 2, 2)]
 
     class Stopped(Exception):
         pass
 
-    original, seen = storage.swap_in, []
-
-    def broken(session, new, old):
-        seen.append(old)
-        if stop == "before the first folder":
-            raise Stopped
-        if stop == "between delete and rename":
-            fs, location = storage._file_system(session, old)
-            fs.delete(location, True)
-            raise Stopped
-        original(session, new, old)
-        if len(seen) == 2:
-            raise Stopped
-
-    monkeypatch.setattr(storage, "swap_in", broken)
-    with pytest.raises(Stopped):
-        upsert_table(spark, path, batch, **options)
-    monkeypatch.setattr(storage, "swap_in", original)
-    storage.finish_pending(spark, path)
-    assert stored(spark, path) == [("a", "p", 2, 2), ("b", "q", 2, 2), ("c", "q", 1, 1), ("d", "p", 2, 2)]
+    def broken(*_):
+        raise Stopped
+
+    with monkeypatch.context() as patched:
+        if stop == "before the emptied go":
+            patched.setattr(storage, "remove", broken)
+        else:
+            patched.setattr(storage, "_publish_copy", broken)
+        with pytest.raises(Stopped):
+            upsert_table(spark, path, batch, **options)
+    if stop == "within the overwrite":  # Spark removes the old folders one by one, then moves the new ones in
+        remove(spark, f"{path}/part=q")
+    storage.settle(spark, path, "part")
+    assert stored(spark, path) == want and not tables.path_exists(spark, f"{path}/part=r")
     upsert_table(spark, path, batch, **options)
-    assert stored(spark, path) == [("a", "p", 2, 2), ("b", "q", 2, 2), ("c", "q", 1, 1), ("d", "p", 2, 2)]
+    assert stored(spark, path) == want and not tables.path_exists(spark, f"{path}/_staged")
 
 
-def test_an_unfinished_write_is_dropped(spark):
+def test_an_unfinished_copy_is_dropped(spark):
     path = scratch_path(spark, "unfinished")
     options = {"keys": ["id"], "partition_by": "part"}
     upsert_table(spark, path, frame(spark, ("a", "p", 1, 1)), **options)
-    frame(spark, ("a", "p", 9, 9)).write.partitionBy("part").parquet(f"{path}/_pending/half/data")
-    storage.finish_pending(spark, path)
-    assert stored(spark, path) == [("a", "p", 1, 1)] and not tables.path_exists(spark, f"{path}/_pending/half")
+    frame(spark, ("a", "p", 9, 9)).write.parquet(f"{path}/_staged/rows")
+    remove(spark, f"{path}/_staged/rows/_SUCCESS")
+    storage.settle(spark, path, "part")
+    assert stored(spark, path) == [("a", "p", 1, 1)] and not tables.path_exists(spark, f"{path}/_staged")
 
 
 def test_stages_are_removed(spark):

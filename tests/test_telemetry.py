@@ -1,5 +1,5 @@
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -70,6 +70,40 @@ def test_counter_rate_survives_a_reset_and_extrapolates(spark):
     assert [(seconds(r.eval_ts), round(r.increase, 6)) for r in out] == [(300, round(180 * 300 / 285, 6))]
 
 
+def test_overlapping_windows_do_not_copy_samples(spark):
+    """Rows are samples and edges, and windows equal sums over each window's own samples, with resets, gaps and chunks."""
+    rng = random.Random(7)
+    rows, at, value = [], 0, 0
+    for _ in range(400):
+        at += rng.choice([1, 5, 15, 15, 15, 200])
+        value = rng.randrange(5) if rng.random() < 0.05 else value + rng.randrange(20)
+        rows.append((at, value))
+    given = samples(spark, [("i", "c", {}, s, v) for s, v in rows])
+    series = ["job", "instance", "metric", "label_key"]
+    totals = telemetry.running_totals(telemetry.with_series(given), series, 60)
+    assert totals.count() == len(rows)
+    grown = [0.0]
+    for (_, a), (_, b) in zip(rows, rows[1:]):
+        grown.append(grown[-1] + (b if b < a else b - a))
+    assert [(r.r, r.cum) for r in totals.orderBy("at").collect()] == [(i + 1, g) for i, g in enumerate(grown)]
+    base = T0.replace(tzinfo=timezone.utc).timestamp()
+    for chunk in (30, 10_000):
+        out = {seconds(r.eval_ts): r.increase for r in telemetry.counter_windows(given, "c", 300, 30, chunk).collect()}
+        want = {}
+        for e in range(0, rows[-1][0] + 300, 30):
+            here = [(s, v, g) for (s, v), g in zip(rows, grown) if e - 300 < s <= e]
+            if len(here) > 1:
+                raw, sampled = here[-1][2] - here[0][2], here[-1][0] - here[0][0]
+                distance = sampled / (len(here) - 1)
+                edge = lambda gap: distance / 2 if gap >= distance * 1.1 else gap
+                start = edge(here[0][0] - (e - 300))
+                if raw > 0:
+                    start = min(start, sampled * here[0][1] / raw)
+                want[e] = raw * (sampled + start + edge(e - here[-1][0])) / sampled
+        assert base % 30 == 0 and out.keys() == want.keys()
+        assert all(abs(out[e] - want[e]) < 1e-6 for e in want)
+
+
 def test_counter_series_filters_and_groups(spark):
     rows = [("i", "c", {"status": code}, s, v * s) for code, v in (("500", 1), ("503", 2), ("200", 4)) for s in range(0, 601, 15)]
     df = samples(spark, rows)
