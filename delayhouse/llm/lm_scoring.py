@@ -282,8 +282,8 @@ def score_documents(spark: SparkSession, docs: DataFrame, targets: DataFrame) ->
         answers = added.filter("block is not null").drop("words")
         scored = (
             own.unionByName(answers, allowMissingColumns=True)
-            # By number, so that small partitions are not put together again: a task holds few blocks.
-            .repartition(min(max(1, totals[3]), PARTITIONS), "block").sortWithinPartitions("block", "bucket")
+            # By number, so that small partitions are not put together again, and more than blocks, so that few meet in one.
+            .repartition(min(max(1, 4 * totals[3]), PARTITIONS), "block").sortWithinPartitions("block", "bucket")
             .mapInArrow(
                 _scored(bits, (totals[0] or 0, totals[1] or 0), size or 0),
                 f"doc_id {identifier}, n_tokens long, target_loss double, background_loss double, score double",
