@@ -673,7 +673,8 @@ def scale_features(g: Given) -> DataFrame:
     frame = staged(scoring.feature_frame(g.fact), "features")
     params = scoring.fit_params(frame)
     scaled = scoring.scale(scoring.impute(frame, params.means), params)
-    return scaled.withColumns({c: F.round(c, 4) for c in scoring.FEATURES})
+    # A value at the mean is 0 or -0, as the sums were ordered.
+    return scaled.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in scoring.FEATURES})
 
 
 @query

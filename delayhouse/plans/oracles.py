@@ -711,7 +711,7 @@ _STATEMENTS = {
     "feature_frame": "select * replace (" + ", ".join(f"round({s}, 6) as {s}" for s in _SHARES) + ") from frame",
     "impute_features": "select * replace (" + ", ".join(f"round({f}, 6) as {f}" for f in _FEATURES) + ") from filled",
     "scale_features": "select leg_id, flight_id, is_delayed, "
-    + ", ".join(f"round(({f} - {f}_m) / case when {f}_s = 0 then 1 else {f}_s end, 4) as {f}" for f in _FEATURES)
+    + ", ".join(f"round(({f} - {f}_m) / case when {f}_s = 0 then 1 else {f}_s end, 4) + 0.0::double as {f}" for f in _FEATURES)
     + " from filled cross join spread",
     "fit_params": " union all ".join(
         f"select '{f}' as feature, round({f}_m, 4) as mean, round({f}_s, 4) as std from spread" for f in _FEATURES
