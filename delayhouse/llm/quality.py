@@ -146,7 +146,7 @@ class Model(NamedTuple):
 class Sparse:
     """A matrix of few entries that are sorted by row; products go through them in pieces."""
 
-    PIECE = 200_000
+    PIECE = 25_000
 
     def __init__(self, row: np.ndarray, column: np.ndarray, value: np.ndarray, rows: int):
         self.row, self.column, self.value, self.rows = row, column, value, rows
