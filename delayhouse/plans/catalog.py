@@ -1068,7 +1068,7 @@ def stream_daily_counts_(g: Given) -> DataFrame:
     dated = events.withColumn("event_day", F.when(ahead, F.date_add(day, 3650)).otherwise(day).cast("timestamp"))
 
     def drain(path: str) -> StreamingQuery:
-        return stream_daily_counts(g.spark.readStream.schema(dated.schema).parquet(path), "airport", target, state)
+        return stream_daily_counts(g.spark.readStream.schema(dated.schema).parquet(path), "airport", target, state, by="year")
 
     _in_waves(g, dated, "id", drain, first=ahead)
     return _round6(read_shares(g.spark, target, "airport"), shares.ENTITIES["airport"][1])
