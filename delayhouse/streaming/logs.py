@@ -114,7 +114,8 @@ def stream_corrected_rates(
             counted = event_rates(rows, size, slide).drop("error_rate").withColumns({"late": closed, "batch": F.lit(number).cast("long")})
             newest = rows.agg(F.max("event_at").alias("newest")).withColumn("batch", F.lit(number).cast("long"))
             for part, path in ((counted, parts), (newest, progress)):
-                part.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+                # One file by a shuffle of the few counts; the events are counted by many tasks before.
+                part.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     return (
         events.writeStream.foreachBatch(merge)
