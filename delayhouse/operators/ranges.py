@@ -16,20 +16,29 @@ from .analytics import percent_half_up
 PRECISION = 12
 #: Ids of a bucket are numbered from 0, so that bitmaps are dense.
 BUCKETS = 64
+#: Buckets that the ids of one day are dealt to: few, so that a day needs few bitmaps, but not one, as a day may be large.
+DAY_BUCKETS = 4
 
 
 def numbered(ids: DataFrame, known: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``leg_id, bucket, number`` of all ids: those of ``known`` as they are, new ones behind them.
 
-    A bucket is a hash of the id, so its ids can be put in order by one task; take as many buckets as that needs.
+    A bucket is a hash, so its ids can be put in order by one task; take as many buckets as that needs. Ids with a ``day`` are
+    numbered by their first day, and a day falls into few buckets, so its numbers lie together and its bitmaps are full: there are about as
+    many as days, and blocks of ids, but not as their product.
     """
-    fresh = ids.select("leg_id").filter("leg_id is not null").distinct()
-    bucket = F.pmod(F.xxhash64("leg_id"), F.lit(buckets)).cast("int").alias("bucket")
-    order = Window.partitionBy("bucket").orderBy("leg_id")
+    known_ids = ids.filter("leg_id is not null")
+    if "day" in ids.columns:
+        fresh = known_ids.groupBy("leg_id").agg(F.min("day").alias("day"))
+        hashed, ordered = F.xxhash64("day", F.pmod(F.xxhash64("leg_id"), F.lit(DAY_BUCKETS))), ["day", "leg_id"]
+    else:
+        fresh, hashed, ordered = known_ids.select("leg_id").distinct(), F.xxhash64("leg_id"), ["leg_id"]
+    bucket = F.pmod(hashed, F.lit(buckets)).cast("int").alias("bucket")
+    order = Window.partitionBy("bucket").orderBy(*ordered)
     if known is None:
-        return fresh.select("leg_id", bucket).select("leg_id", "bucket", (F.row_number().over(order) - 1).cast("long").alias("number"))
+        return fresh.select(*ordered, bucket).select("leg_id", "bucket", (F.row_number().over(order) - 1).cast("long").alias("number"))
     used = known.groupBy("bucket").agg((F.max("number") + 1).alias("used"))
-    fresh = fresh.join(known.select("leg_id"), "leg_id", "left_anti").select("leg_id", bucket).join(used, "bucket", "left")
+    fresh = fresh.join(known.select("leg_id"), "leg_id", "left_anti").select(*ordered, bucket).join(used, "bucket", "left")
     number = (F.row_number().over(order) - 1 + F.coalesce("used", F.lit(0))).cast("long").alias("number")
     return known.select("leg_id", "bucket", "number").unionByName(fresh.select("leg_id", "bucket", number))
 
@@ -45,7 +54,8 @@ def day_bitmaps(legs: DataFrame, numbers: DataFrame) -> DataFrame:
     placed = legs.join(numbers, "leg_id").select(
         "day", "bucket", F.bitmap_bucket_number(number).alias("block"), F.bitmap_bit_position(number).alias("bit")
     )
-    return placed.groupBy("day", "bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    # Dealt out before they are drawn: a bitmap is 4 KB however few bits it has, so no task may draw a part of every one.
+    return placed.repartition("day", "bucket", "block").groupBy("day", "bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def _between(days: DataFrame, first: str, last: str) -> DataFrame:
