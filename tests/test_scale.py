@@ -3,9 +3,16 @@
 import pathlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from delayhouse.sources import fixtures
+from delayhouse.operators import features, ranges
+from delayhouse.operators.legs import DELAYS_LEG_COLUMNS, legs_with_delays
+from delayhouse.operators.shares import entity_days_of
+from delayhouse.plans import build, catalog
+from delayhouse.session import staged
+from delayhouse.sources import fixtures, keys, storage
+from delayhouse.streaming import logs
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,3 +40,94 @@ def test_landed_pages_take_a_fraction_of_their_text(spark, tmp_path, monkeypatch
 def test_documents_are_landed_compressed(spark):
     files = fixtures.documents(spark, SF).inputFiles()
     assert files and all(re.search(r"\.gz$", f) for f in files)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_few_entity_days_leave_the_legs_where_they_are(spark, monkeypatch, few):
+    """Lookups that every task can hold cost no exchange and no sort of the legs; the rows are the same either way."""
+    given = catalog.Given(spark, SF)
+    laid_out = features.legs_ready
+    monkeypatch.setattr(features, "SENT_DAYS", 10**6 if few else 0)
+    ready = build.build_features(given.raw)
+    text = plan(ready)
+    assert text.count("Exchange hashpartitioning") == (0 if few else 5)
+    if few:
+        assert "SortMergeJoin" not in text and "Sort [" not in text
+    base = legs_with_delays(given.legs, given.flights, given.delays)
+    other = laid_out(base.select(*DELAYS_LEG_COLUMNS), entity_days_of(base), 2)
+    assert ready.exceptAll(other).count() == 0 and ready.count() == other.count()
+
+
+def test_bitmaps_of_days_do_not_grow_with_the_ids(spark):
+    """Numbers of one day lie together, so a day needs a bitmap or two of a few buckets, not of every block of every bucket."""
+    legs = spark.range(240_000).selectExpr("concat('leg', id) leg_id", "concat('2024-01-', lpad(xxhash64(id) % 10 + 15, 2, '0')) day")
+    numbers = staged(ranges.numbered(legs, buckets=2), "numbers")
+    bitmaps = staged(ranges.day_bitmaps(legs, numbers), "bitmaps")
+    days = legs.select("day").distinct().count()
+    assert bitmaps.count() <= 2 * 2 * days + 8  # about as many blocks of ids as days here; their product is 152
+    assert ranges.distinct_legs(bitmaps, "2024-01-01", "2024-01-31").first()[0] == 240_000
+    assert plan(ranges.day_bitmaps(legs, numbers)).count("hashpartitioning(day") == 1
+
+
+def test_index_of_keys_draws_each_bitmap_once(spark):
+    """The bits are those of the built-in functions, without a row for each bit."""
+    rows = spark.range(3000).selectExpr("concat('k', id) key", "concat('2024-0', id % 3 + 1) period").repartition(5)
+    index = keys.index_of(rows.unionByName(rows.limit(500)).unionByName(rows.limit(1).withColumn("key", F.lit(None).cast("string"))))
+    sizes = rows.unionByName(rows.limit(500)).groupBy("period").agg(keys._blocks(F.count(F.lit(1))).alias("blocks"))
+    bits = rows.join(sizes, "period").select("period", "blocks", keys._bucket(F.col("blocks")).alias("bucket"), F.explode(keys._positions()).alias("bit"))
+    wanted = bits.groupBy("period", "blocks", "bucket").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits"))
+    as_rows = lambda df: sorted((r["period"], r["blocks"], r["bucket"], bytes(r["bits"])) for r in df.collect())
+    assert as_rows(index) == as_rows(wanted)
+    assert "Generate" not in plan(index)
+
+
+def test_counts_of_a_batch_are_not_drawn_into_one_task(spark, tmp_path, monkeypatch):
+    """The events of a batch are counted by all partitions; only their few counts meet in one."""
+    made = []
+    original = logs.event_rates
+    monkeypatch.setattr(logs, "event_rates", lambda *a: made.append(original(*a)) or made[-1])
+    coalesced = []
+    frame = type(spark.range(1))
+    plain = frame.coalesce
+    monkeypatch.setattr(frame, "coalesce", lambda self, n: coalesced.append(n) or plain(self, n))
+    rows = spark.range(500).selectExpr("id", "timestamp_seconds(1700000000 + id * 60) event_at", "if(id % 5 = 0, 'ERROR', 'INFO') level")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    logs.stream_corrected_rates(stream, "2 hours", None, "1 hour", str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert made and not coalesced
+    found = logs.corrected_rates(spark, str(tmp_path / "out")).select("window_start", "events", "errors")
+    wanted = original(rows, "2 hours").select("window_start", "events", "errors")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    assert len(list((tmp_path / "out" / "parts").rglob("*.parquet"))) == 1
+
+
+def test_wide_legs_are_not_sorted_to_meet_their_flights(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(catalog.QUERIES["dim_airports"](catalog.Given(spark, SF)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in text and "Sort [" not in text
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_a_first_load_is_copied_once_and_dealt_out_only_for_many_partitions(spark, tmp_path, monkeypatch, many):
+    monkeypatch.setattr(storage, "FEW_PARTITIONS", 2 if many else 16)
+    added, hinted = [], []
+    original = storage.Stages.add
+    monkeypatch.setattr(storage.Stages, "add", lambda self, df, name, **o: added.append(name) or original(self, df, name, **o))
+    frame = type(spark.range(1))
+    plain = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, name, *p: hinted.append(name) or plain(self, name, *p))
+    rows = spark.range(60).selectExpr("id", "cast(id % 4 as string) part", "id * 2 v")
+    path = str(tmp_path / "t")
+    assert storage.upsert_table(spark, path, rows, keys=["id"], partition_by="part", unique=True) == {"0", "1", "2", "3"}
+    assert added == [] and hinted == (["rebalance"] if many else [])
+    found = lambda: spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    assert sorted(map(tuple, found().collect())) == sorted(map(tuple, rows.collect()))
+    assert storage.upsert_table(spark, path, rows.filter("id < 3"), keys=["id"], partition_by="part") == {"0", "1", "2"}
+    assert found().count() == 60
+    empty = str(tmp_path / "empty")
+    assert storage.upsert_table(spark, empty, rows.limit(0), keys=["id"], partition_by="part") == set()
+    assert spark.read.schema(rows.schema).parquet(empty).count() == 0
