@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import instant, newest_instant
 from ..operators.observability import fold_runs, run_episodes, run_events
-from ..session import Stages
+from ..session import COMPACT, Stages
 from ..sources.keys import candidates, read_index, store_keys
 from ..sources.storage import path_exists, pruned, upsert_table
 
@@ -26,7 +26,7 @@ def stream_runs(events: DataFrame, target: str, checkpoint: str) -> StreamingQue
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        with Stages(spark) as stages:
+        with Stages(spark, **COMPACT) as stages:
             day = F.coalesce(F.date_format("event_at", "yyyy-MM-dd"), F.lit("none"))
             fresh = stages.add(run_events(batch).withColumns({"day": day, "batch": F.lit(number).cast("long")}), "said")
             names = stages.add(fresh.select(F.col("run_id").alias("key"), F.col("day").alias("period")).distinct(), "names")
@@ -107,7 +107,7 @@ def stream_corrected_rates(
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        with Stages(spark) as stages:
+        with Stages(spark, **COMPACT) as stages:
             rows = stages.add(batch.select("event_at", "level").filter("event_at is not null"), "rated")
             earlier = _newest(spark, progress, number)
             closed = F.lit(False) if earlier is None else F.col("window_end") <= instant(earlier) - F.expr(f"INTERVAL {lateness}")
