@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from delayhouse.operators import features, ranges
-from delayhouse.operators.legs import DELAYS_LEG_COLUMNS, legs_with_delays
+from delayhouse.operators.legs import DELAYS_LEG_COLUMNS, delays_per_leg, legs_with_delays
 from delayhouse.operators.shares import entity_days_of
 from delayhouse.plans import build, catalog
 from delayhouse.session import staged
-from delayhouse.sources import fixtures, keys, storage
+from delayhouse.sources import fixtures, keys, schemas, storage
 from delayhouse.streaming import logs
 
 SF = "/root/testdata/sf0.001"
@@ -131,3 +131,37 @@ def test_a_first_load_is_copied_once_and_dealt_out_only_for_many_partitions(spar
     empty = str(tmp_path / "empty")
     assert storage.upsert_table(spark, empty, rows.limit(0), keys=["id"], partition_by="part") == set()
     assert spark.read.schema(rows.schema).parquet(empty).count() == 0
+
+
+def test_wide_legs_are_not_shuffled_to_meet_their_delays(spark):
+    """No exchange carries the mapped columns of the legs, nor are these sorted twice."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        query = catalog.QUERIES["delays_per_leg"](catalog.Given(spark, SF))
+        text = spark._jvm.PythonSQLUtils.explainString(query._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved, ordered = (re.findall(rf"\(\d+\) {node}\s+Input \[\d+\]: \[([^\]]*)\]", text) for node in ("Exchange", "Sort"))
+    assert moved and not any("aircraft_name" in columns for columns in moved), moved
+    assert sum("aircraft_name" in columns for columns in ordered) == 1, ordered
+
+
+def test_delays_sent_to_the_legs_find_repeated_and_missing_keys(spark):
+    """Same rows as when the legs go to their delays: ids that repeat within and across flights, nulls, undeclared events."""
+    blank = dict.fromkeys(schemas.LEGS.names)
+    pairs = [("a", "f"), ("a", "f"), ("a", "g"), ("b", "f"), ("c", "g"), (None, "f"), ("d", None), ("e", "gone"), (None, None), ("h", "twice")]
+    rows = [tuple((blank | {"id": i, "flight_id": f, "leg_order": n, "cancelled": False}).values()) for n, (i, f) in enumerate(pairs)]
+    legs = spark.createDataFrame(rows, schemas.LEGS)
+    names = ("f", "g", None, "twice", "twice")
+    blank = dict.fromkeys(schemas.FLIGHTS.names)
+    flights = spark.createDataFrame([tuple((blank | {"id": f, "flight_number": n}).values()) for n, f in enumerate(names)], schemas.FLIGHTS)
+    events = [("a", "Z", "PT20M"), ("a", "B", "PT1M"), ("a", "A", None), ("b", "C", None), ("c", None, "00"), (None, "N", "PT5M"), ("d", "D", "PT6M"), ("h", "H", "PT7M"), ("x", "X", "PT8M")]
+    delays = spark.createDataFrame([(str(n), *e) for n, e in enumerate(events)], schemas.DELAYS)
+    wanted = sorted(legs_with_delays(legs, flights, delays).select(*DELAYS_LEG_COLUMNS).collect(), key=repr)
+    for keys_of in (None, legs.select("id", "flight_id")):
+        found = delays_per_leg(legs, flights, delays, keys_of)
+        assert found.columns == list(DELAYS_LEG_COLUMNS)
+        assert sorted(found.collect(), key=repr) == wanted
+    assert len(wanted) == 8
+    assert [(r.delay_code, r.delay_duration_minutes) for r in wanted if r.leg_id == "a"] == [("B", 21)] * 3
