@@ -164,7 +164,9 @@ def near_words(stages: Stages, words: DataFrame) -> DataFrame:
     one_each = held.groupBy("code").agg(F.min("word").alias("word"))
     reached = generated(one_each, symbol, symbols)
     other = held.select(F.col("code").alias("near"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    met = reached.join(other, "near").drop("near").join(held, "code")
+    # The planner takes what is generated to be as small as the words it comes from, and written words to be as small as their
+    # compressed files; neither may be sent to the driver on that account.
+    met = reached.hint("merge").join(other.hint("merge"), "near").drop("near").join(held.hint("merge"), "code")
     found = met.filter(F.levenshtein("word", "other", 1) == 1)
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word"))).alias("best"))
 
@@ -174,7 +176,7 @@ def roots(stages: Stages, links: DataFrame) -> DataFrame:
     now = stages.add(links.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = now.join(further, "root", "left")
+        step = now.join(further.hint("merge"), "root", "left")
         now = stages.add(step.select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         if now.filter("moved").isEmpty():
             return now.drop("moved")
@@ -187,13 +189,13 @@ def variants(spark: SparkSession, docs: DataFrame) -> DataFrame:
         words = stages.add(vocabulary(docs), "spelling-words")
         near = near_words(stages, words)
         form = lambda c: F.when(-F.col("best.n") >= RATIO * F.col("n"), c)
-        judged = words.join(near, "word", "left").select(
+        judged = words.join(near.hint("merge"), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             form(F.col("best.word")).alias("form"), form(-F.col("best.n")).alias("form_n"),
         )
         judged = stages.add(judged, "spelling-judged")
         ends = roots(stages, judged.filter("form is not null"))
-        result = judged.join(ends, "word", "left").withColumn("root", F.coalesce("root", "word"))
+        result = judged.join(ends.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
         return staged(result.select("word", "form", "root", "n", "n_near", "form_n"), "spelling")
 
 

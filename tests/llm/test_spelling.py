@@ -101,3 +101,20 @@ def test_symbols_share_the_letters():
     assert [s.symbols_for(n) for n in (0, 4**9, 4**9 + 1, 10**9)] == [4, 4, 5, 10]
     found = s.dealt([("e", 50), ("a", 30), ("i", 25), ("o", 10)], 2)
     assert found == {"e": 1, "a": 2, "i": 2, "o": 1}
+
+
+def test_no_join_is_sent_through_the_driver(spark, monkeypatch):
+    """The planner takes generated codes to be as small as the words they come from; they are many times as many."""
+    plans = []
+    add, last = s.Stages.add, s.staged
+    text = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(s.Stages, "add", lambda self, df, name, **o: text(df) or add(self, df, name, **o))
+    monkeypatch.setattr(s, "staged", lambda df, name: text(df) or last(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        assert s.variants(spark, spark.createDataFrame(prose(1, 120, 300), "doc_id long, text string")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum("Join" in p for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)
