@@ -1,17 +1,19 @@
 """Figures that must not outgrow the input."""
 
+import json
 import pathlib
 import re
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from delayhouse.operators import features, ranges
-from delayhouse.operators.legs import DELAYS_LEG_COLUMNS, delays_per_leg, legs_with_delays
+from delayhouse.operators.legs import DELAYS_LEG_COLUMNS, delays_per_leg, legs_with_delays, legs_with_delays_at_flights
 from delayhouse.operators.shares import entity_days_of
-from delayhouse.plans import build, catalog
-from delayhouse.session import staged
-from delayhouse.sources import fixtures, keys, schemas, storage
+from delayhouse.plans import build, catalog, jobs
+from delayhouse.session import Stages, staged
+from delayhouse.sources import documents, fixtures, keys, schemas, storage
 from delayhouse.streaming import logs
 
 SF = "/root/testdata/sf0.001"
@@ -165,3 +167,149 @@ def test_delays_sent_to_the_legs_find_repeated_and_missing_keys(spark):
         assert sorted(found.collect(), key=repr) == wanted
     assert len(wanted) == 8
     assert [(r.delay_code, r.delay_duration_minutes) for r in wanted if r.leg_id == "a"] == [("B", 21)] * 3
+
+
+def columns_moved(spark, df) -> list[str]:
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\(\d+\) Exchange\s+Input \[\d+\]: \[([^\]]*)\]", text)
+
+
+def test_features_do_not_shuffle_the_wide_legs_to_meet_their_delays(spark, monkeypatch):
+    moved = {}
+    write = build.staged
+    monkeypatch.setattr(build, "staged", lambda df, name: moved.update({name: columns_moved(spark, df)}) or write(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        build.build_features(catalog.Given(spark, SF).raw)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert moved["leg-delays"] and not any("aircraft_name" in columns for columns in moved["leg-delays"]), moved
+
+
+def test_stats_sent_to_the_legs_find_repeated_and_missing_keys(spark):
+    blank = dict.fromkeys(schemas.LEGS.names)
+    pairs = [("a", "f"), ("a", "f"), ("a", "g"), ("b", "f"), (None, "f"), ("d", None), ("e", "gone"), ("h", "twice")]
+    rows = [tuple((blank | {"id": i, "flight_id": f, "leg_order": n}).values()) for n, (i, f) in enumerate(pairs)]
+    blank = dict.fromkeys(schemas.FLIGHTS.names)
+    flights = [tuple((blank | {"id": f, "flight_number": n}).values()) for n, f in enumerate(("f", "g", None, "twice", "twice"))]
+    events = [("1", "a", "Z", None, "PT20M"), ("2", "a", "A", None, None), ("3", "b", "C", None, "00"), ("4", None, "N", None, "PT5M"), ("5", "x", "X", None, "PT8M")]
+    columns = ["id", "flight_leg_id", "delay_code", "delay_reason", "delay_duration"]
+    delays = spark.createDataFrame(events, ", ".join(f"{c} string" for c in columns))
+    raw = spark.createDataFrame(rows, schemas.LEGS), spark.createDataFrame(flights, schemas.FLIGHTS), delays
+    wanted = sorted(legs_with_delays(*raw).collect(), key=repr)
+    assert len(wanted) == 7 and sorted((r.events, r.delayed) for r in wanted if r.leg_id == "a") == [(2, 1)] * 3
+    for keys_of in (None, raw[0].select("id", "flight_id")):
+        assert sorted(legs_with_delays_at_flights(*raw, keys_of).collect(), key=repr) == wanted
+
+
+def test_only_what_a_model_reads_is_written_for_it(spark, monkeypatch):
+    written, added = {}, []
+    write, add = catalog.staged, Stages.add
+    monkeypatch.setattr(catalog, "staged", lambda df, name: written.update({name: df.columns}) or write(df, name))
+    monkeypatch.setattr(Stages, "add", lambda self, df, name, **o: added.append(name) or add(self, df, name, **o))
+    assert catalog.QUERIES["fitted_scores"](catalog.Given(spark, SF)).count()
+    assert written == {"fact": ["leg_id", "flight_id", "cancelled", *catalog.scoring.FEATURES, "is_delayed"]} and added == []
+
+
+def test_wide_facts_of_few_periods_are_not_dealt_out(spark, monkeypatch):
+    class Written(Exception):
+        pass
+
+    def stop(*_):
+        raise Written
+
+    hinted = []
+    frame = type(spark.range(1))
+    plain = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, name, *p: hinted.append(name) or plain(self, name, *p))
+    monkeypatch.setattr(catalog.jobs, "read_fact", stop)
+    with pytest.raises(Written):
+        catalog.QUERIES["score_increment"](catalog.Given(spark, SF))
+    assert "rebalance" not in hinted
+
+
+def test_pages_are_parsed_once_for_their_counts(spark):
+    text = plan(catalog.QUERIES["ingestion_metrics"](catalog.Given(spark, SF)))
+    assert "FileScan parquet" in text and "FileScan json" not in text
+
+
+def landed_pages(spark, path, pages):
+    spark.createDataFrame([(p if isinstance(p, str) else json.dumps(p),) for p in pages], "value string").write.mode("append").text(path)
+
+
+def flight_of(name, status, day="2024-01-05", legs=1):
+    return {"id": name, "flightScheduleDate": day, "flightStatusPublic": status, "flightLegs": [{"publishedStatus": status}] * legs}
+
+
+def test_landed_rows_say_what_pages_say(spark, tmp_path):
+    """Several flights on a page, none, a null among them, a repeated flight, missing dates and identifiers, a cut page."""
+    path = str(tmp_path / "pages")
+    flights = [flight_of("a", "1"), flight_of("b", "1"), None, flight_of("a", "2", legs=2), flight_of(None, "1"), flight_of("c", "1", day=None)]
+    landed_pages(spark, path, [{"page": {"totalPages": 2, "pageNumber": 1}, "operationalFlights": flights}, {"operationalFlights": []}, {}, '{"page": {"to'])
+    landed_pages(spark, path, [{"page": {"totalPages": 1}, "operationalFlights": [flight_of("b", "0"), flight_of("d", "1", day="2023-01-01")]}])
+    pages = staged(documents.read_pages(spark, path), "pages")
+    landed = staged(documents.landed_rows(pages), "landed")
+    as_rows = lambda df: sorted(map(repr, df.collect()))
+    assert as_rows(documents.flights_of(landed)) == as_rows(documents.landed_flights(pages))
+    assert as_rows(documents.page_rows(documents.pages_of(landed))) == as_rows(documents.page_rows(pages))
+    old, new = documents.landed_flights(pages), documents.flights_of(landed)
+    assert as_rows(documents.rejects(documents.pages_of(landed), new)) == as_rows(documents.rejects(pages, old))
+    window = datetime(2024, 1, 1), datetime(2024, 12, 31)
+    assert as_rows(documents.explode_pages(landed, *window)) == as_rows(documents.explode_pages(pages, *window))
+    with Stages(spark) as stages:
+        usable = new.filter(documents.usable(new))
+        found = as_rows(jobs._current(stages, usable))
+    assert found == as_rows(jobs.latest_documents(usable)) and len(found) == 3
+
+
+def test_documents_are_written_once(spark, tmp_path, monkeypatch):
+    """Parsed pages are the only wide copy while no flight comes twice; a merge needs no copy of its own."""
+    added = []
+    add = Stages.add
+    monkeypatch.setattr(Stages, "add", lambda self, df, name, **o: added.append(name) or add(self, df, name, **o))
+    house, path = jobs.Warehouse(str(tmp_path / "house"), by="year"), str(tmp_path / "pages")
+    landed_pages(spark, path, [{"operationalFlights": [flight_of(n, "1", legs=2)]} for n in "abc"])
+    now = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for status in ("1", "2"):
+        report = jobs.run_ingest(spark, path, house, "2024-01-05", "2024-01-05", incremental=False, now=now)
+        assert (report["flights"], report["legs"], report["delays"]) == ((3, 6, 6) if status == "1" else (3, 5, 5))
+        assert added.count("documents") == (status == "2") and "pages" not in added
+        assert sum(n == "fresh" for n in added) == (status == "2")  # the table of pages
+        landed_pages(spark, path, [{"operationalFlights": [flight_of("b", "2")]}])
+    stored = jobs.read_raw(spark, house)
+    assert sorted((r.id, r.flight_status_public) for r in stored.flights.collect()) == [("a", "1"), ("b", "2"), ("c", "1")]
+    assert stored.legs.count() == 5 and stored.delays.count() == 5
+
+
+def test_partitions_without_replaced_rows_are_not_compared(spark, tmp_path, monkeypatch):
+    published = []
+    publish = storage.publish
+    monkeypatch.setattr(storage, "publish", lambda s, path, rows, *a: published.append(plan(rows)) or publish(s, path, rows, *a))
+    rows, path = spark.range(60).selectExpr("id", "cast(id % 3 as string) part", "id * 2 v"), str(tmp_path / "t")
+    storage.upsert_table(spark, path, rows, keys=["id"], partition_by="part", unique=True)
+    new = spark.range(60, 70).selectExpr("id", "cast(id % 2 as string) part", "id v")
+    assert storage.upsert_table(spark, path, new, keys=["id"], partition_by="part", unique=True, within={"0", "1"}, holding=set()) == {"0", "1"}
+    assert "Join" not in published[-1] and "Exchange" not in published[-1]
+    moved = spark.range(1, 3).selectExpr("id", "'0' part", "-1L v")  # 1 and 2 lie in the partitions of their names
+    assert storage.upsert_table(spark, path, moved, keys=["id"], partition_by="part", unique=True, within={"0", "1", "2"}, holding={"1", "2"}) == {"0", "1", "2"}
+    found = {r.id: (r.part, r.v) for r in spark.read.schema(rows.schema).parquet(path).collect()}
+    assert len(found) == 70 and found[1] == found[2] == ("0", -1) and found[65] == ("1", 65) and found[4] == ("1", 8)
+
+
+def test_keys_are_dealt_to_the_index_without_their_positions(spark):
+    rows = spark.range(300).selectExpr("concat('k', id) key", "concat('2024-0', id % 3 + 1) period")
+    moved = columns_moved(spark, keys.candidates(staged(keys.index_of(rows), "index"), rows.select("key")))
+    assert moved and not any("positions" in columns for columns in moved), moved
+
+
+def test_features_of_a_refresh_are_computed_into_the_fact(spark, tmp_path, monkeypatch):
+    added = []
+    add = Stages.add
+    monkeypatch.setattr(Stages, "add", lambda self, df, name, **o: added.append(name) or add(self, df, name, **o))
+    house, path = jobs.Warehouse(str(tmp_path / "house"), by="year"), str(tmp_path / "pages")
+    landed_pages(spark, path, [{"operationalFlights": [flight_of(n, "1", legs=2)]} for n in "abc"])
+    jobs.run_ingest(spark, path, house, "2024-01-05", "2024-01-05", now=datetime(2024, 2, 1, tzinfo=timezone.utc))
+    jobs.run_transform(spark, house)
+    assert "leg-delays" in added and "ready" not in added
+    assert jobs.read_fact(spark, house).count() == 6
